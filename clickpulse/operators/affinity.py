@@ -3,7 +3,8 @@
 Plan at scale
 -------------
 * ``session_products`` is a distinct on (session, product): partial
-  aggregation map-side, then one shuffle by both columns.
+  aggregation map-side, then one shuffle by both columns. The job
+  checkpoints it once, since sizes, counts and pairs all read it.
 * Pairs come from a self-join on the session. A plain join on the session
   key would put a hot session (say a third of all rows) into one task and
   make that task enumerate all of its pairs. Instead each session is split
@@ -17,8 +18,8 @@ Plan at scale
   shuffle for both sides.
 * Pair counts are aggregated map-side right after the join, then shuffled by
   (product_a, product_b).
-* Product counts are joined to the pairs by a broadcast only when their row
-  count is checked to be small; otherwise it is a shuffle join.
+* Product counts are checkpointed, counted, and joined to the pairs by a
+  broadcast only when small; otherwise by a shuffle join.
 * The session total is a one-row aggregate joined as a broadcast (one row is
   a proven bound), keeping one lazy plan instead of a driver-side count.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.exprs import lift
-from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, cut_lineage, small_side
 
 DEFAULT_BLOCK_SIZE = 4096
 AFFINITY_TYPES = ("view", "cart")
@@ -78,15 +79,16 @@ def _session_blocks(
     """(session, product_id, blk, nb) with nb = number of blocks of the session.
 
     Only sessions with more than ``block_size`` products need nb > 1. That
-    list is at most rows / block_size long; it is broadcast when checked to
-    be small, otherwise joined by a shuffle join (AQE splits the hot
-    session's side, whose partner holds one row per session).
+    list is at most rows / block_size long. It is checkpointed (the sizes
+    aggregate runs once) and broadcast when counted to be small; otherwise
+    it is a shuffle join (AQE splits the hot session's side, whose partner
+    holds one row per session).
     """
     sizes = sp.groupBy("session").agg(F.count(F.lit(1)).alias("_m"))
     hot = sizes.filter(F.col("_m") > block_size).select(
         "session", F.ceil(F.col("_m") / F.lit(block_size)).cast("int").alias("_nb")
     )
-    tagged = sp.join(broadcast_if_small(hot, max_broadcast_rows), "session", "left")
+    tagged = sp.join(small_side(hot, max_broadcast_rows), "session", "left")
     nb = F.coalesce(F.col("_nb"), F.lit(1))
     return tagged.select(
         "session",
@@ -120,11 +122,11 @@ def co_occurrence(
         & (F.col("a._lo") == F.col("b._lo"))
         & (F.col("a._hi") == F.col("b._hi"))
         & (F.col("a.product_id") < F.col("b.product_id"))
-        # the pair belongs to exactly this block pair
-        & (
-            ((F.col("a._blk") == F.col("a._lo")) & (F.col("b._blk") == F.col("a._hi")))
-            | ((F.col("a._blk") == F.col("a._hi")) & (F.col("b._blk") == F.col("a._lo")))
-        )
+        # the pair belongs to exactly this block pair; written over both
+        # sides so no one-side filter is pushed down and the two sides stay
+        # identical (one shuffle, reused)
+        & (F.least("a._blk", "b._blk") == F.col("a._lo"))
+        & (F.greatest("a._blk", "b._blk") == F.col("a._hi"))
     )
     pairs = a.join(b, cond, "inner").select(
         F.col("a.product_id").alias("product_a"), F.col("b.product_id").alias("product_b")
@@ -141,7 +143,7 @@ def affinity_scores(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Attach count_a, count_b and lift = co * N / (count_a * count_b)."""
-    pc = broadcast_if_small(counts, max_broadcast_rows)
+    pc = small_side(counts, max_broadcast_rows)
     pc_a = pc.select(F.col("product_id").alias("product_a"), F.col("session_count").alias("count_a"))
     pc_b = pc.select(F.col("product_id").alias("product_b"), F.col("session_count").alias("count_b"))
     scored = (
@@ -187,7 +189,8 @@ def product_affinity(
     counts use only ``types`` (SURVEY T8). ``types=None`` takes every row,
     for basket tables without an event type.
     """
-    sp = session_products(events, session, product, types)
+    # read three times (sizes, counts, pairs): dedup once, keep it on the shared folder
+    sp = cut_lineage(session_products(events, session, product, types))
     counts = product_session_counts(sp)
     total = distinct_sessions(events, session)
     co = co_occurrence(sp, block_size, max_broadcast_rows)

@@ -7,31 +7,46 @@ from pyspark.sql import functions as F
 
 # A side is broadcast only after we have counted that it holds at most this
 # many rows; above it the join stays a shuffle join that AQE may still convert
-# or split (skew join) at run time.
+# (measured shuffle sizes) or split (skew join) at run time.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
+
+    Survives executor loss (unlike a local checkpoint): the data is on the
+    shared file system, and the plan above it is dropped.
+    """
+    from clickpulse.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops as soon as the bound
-    is passed, so the check costs at most ``max_rows + 1`` rows, not the table.
+    Call it on a plain table scan (Parquet answers ``count()`` from file
+    footers, no data is read) or on a frame already materialized with
+    :func:`cut_lineage`; see :func:`small_side`.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven under ``max_rows``, else ``df``."""
+    """``broadcast(df)`` if its row count is proven under ``max_rows``, else ``df``.
+
+    For a scan-like frame (a projection of one table) the count is metadata
+    only. For a computed frame use :func:`small_side`.
+    """
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
+def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Materialize a computed join side once, then broadcast it only if small.
 
-    Survives executor loss (unlike a local checkpoint): the data is on the
-    shared file system, and the plan above it is dropped.
+    The checkpoint is written to the shared folder, so the count is cheap,
+    the main job reads it instead of recomputing it, and a lost executor
+    does not re-run its lineage.
     """
-    from clickpulse.session import shared_dir
-
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    return broadcast_if_small(cut_lineage(df), max_rows)

@@ -62,7 +62,7 @@ def format_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     for f in counts.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, DecimalType) or f.dataType.typeName() == "double":
-            c = F.format_string("%.2f", c.cast("decimal(38,2)"))
+            c = c.cast("decimal(38,2)").cast("string")  # always two decimals
         cols.append(c.alias(f.name))
     return counts.orderBy(*keys).select(*cols)
 
