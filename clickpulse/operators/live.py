@@ -8,23 +8,20 @@ combined map-side and the state per session is one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.exprs import flag_type
 
 
-def _order_key(df: DataFrame, tiebreak: list[str] | None) -> F.Column:
+def _order_key(df: DataFrame, tiebreak: list[str] | None) -> Column:
     if tiebreak is None:
         tiebreak = ["event_id"] if "event_id" in df.columns else ["product_id", "event_type"]
     return F.struct(F.col("event_ts"), *[F.col(c) for c in tiebreak])
 
 
-def session_state(enriched: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
-    """session_id, user_id (of the first event), last_event_time, event_count,
-    has_cart, has_purchase, last_product_id, last_category (raw path)."""
-    order = _order_key(enriched, tiebreak)
-    return enriched.groupBy(F.col("user_session").alias("session_id")).agg(
+def _session_measures(order: Column) -> list[Column]:
+    return [
         F.min_by("user_id", order).alias("user_id"),
         F.max("event_ts").alias("last_event_time"),
         F.count(F.lit(1)).alias("event_count"),
@@ -32,6 +29,34 @@ def session_state(enriched: DataFrame, tiebreak: list[str] | None = None) -> Dat
         flag_type("purchase").alias("has_purchase"),
         F.max_by("product_id", order).alias("last_product_id"),
         F.max_by("category_code", order).alias("last_category"),
+    ]
+
+
+def session_state(enriched: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
+    """session_id, user_id (of the first event), last_event_time, event_count,
+    has_cart, has_purchase, last_product_id, last_category (raw path)."""
+    order = _order_key(enriched, tiebreak)
+    return enriched.groupBy(F.col("user_session").alias("session_id")).agg(
+        *_session_measures(order)
+    )
+
+
+def session_window_state(
+    enriched: DataFrame, gap: str = "30 minutes", tiebreak: list[str] | None = None
+) -> DataFrame:
+    """Same measures per (session id, activity window): a window closes after
+    ``gap`` without events. In a stream with a watermark the closed windows
+    are final and their state is dropped (ST6); in batch it is a plain
+    sessionization."""
+    order = _order_key(enriched, tiebreak)
+    grouped = enriched.groupBy(
+        F.col("user_session").alias("session_id"), F.session_window("event_ts", gap).alias("window")
+    ).agg(*_session_measures(order))
+    return grouped.select(
+        "session_id",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *[c for c in grouped.columns if c not in ("session_id", "window")],
     )
 
 

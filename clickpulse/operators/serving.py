@@ -89,6 +89,14 @@ def funnel_range(
     )
 
 
+def round_rates(df: DataFrame, digits: int = 4, cols: list[str] | None = None) -> DataFrame:
+    """Optional display rounding of rate columns (P15). Spark rounds half-up
+    on the decimal value, which can differ from binary round-half-even in the
+    last digit (SURVEY T12), so results are served unrounded by default."""
+    cols = cols or [c for c in df.columns if c.endswith("_rate") or c == "overall_conversion"]
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def funnel_stages(range_row: DataFrame) -> DataFrame:
     """Three rows (stage, stage_order, count, rate vs views) from a range row."""
     return range_row.select(

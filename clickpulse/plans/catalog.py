@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType, DoubleType, TimestampNTZType, Timesta
 from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT, parse_event_time
 from clickpulse.operators import abandonment, affinity, metrics, sampling, serving
 from clickpulse.operators.enrich import enrich
-from clickpulse.operators.live import session_state
+from clickpulse.operators.live import session_state, session_window_state
 from clickpulse.sources.tables import baskets_from_lineitem, events_from_tables, load_table
 
 # Parameters of the range reads (the data covers 2024-01-01 .. 2024-01-30).
@@ -29,6 +29,7 @@ TOP_PRODUCTS = 20
 TOP_BRANDS = 20
 TOP_ABANDONMENT = 10
 LIVE_TOP = 50
+SESSION_GAP = "30 minutes"
 RATE_DIGITS = 9  # a mean of doubles is order-dependent in its last bits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,6 +274,10 @@ def q_live_sessions(spark, sf):
     return edge(session_state(enriched(spark, sf)))
 
 
+def q_live_session_windows(spark, sf):
+    return edge(session_window_state(enriched(spark, sf), SESSION_GAP))
+
+
 def q_live_top(spark, sf):
     return edge(serving.live_top(session_state(enriched(spark, sf)), LIVE_TOP))
 

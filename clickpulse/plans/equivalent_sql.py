@@ -359,6 +359,37 @@ FROM brs ORDER BY brs.revenue DESC, brs.brand ASC NULLS FIRST LIMIT {TOP_BRANDS}
 FROM cats ORDER BY cats.revenue DESC, cats.category ASC NULLS FIRST""",
     "live_sessions": _with(LIVE) + "SELECT * FROM live",
     "live_sessions_stream": _with(LIVE) + "SELECT * FROM live",
+    "live_session_windows": _with(
+        """gaps AS (
+  SELECT *,
+         CASE WHEN LAG(event_ts) OVER w IS NULL
+                OR event_ts >= LAG(event_ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new_win
+  FROM enriched
+  WINDOW w AS (PARTITION BY user_session ORDER BY event_ts, event_id)
+),
+numbered AS (
+  SELECT *, SUM(new_win) OVER (PARTITION BY user_session ORDER BY event_ts, event_id
+                                ROWS UNBOUNDED PRECEDING) AS win_no
+  FROM gaps
+),
+ranked AS (
+  SELECT *,
+         ROW_NUMBER() OVER (PARTITION BY user_session, win_no ORDER BY event_ts, event_id) AS rn_first,
+         ROW_NUMBER() OVER (PARTITION BY user_session, win_no ORDER BY event_ts DESC, event_id DESC) AS rn_last
+  FROM numbered
+)"""
+    )
+    + """SELECT user_session AS session_id,
+       MIN(event_ts) AS window_start,
+       MAX(event_ts) + INTERVAL 30 MINUTE AS window_end,
+       MAX(CASE WHEN rn_first = 1 THEN user_id END) AS user_id,
+       MAX(event_ts) AS last_event_time,
+       CAST(COUNT(*) AS BIGINT) AS event_count,
+       COALESCE(BOOL_OR(COALESCE(event_type = 'cart', false)), false) AS has_cart,
+       COALESCE(BOOL_OR(COALESCE(event_type = 'purchase', false)), false) AS has_purchase,
+       MAX(CASE WHEN rn_last = 1 THEN product_id END) AS last_product_id,
+       MAX(CASE WHEN rn_last = 1 THEN category_code END) AS last_category
+FROM ranked GROUP BY user_session, win_no""",
     "live_top": _with(LIVE)
     + f"""SELECT session_id, user_id, last_event_time, event_count, has_cart, has_purchase, last_product_id,
        COALESCE(last_category, '') AS last_category

@@ -48,6 +48,28 @@ def build_session(
     return spark
 
 
+def object_store_conf(
+    endpoint: str,
+    access_key: str,
+    secret_key: str,
+    path_style: bool = True,
+    ssl: bool = True,
+) -> dict[str, str]:
+    """Session settings for an S3-compatible store (S2); pass as ``extra_conf``.
+
+    Paths stay plain arguments, so ``s3a://``, ``hdfs://`` and ``file:`` all
+    work with the same operators. Credentials come from the caller.
+    """
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

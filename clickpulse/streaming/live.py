@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT, flag_type
+from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT
 from clickpulse.operators.enrich import enrich
-from clickpulse.operators.live import live_sessions
+from clickpulse.operators.live import live_sessions, session_window_state
 from clickpulse.schema import EVENT_SCHEMA
 from clickpulse.session import scratch_path
 from clickpulse.sources.events import decode_event_json
@@ -84,18 +84,7 @@ def live_session_windows(events: DataFrame, gap: str = "30 minutes", watermark:
     state is dropped, so memory follows active sessions only.
     """
     enriched = enrich(events, STREAM_FORMATS).withWatermark("event_ts", watermark)
-    order = F.struct(F.col("event_ts"), F.col("product_id"), F.col("event_type"))
-    return enriched.groupBy(
-        F.col("user_session").alias("session_id"), F.session_window("event_ts", gap).alias("window")
-    ).agg(
-        F.min_by("user_id", order).alias("user_id"),
-        F.max("event_ts").alias("last_event_time"),
-        F.count(F.lit(1)).alias("event_count"),
-        flag_type("cart").alias("has_cart"),
-        flag_type("purchase").alias("has_purchase"),
-        F.max_by("product_id", order).alias("last_product_id"),
-        F.max_by("category_code", order).alias("last_category"),
-    )
+    return session_window_state(enriched, gap)
 
 
 def upsert_by_epoch(path: str) -> Callable[[DataFrame, int], None]:
