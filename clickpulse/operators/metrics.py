@@ -43,27 +43,37 @@ def daily_metrics(enriched: DataFrame) -> DataFrame:
     ).withColumn("avg_order_value", safe_ratio("total_revenue", "total_purchases"))
 
 
-def product_stats(enriched: DataFrame) -> DataFrame:
+def in_dates(enriched: DataFrame, start=None, end=None) -> DataFrame:
+    """Optional inclusive date range (pushed to the scan / partition filter)."""
+    if start is not None:
+        enriched = enriched.filter(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        enriched = enriched.filter(F.col("date") <= F.lit(end).cast("date"))
+    return enriched
+
+
+def product_stats(enriched: DataFrame, start=None, end=None) -> DataFrame:
     """Grain (product_id, category_code, brand, price): a product seen at two
-    prices gives two rows, as in the serving table."""
+    prices gives two rows, as in the serving table. ``start``/``end`` give the
+    date-range form the dashboard asks for (SURVEY T13); default all dates."""
     return (
-        enriched.groupBy("product_id", "category_code", "brand", "price")
+        in_dates(enriched, start, end).groupBy("product_id", "category_code", "brand", "price")
         .agg(*_type_measures())
         .withColumnRenamed("category_code", "category")
     )
 
 
-def category_stats(enriched: DataFrame) -> DataFrame:
+def category_stats(enriched: DataFrame, start=None, end=None) -> DataFrame:
     return (
-        enriched.groupBy("root_category")
+        in_dates(enriched, start, end).groupBy("root_category")
         .agg(*_type_measures())
         .withColumnRenamed("root_category", "category")
     )
 
 
-def brand_stats(enriched: DataFrame) -> DataFrame:
+def brand_stats(enriched: DataFrame, start=None, end=None) -> DataFrame:
     """Events without a brand are left out (the product roll-up keeps them)."""
-    return enriched.filter(F.col("brand").isNotNull()).groupBy("brand").agg(*_type_measures())
+    return in_dates(enriched, start, end).filter(F.col("brand").isNotNull()).groupBy("brand").agg(*_type_measures())
 
 
 def funnel_stats(enriched: DataFrame) -> DataFrame:

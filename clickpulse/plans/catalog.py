@@ -262,6 +262,16 @@ def q_products_by_revenue(spark, sf):
     return edge(serving.products_by_revenue(metrics.product_stats(enriched(spark, sf)), TOP_PRODUCTS))
 
 
+def q_products_by_revenue_range(spark, sf):
+    stats = metrics.product_stats(enriched(spark, sf), RANGE_START, RANGE_END)
+    return edge(serving.products_by_revenue(stats, TOP_PRODUCTS))
+
+
+def q_brands_by_revenue_range(spark, sf):
+    stats = metrics.brand_stats(enriched(spark, sf), RANGE_START, RANGE_END)
+    return edge(serving.brands_by_revenue(stats, TOP_BRANDS))
+
+
 def q_brands_by_revenue(spark, sf):
     return edge(serving.brands_by_revenue(metrics.brand_stats(enriched(spark, sf)), TOP_BRANDS))
 

@@ -347,6 +347,23 @@ FROM prod
 ORDER BY prod.revenue DESC, product_id ASC NULLS FIRST, prod.category ASC NULLS FIRST,
          prod.brand ASC NULLS FIRST, price ASC NULLS FIRST
 LIMIT {TOP_PRODUCTS}""",
+    "products_by_revenue_range": _with(
+        f"""prod AS (
+  SELECT product_id, category_code AS category, brand, price, {MEASURES}
+  FROM enriched WHERE {_range()} GROUP BY product_id, category_code, brand, price
+)"""
+    )
+    + f"""SELECT product_id, COALESCE(category, '') AS category, COALESCE(brand, '') AS brand, price,
+       views, carts, purchases, CAST(revenue AS DOUBLE) AS revenue
+FROM prod
+ORDER BY prod.revenue DESC, product_id ASC NULLS FIRST, prod.category ASC NULLS FIRST,
+         prod.brand ASC NULLS FIRST, price ASC NULLS FIRST
+LIMIT {TOP_PRODUCTS}""",
+    "brands_by_revenue_range": _with(
+        f"brs AS (SELECT brand, {MEASURES} FROM enriched WHERE brand IS NOT NULL AND {_range()} GROUP BY brand)"
+    )
+    + f"""SELECT COALESCE(brand, '') AS brand, views, carts, purchases, CAST(revenue AS DOUBLE) AS revenue
+FROM brs ORDER BY brs.revenue DESC, brs.brand ASC NULLS FIRST LIMIT {TOP_BRANDS}""",
     "brands_by_revenue": _with(
         f"brs AS (SELECT brand, {MEASURES} FROM enriched WHERE brand IS NOT NULL GROUP BY brand)"
     )

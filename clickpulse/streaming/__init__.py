@@ -6,6 +6,7 @@ from clickpulse.streaming.live import (
     live_session_stream,
     live_session_windows,
     read_live_table,
+    replace_table_jdbc,
     run_live_sessions_once,
     start_live_sessions,
     upsert_by_epoch,
@@ -17,6 +18,7 @@ __all__ = [
     "live_session_stream",
     "live_session_windows",
     "read_live_table",
+    "replace_table_jdbc",
     "run_live_sessions_once",
     "start_live_sessions",
     "upsert_by_epoch",

@@ -98,6 +98,22 @@ def upsert_by_epoch(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def replace_table_jdbc(
+    url: str, table: str, properties: dict[str, str] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer for ``complete`` mode: each micro-batch replaces the
+    whole serving table (truncate + insert), skipping empty batches - the
+    reference's sink, kept for a database-backed live table."""
+    from clickpulse.sinks.jdbc import write_table
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        write_table(batch, url, table, properties)
+
+    return write
+
+
 def read_live_table(spark: SparkSession, path: str, key: str = "session_id") -> DataFrame:
     """Current table: per key, the row of the latest epoch (distributed
     ``max_by``; the partial aggregate keeps one row per key per task)."""
