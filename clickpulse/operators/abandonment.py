@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.exprs import flag_type, safe_ratio
+from clickpulse.operators.live import dictionary, event_order
 
 
 def session_flags(enriched: DataFrame, grain: str = "day_category") -> DataFrame:
@@ -22,22 +23,22 @@ def session_flags(enriched: DataFrame, grain: str = "day_category") -> DataFrame
             flag_type("cart").alias("has_cart"), flag_type("purchase").alias("has_purchase")
         )
     if grain == "session":
-        is_cart = F.col("event_type") == "cart"
-        first_cart = F.min_by(
-            F.struct("date", "root_category"),
-            F.when(is_cart, F.struct("event_ts", "date", "root_category")),
+        # fixed-width buffers only (hash aggregate): the first cart's order
+        # key picks its date and its root category's dictionary id
+        first_cart = F.when(F.col("event_type") == "cart", event_order(enriched))
+        codes = dictionary(enriched, "root_category")
+        flags = (
+            enriched.join(codes, "root_category", "left")
+            .groupBy("user_session")
+            .agg(
+                flag_type("cart").alias("has_cart"),
+                flag_type("purchase").alias("has_purchase"),
+                F.min_by("date", first_cart).alias("date"),
+                F.min_by("_code", first_cart).alias("_code"),
+            )
         )
-        flags = enriched.groupBy("user_session").agg(
-            flag_type("cart").alias("has_cart"),
-            flag_type("purchase").alias("has_purchase"),
-            first_cart.alias("_at"),
-        )
-        return flags.select(
-            "user_session",
-            F.col("_at.date").alias("date"),
-            F.col("_at.root_category").alias("root_category"),
-            "has_cart",
-            "has_purchase",
+        return flags.join(codes, "_code", "left").select(
+            "user_session", "date", "root_category", "has_cart", "has_purchase"
         )
     raise ValueError(f"unknown grain {grain!r}")
 

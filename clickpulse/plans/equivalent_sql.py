@@ -238,7 +238,7 @@ FROM enriched WHERE brand IS NOT NULL GROUP BY brand""",
 ),
 first_cart AS (
   SELECT user_session, date, root_category,
-         ROW_NUMBER() OVER (PARTITION BY user_session ORDER BY event_ts, date, root_category) AS rn
+         ROW_NUMBER() OVER (PARTITION BY user_session ORDER BY event_ts, event_id) AS rn
   FROM enriched WHERE event_type = 'cart'
 )"""
     )
