@@ -22,10 +22,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
 from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT
 from clickpulse.operators.enrich import enrich
-from clickpulse.operators.live import live_sessions, session_window_state
+from clickpulse.operators.live import dictionary, live_sessions, session_window_state
 from clickpulse.schema import EVENT_SCHEMA
 from clickpulse.session import scratch_path
 from clickpulse.sources.events import decode_event_json
@@ -115,14 +116,30 @@ def replace_table_jdbc(
 
 
 def read_live_table(spark: SparkSession, path: str, key: str = "session_id") -> DataFrame:
-    """Current table: per key, the row of the latest epoch (distributed
-    ``max_by``; the partial aggregate keeps one row per key per task)."""
+    """Current table: per key, the values of its latest epoch.
+
+    A hash aggregate with ``max_by(column, epoch)`` per fixed-width column;
+    text columns go through a dictionary (distinct values, checkpointed,
+    broadcast when small) so no buffer is variable-width. The partial
+    aggregate keeps one row per key per task.
+    """
     updates = spark.read.parquet(path)
-    fields = [c for c in updates.columns if c not in (key, EPOCH_COL)]
-    latest = updates.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in fields]), F.col(EPOCH_COL)).alias("_row")
-    )
-    return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in fields])
+    fields = [f for f in updates.schema.fields if f.name not in (key, EPOCH_COL)]
+    text = [f.name for f in fields if isinstance(f.dataType, StringType)]
+    coded = updates
+    dicts = {}
+    for name in text:
+        dicts[name] = dictionary(updates, name).withColumnRenamed("_code", f"_code_{name}")
+        coded = coded.join(dicts[name], name, "left")
+    measures = [
+        F.max_by(F.col(f"_code_{f.name}" if f.name in dicts else f.name), F.col(EPOCH_COL)).alias(f.name)
+        for f in fields
+    ]
+    latest = coded.groupBy(key).agg(*measures)
+    for name, d in dicts.items():
+        names = d.select(F.col(f"_code_{name}").alias(name), F.col(name).alias(f"_text_{name}"))
+        latest = latest.join(names, name, "left").drop(name).withColumnRenamed(f"_text_{name}", name)
+    return latest.select(key, *[f.name for f in fields])
 
 
 def start_live_sessions(
