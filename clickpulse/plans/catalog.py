@@ -333,14 +333,6 @@ def q_csv_roundtrip(spark, sf):
     return edge(back.drop("event_time", "category_id"))
 
 
-def q_jdbc_roundtrip(spark, sf):
-    from clickpulse.sinks.jdbc import derby_memory_url, read_table, write_table
-
-    url = derby_memory_url("roundtrip")
-    write_table(_daily(spark, sf), url, "daily_metrics")
-    return edge(read_table(spark, url, "daily_metrics"))
-
-
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

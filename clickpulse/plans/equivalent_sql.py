@@ -418,10 +418,4 @@ FROM live ORDER BY last_event_time DESC NULLS LAST, session_id LIMIT {LIVE_TOP}"
 FROM live""",
     "event_json_roundtrip": _with() + ROUNDTRIP_COLUMNS,
     "csv_roundtrip": _with() + ROUNDTRIP_COLUMNS,
-    "jdbc_roundtrip": _with(DAILY)
-    + """SELECT date, total_events, unique_users, total_views, total_carts, total_purchases,
-       CAST(CAST(total_revenue AS DECIMAL(14,2)) AS DOUBLE) AS total_revenue,
-       CAST(CAST(conversion_rate AS DECIMAL(8,4)) AS DOUBLE) AS conversion_rate,
-       CAST(CAST(avg_order_value AS DECIMAL(10,2)) AS DOUBLE) AS avg_order_value
-FROM daily_metrics""",
 }

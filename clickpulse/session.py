@@ -81,6 +81,11 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (e.g. hdfs:// or s3a://); "
+                "a machine-local folder does not survive executor loss"
+            )
         configured = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

@@ -12,14 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpulse.schema import SERVING_TYPES, conform
 
 
-def derby_memory_url(name: str) -> str:
-    """In-process Derby database (tests): lives in this JVM only, no server."""
-    return f"jdbc:derby:memory:{name};create=true"
-
-
 def _driver_for(url: str) -> str | None:
-    if url.startswith("jdbc:derby:"):
-        return "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     if url.startswith("jdbc:postgresql:"):
         return "org.postgresql.Driver"
     return None

@@ -139,24 +139,3 @@ def test_windowed_state_is_bounded_and_correct(spark, tmp_dir):
     assert (rows["s1"].event_count, rows["s1"].last_product_id, rows["s1"].has_cart) == (2, 2, True)
     assert "s3" not in rows  # still open: its state is live, not final
 
-
-def test_complete_mode_jdbc_replace_sink(spark, tmp_dir):
-    from clickpulse.sinks.jdbc import derby_memory_url, read_table
-
-    src = f"{tmp_dir}/src"
-    _write_json(src, "1.json", [_event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1")])
-    _write_json(src, "2.json", [_event("2019-10-01T10:01:00Z", "cart", 2, "a.y", "s2", user=2)])
-    url = derby_memory_url("live_complete")
-    sessions = stream_live.live_session_stream(
-        stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
-    )
-    q = (
-        sessions.writeStream.outputMode("complete")
-        .foreachBatch(stream_live.replace_table_jdbc(url, "live_sessions"))
-        .option("checkpointLocation", f"{tmp_dir}/ckpt")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    rows = sorted((r.session_id, r.event_count, r.has_cart) for r in read_table(spark, url, "live_sessions").collect())
-    assert rows == [("s1", 1, False), ("s2", 1, True)]
