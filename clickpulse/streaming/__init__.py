@@ -1,6 +1,7 @@
 """Structured Streaming: event sources, live session state, upsert sink."""
 
 from clickpulse.streaming.live import (
+    compact_live_table,
     event_stream_files,
     event_stream_kafka,
     live_session_stream,
@@ -13,6 +14,7 @@ from clickpulse.streaming.live import (
 )
 
 __all__ = [
+    "compact_live_table",
     "event_stream_files",
     "event_stream_kafka",
     "live_session_stream",

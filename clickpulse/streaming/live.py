@@ -115,16 +115,16 @@ def replace_table_jdbc(
     return write
 
 
-def read_live_table(spark: SparkSession, path: str, key: str = "session_id") -> DataFrame:
-    """Current table: per key, the values of its latest epoch.
+def latest_by_key(updates: DataFrame, key: str, version: str = EPOCH_COL) -> DataFrame:
+    """Per key, the values of its highest ``version`` (ties cannot occur: one
+    row per key per epoch).
 
-    A hash aggregate with ``max_by(column, epoch)`` per fixed-width column;
+    A hash aggregate with ``max_by(column, version)`` per fixed-width column;
     text columns go through a dictionary (distinct values, checkpointed,
     broadcast when small) so no buffer is variable-width. The partial
     aggregate keeps one row per key per task.
     """
-    updates = spark.read.parquet(path)
-    fields = [f for f in updates.schema.fields if f.name not in (key, EPOCH_COL)]
+    fields = [f for f in updates.schema.fields if f.name not in (key, version)]
     text = [f.name for f in fields if isinstance(f.dataType, StringType)]
     coded = updates
     dicts = {}
@@ -132,14 +132,49 @@ def read_live_table(spark: SparkSession, path: str, key: str = "session_id") ->
         dicts[name] = dictionary(updates, name).withColumnRenamed("_code", f"_code_{name}")
         coded = coded.join(dicts[name], name, "left")
     measures = [
-        F.max_by(F.col(f"_code_{f.name}" if f.name in dicts else f.name), F.col(EPOCH_COL)).alias(f.name)
+        F.max_by(F.col(f"_code_{f.name}" if f.name in dicts else f.name), F.col(version)).alias(f.name)
         for f in fields
-    ]
+    ] + [F.max(version).alias(version)]
     latest = coded.groupBy(key).agg(*measures)
     for name, d in dicts.items():
         names = d.select(F.col(f"_code_{name}").alias(name), F.col(name).alias(f"_text_{name}"))
         latest = latest.join(names, name, "left").drop(name).withColumnRenamed(f"_text_{name}", name)
-    return latest.select(key, *[f.name for f in fields])
+    return latest.select(key, *[f.name for f in fields], version)
+
+
+def read_live_table(
+    spark: SparkSession, path: str, key: str = "session_id", base: str | None = None
+) -> DataFrame:
+    """Current live table: the latest epoch's row per key.
+
+    With ``base`` (a snapshot written by :func:`compact_live_table`), only
+    epochs newer than the snapshot are read (partition pruning on the
+    ``epoch=`` folders) and merged over it.
+    """
+    updates = spark.read.parquet(path)
+    if base is not None:
+        snapshot = spark.read.parquet(base)
+        covered = snapshot.agg(F.max(EPOCH_COL)).first()[0]
+        if covered is not None:
+            updates = updates.where(F.col(EPOCH_COL) > F.lit(covered)).unionByName(snapshot)
+    return latest_by_key(updates, key).drop(EPOCH_COL)
+
+
+def compact_live_table(
+    spark: SparkSession, path: str, out: str, key: str = "session_id", base: str | None = None
+) -> str:
+    """Write the current table (over ``base``, if given) as a new snapshot at
+    ``out``, tagged with the last epoch it covers. Readers then pass
+    ``base=out``; epoch folders up to that epoch are no longer read and can
+    be removed by retention."""
+    updates = spark.read.parquet(path)
+    if base is not None:
+        snapshot = spark.read.parquet(base)
+        covered = snapshot.agg(F.max(EPOCH_COL)).first()[0]
+        if covered is not None:
+            updates = updates.where(F.col(EPOCH_COL) > F.lit(covered)).unionByName(snapshot)
+    latest_by_key(updates, key).write.mode("overwrite").parquet(out)
+    return out
 
 
 def start_live_sessions(

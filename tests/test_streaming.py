@@ -139,3 +139,19 @@ def test_windowed_state_is_bounded_and_correct(spark, tmp_dir):
     assert (rows["s1"].event_count, rows["s1"].last_product_id, rows["s1"].has_cart) == (2, 2, True)
     assert "s3" not in rows  # still open: its state is live, not final
 
+
+
+def test_compacted_table_reads_equal_full_reads(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    _write_json(src, "1.json", [_event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1")])
+    _write_json(src, "2.json", [_event("2019-10-01T10:01:00Z", "cart", 2, "a.y", "s2", user=2)])
+    _run(spark, src, table, ckpt)
+    base = stream_live.compact_live_table(spark, table, f"{tmp_dir}/base1")
+    _write_json(src, "3.json", [_event("2019-10-01T10:05:00Z", "purchase", 3, "b.z", "s1")])
+    _run(spark, src, table, ckpt)
+    merged = stream_live.read_live_table(spark, table, base=base)
+    assert _rows(merged) == _rows(stream_live.read_live_table(spark, table)) == _rows(_batch(spark, src))
+    s1 = merged.filter(F.col("session_id") == "s1").first()
+    assert (s1.last_product_id, s1.last_category, s1.event_count) == (3, "b.z", 2)
+    base2 = stream_live.compact_live_table(spark, table, f"{tmp_dir}/base2", base=base)
+    assert _rows(stream_live.read_live_table(spark, table, base=base2)) == _rows(merged)
