@@ -204,8 +204,12 @@ def live_top(live: DataFrame, n: int = 50) -> DataFrame:
     return live.orderBy(*keys).limit(n).select(*cols, label("last_category").alias("last_category"))
 
 
-def live_counters(live: DataFrame) -> DataFrame:
-    """Sessions, with a cart, with a purchase (A18), over the whole live table."""
+def live_counters(live: DataFrame, n: int | None = None) -> DataFrame:
+    """Sessions, with a cart, with a purchase (A18): over the whole live table,
+    or, with ``n``, over the ``n`` rows the live view shows (the reference's
+    dashboard counts only those)."""
+    if n is not None:
+        live = live_top(live, n)
     return live.agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if(F.col("has_cart")).alias("with_cart"),

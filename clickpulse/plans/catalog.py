@@ -29,6 +29,7 @@ TOP_PRODUCTS = 20
 TOP_BRANDS = 20
 TOP_ABANDONMENT = 10
 LIVE_TOP = 50
+LIVE_SHOWN = 20
 SESSION_GAP = "30 minutes"
 RATE_DIGITS = 9  # a mean of doubles is order-dependent in its last bits
 
@@ -296,6 +297,10 @@ def q_live_counters(spark, sf):
     return edge(serving.live_counters(session_state(enriched(spark, sf))))
 
 
+def q_live_counters_shown(spark, sf):
+    return edge(serving.live_counters(session_state(enriched(spark, sf)), LIVE_SHOWN))
+
+
 def q_live_sessions_stream(spark, sf):
     from clickpulse.streaming.live import run_live_sessions_once
 

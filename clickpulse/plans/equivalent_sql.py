@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from clickpulse.plans.catalog import (
     FUNNEL_CATEGORY,
+    LIVE_SHOWN,
     LIVE_TOP,
     RANGE_END,
     RANGE_START,
@@ -416,6 +417,11 @@ FROM live ORDER BY last_event_time DESC NULLS LAST, session_id LIMIT {LIVE_TOP}"
        CAST(SUM(CASE WHEN has_cart THEN 1 ELSE 0 END) AS BIGINT) AS with_cart,
        CAST(SUM(CASE WHEN has_purchase THEN 1 ELSE 0 END) AS BIGINT) AS purchased
 FROM live""",
+    "live_counters_shown": _with(LIVE)
+    + f"""SELECT CAST(COUNT(*) AS BIGINT) AS sessions,
+       CAST(SUM(CASE WHEN has_cart THEN 1 ELSE 0 END) AS BIGINT) AS with_cart,
+       CAST(SUM(CASE WHEN has_purchase THEN 1 ELSE 0 END) AS BIGINT) AS purchased
+FROM (SELECT * FROM live ORDER BY last_event_time DESC NULLS LAST, session_id LIMIT {LIVE_SHOWN}) shown""",
     "event_json_roundtrip": _with() + ROUNDTRIP_COLUMNS,
     "csv_roundtrip": _with() + ROUNDTRIP_COLUMNS,
 }

@@ -94,3 +94,21 @@ def test_live_top_and_counters(spark):
     assert serving.live_top(live, 3).collect()[-1].last_category == ""
     (c,) = serving.live_counters(live).collect()
     assert (c.sessions, c.with_cart, c.purchased) == (3, 2, 1)
+
+
+def test_round_rates_optional(spark):
+    df = spark.createDataFrame([(1, 0.123456, 0.5, 7.0)], "views long, view_to_cart_rate double, overall_conversion double, x double")
+    (row,) = serving.round_rates(df, 4).collect()
+    assert (row.views, row.view_to_cart_rate, row.overall_conversion, row.x) == (1, 0.1235, 0.5, 7.0)
+
+
+def test_live_counters_over_shown_rows(spark):
+    live = spark.createDataFrame(
+        [(f"s{i}", i, dt.datetime(2019, 10, 1, 0, i), 1, i % 2 == 0, i % 3 == 0, i, "a.b") for i in range(30)],
+        "session_id string, user_id long, last_event_time timestamp, event_count long, has_cart boolean,"
+        " has_purchase boolean, last_product_id long, last_category string",
+    )
+    (all_rows,) = serving.live_counters(live).collect()
+    (shown,) = serving.live_counters(live, 20).collect()
+    assert (all_rows.sessions, shown.sessions) == (30, 20)
+    assert shown.with_cart == sum(1 for i in range(10, 30) if i % 2 == 0)
