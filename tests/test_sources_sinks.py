@@ -105,3 +105,16 @@ def test_batch_job_writes_all_outputs(spark, tmp_dir, make_events):
     assert os.path.isdir(f"{tmp_dir}/out/events_enriched/date=2019-10-01")
     empty = run_batch(spark, ev.limit(0), f"{tmp_dir}/out2")
     assert empty.skipped and not os.path.exists(f"{tmp_dir}/out2")
+
+
+def test_batch_cli_on_csv(spark, tmp_dir):
+    from clickpulse import jobs
+
+    src = f"{tmp_dir}/raw.csv"
+    with open(src, "w") as fh:
+        fh.write("event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n")
+        fh.write("2019-10-01 00:00:00 UTC,view,1,2,a.b,x,1.5,7,s1\n")
+        fh.write("2019-10-01 00:01:00 UTC,purchase,1,2,a.b,x,1.5,7,s1\n")
+    assert jobs.run(["batch", "--events", src, "--out", f"{tmp_dir}/out"]) == 0
+    (row,) = spark.read.parquet(f"{tmp_dir}/out/daily_metrics").collect()
+    assert (row.total_events, row.total_purchases, str(row.total_revenue)) == (2, 1, "1.50")
