@@ -48,6 +48,24 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Shuffle sizing for a given input size (pass as ``extra_conf``).
+
+    AQE can only coalesce shuffle partitions, never split them, so the
+    initial count must be high enough for the largest shuffle: about one
+    partition per ``target_partition_bytes`` of input (at least 200). AQE
+    then merges small ones towards the advisory size and splits skewed
+    partitions of joins.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024**2),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+    }
+
+
 def object_store_conf(
     endpoint: str,
     access_key: str,
