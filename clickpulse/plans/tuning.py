@@ -50,3 +50,25 @@ def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFra
     does not re-run its lineage.
     """
     return broadcast_if_small(cut_lineage(df), max_rows)
+
+
+def dimension_side(
+    dim: DataFrame, facts: DataFrame, key: str, max_rows: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
+    """The dimension side of a fact-to-dimension join, as small as it can be.
+
+    1. The whole dimension is broadcast if its row count (footer metadata
+       for a table scan) is under ``max_rows``.
+    2. Otherwise it is first cut to the keys the facts use (a semi join with
+       the facts' distinct keys, a one-column aggregate), checkpointed, and
+       broadcast if that is small, so the facts are never shuffled.
+    3. Otherwise the reduced side is joined by a shuffle join (AQE splits
+       hot keys; the dimension holds one row per key).
+    A streaming fact side skips step 2 (its keys are not known up front).
+    """
+    if fits(dim, max_rows):
+        return F.broadcast(dim)
+    if facts.isStreaming:
+        return dim
+    used = facts.select(key).where(F.col(key).isNotNull()).distinct()
+    return small_side(dim.join(used, key, "left_semi"), max_rows)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, TimestampType
 
-from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, dimension_side
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +42,9 @@ def shop_events(
     """Driver events -> shop events (typed ``event_ts``, no text time).
 
     The product dimension is broadcast only when its row count is checked to
-    be small; otherwise it is a shuffle join on product_id, where AQE's skew
-    join splits hot products (the dimension holds one row per key).
+    be small; a large one is first cut to the products the events use (see
+    :func:`clickpulse.plans.tuning.dimension_side`), so the events are not
+    shuffled for the join.
     """
     ts = F.col("ts").cast(TimestampType())
     facts = events.select(
@@ -59,7 +60,7 @@ def shop_events(
             F.col("user_id").cast("string"), F.lit("-"), F.to_date(ts).cast("string")
         ).alias("user_session"),
     )
-    dim = broadcast_if_small(product_dimension(part), max_broadcast_rows)
+    dim = dimension_side(product_dimension(part), facts, "product_id", max_broadcast_rows)
     joined = facts.join(dim, "product_id", "left")
     return joined.select(
         "event_id",

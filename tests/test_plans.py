@@ -81,3 +81,18 @@ def test_no_python_in_plans(spark, name):
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in plan
     assert "WholeStageCodegen" in plan or "*(" in plan
+
+
+def test_large_dimension_is_cut_to_used_keys(spark):
+    from pyspark.sql import functions as F
+
+    from clickpulse.plans.tuning import dimension_side
+
+    dim = spark.range(0, 5000).select(F.col("id").alias("product_id"), (F.col("id") * 2).alias("v"))
+    facts = spark.createDataFrame([(i % 7,) for i in range(100)], "product_id long")
+    side = dimension_side(dim, facts, "product_id", max_rows=100)
+    assert sorted(r.product_id for r in side.collect()) == list(range(7))
+    joined = facts.join(side, "product_id", "left")
+    plan = executed_plan(joined)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert joined.count() == 100
