@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--jdbc-password", default=None)
     b.add_argument("--affinity-sample", type=float, default=None, help="session sample fraction")
     b.add_argument("--range-partitions", type=int, default=None, help="cluster unordered input by date")
+    b.add_argument("--cube", action="store_true", help="derive additive tables from one base cube")
 
     s = sub.add_parser("stream", help="live per-session table from a stream")
     s.add_argument("--kafka", default=None, help="bootstrap servers (else --source-dir)")
@@ -75,6 +76,7 @@ def run(argv: list[str] | None = None) -> int:
             jdbc_properties=props,
             affinity_sample=args.affinity_sample,
             range_partitions=args.range_partitions,
+            use_cube=args.cube,
         )
         print("skipped: empty input" if result.skipped else f"wrote {sorted(result.outputs)}")
         return 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, TimestampNTZType, TimestampType
 
 from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT, parse_event_time
-from clickpulse.operators import abandonment, affinity, metrics, sampling, serving
+from clickpulse.operators import abandonment, affinity, cube, metrics, sampling, serving
 from clickpulse.operators.enrich import enrich
 from clickpulse.operators.live import session_state, session_window_state
 from clickpulse.sources.tables import baskets_from_lineitem, events_from_tables, load_table
@@ -206,6 +206,42 @@ def q_brand_revenue_text(spark, sf):
     return edge(metrics.brand_revenue(rows))
 
 
+def _cube(spark, sf):
+    return cube.base_cube(enriched(spark, sf))
+
+
+def q_base_cube(spark, sf):
+    return edge(_cube(spark, sf))
+
+
+def q_daily_metrics_cube(spark, sf):
+    return edge(cube.daily_from_cube(_cube(spark, sf), enriched(spark, sf)))
+
+
+def q_top_products_cube(spark, sf):
+    return edge(cube.products_from_cube(_cube(spark, sf)))
+
+
+def q_top_categories_cube(spark, sf):
+    return edge(cube.categories_from_cube(_cube(spark, sf)))
+
+
+def q_top_brands_cube(spark, sf):
+    return edge(cube.brands_from_cube(_cube(spark, sf)))
+
+
+def q_funnel_stats_cube(spark, sf):
+    return edge(cube.funnel_from_cube(_cube(spark, sf)))
+
+
+def q_category_events_cube(spark, sf):
+    return edge(cube.category_events_from_cube(_cube(spark, sf)))
+
+
+def q_brand_revenue_cube(spark, sf):
+    return edge(cube.brand_revenue_from_cube(_cube(spark, sf)))
+
+
 def _daily(spark, sf):
     return metrics.daily_metrics(enriched(spark, sf))
 

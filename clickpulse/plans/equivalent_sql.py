@@ -424,4 +424,13 @@ FROM live""",
 FROM (SELECT * FROM live ORDER BY last_event_time DESC NULLS LAST, session_id LIMIT {LIVE_SHOWN}) shown""",
     "event_json_roundtrip": _with() + ROUNDTRIP_COLUMNS,
     "csv_roundtrip": _with() + ROUNDTRIP_COLUMNS,
+    "base_cube": _with()
+    + """SELECT date, product_id, category_code, root_category, brand, price, event_type,
+       CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(TRY_CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS amount
+FROM enriched GROUP BY date, product_id, category_code, root_category, brand, price, event_type""",
 }
+
+# the cube roll-ups compute the same tables as the direct forms
+for _name in ("daily_metrics", "top_products", "top_categories", "top_brands", "funnel_stats",
+              "category_events", "brand_revenue"):
+    SQL[f"{_name}_cube"] = SQL[_name]
