@@ -34,6 +34,7 @@ from clickpulse.sources.tables import load_table, shop_events
 
 STREAM_FORMATS = (STREAM_TIME_FORMAT, BATCH_TIME_FORMAT)
 EPOCH_COL = "epoch"
+WINDOW_KEY = ["session_id", "window_start"]
 
 
 def event_stream_kafka(
@@ -115,7 +116,14 @@ def replace_table_jdbc(
     return write
 
 
-def latest_by_key(updates: DataFrame, key: str, version: str = EPOCH_COL) -> DataFrame:
+Key = str | list[str]
+
+
+def _keys(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def latest_by_key(updates: DataFrame, key: Key, version: str = EPOCH_COL) -> DataFrame:
     """Per key, the values of its highest ``version`` (ties cannot occur: one
     row per key per epoch).
 
@@ -124,7 +132,8 @@ def latest_by_key(updates: DataFrame, key: str, version: str = EPOCH_COL) -> Dat
     broadcast when small) so no buffer is variable-width. The partial
     aggregate keeps one row per key per task.
     """
-    fields = [f for f in updates.schema.fields if f.name not in (key, version)]
+    keys = _keys(key)
+    fields = [f for f in updates.schema.fields if f.name not in (*keys, version)]
     text = [f.name for f in fields if isinstance(f.dataType, StringType)]
     coded = updates
     dicts = {}
@@ -135,17 +144,18 @@ def latest_by_key(updates: DataFrame, key: str, version: str = EPOCH_COL) -> Dat
         F.max_by(F.col(f"_code_{f.name}" if f.name in dicts else f.name), F.col(version)).alias(f.name)
         for f in fields
     ] + [F.max(version).alias(version)]
-    latest = coded.groupBy(key).agg(*measures)
+    latest = coded.groupBy(*keys).agg(*measures)
     for name, d in dicts.items():
         names = d.select(F.col(f"_code_{name}").alias(name), F.col(name).alias(f"_text_{name}"))
         latest = latest.join(names, name, "left").drop(name).withColumnRenamed(f"_text_{name}", name)
-    return latest.select(key, *[f.name for f in fields], version)
+    return latest.select(*keys, *[f.name for f in fields], version)
 
 
 def read_live_table(
-    spark: SparkSession, path: str, key: str = "session_id", base: str | None = None
+    spark: SparkSession, path: str, key: Key = "session_id", base: str | None = None
 ) -> DataFrame:
-    """Current live table: the latest epoch's row per key.
+    """Current live table: the latest epoch's row per key (``session_id``;
+    ``["session_id", "window_start"]`` for the session-window table).
 
     With ``base`` (a snapshot written by :func:`compact_live_table`), only
     epochs newer than the snapshot are read (partition pruning on the
@@ -161,7 +171,7 @@ def read_live_table(
 
 
 def compact_live_table(
-    spark: SparkSession, path: str, out: str, key: str = "session_id", base: str | None = None
+    spark: SparkSession, path: str, out: str, key: Key = "session_id", base: str | None = None
 ) -> str:
     """Write the current table (over ``base``, if given) as a new snapshot at
     ``out``, tagged with the last epoch it covers. Readers then pass

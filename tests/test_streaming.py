@@ -155,3 +155,23 @@ def test_compacted_table_reads_equal_full_reads(spark, tmp_dir):
     assert (s1.last_product_id, s1.last_category, s1.event_count) == (3, "b.z", 2)
     base2 = stream_live.compact_live_table(spark, table, f"{tmp_dir}/base2", base=base)
     assert _rows(stream_live.read_live_table(spark, table, base=base2)) == _rows(merged)
+
+
+def test_window_table_keeps_every_window(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    _write_json(
+        src,
+        "1.json",
+        [
+            _event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1"),
+            _event("2019-10-01T11:00:00Z", "cart", 2, "a.y", "s1"),  # new window: gap > 30 min
+        ],
+    )
+    _write_json(src, "2.json", [_event("2019-10-01T14:00:00Z", "view", 3, "b.x", "s2")])
+    events = stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
+    windows = stream_live.live_session_windows(events, gap="30 minutes", watermark="30 minutes")
+    q = stream_live.start_live_sessions(windows, table, ckpt, {"availableNow": True}, output_mode="append")
+    q.awaitTermination()
+    rows = stream_live.read_live_table(spark, table, key=stream_live.WINDOW_KEY).collect()
+    s1 = sorted((r.window_start.hour, r.last_product_id) for r in rows if r.session_id == "s1")
+    assert s1 == [(10, 1), (11, 2)]
