@@ -151,6 +151,19 @@ def latest_by_key(updates: DataFrame, key: Key, version: str = EPOCH_COL) -> Dat
     return latest.select(*keys, *[f.name for f in fields], version)
 
 
+def _updates_over(spark: SparkSession, path: str, base: str | None) -> DataFrame:
+    """Epoch updates, or a snapshot plus the epochs after it. The snapshot's
+    last epoch is one scalar; as a literal it prunes ``epoch=`` folders."""
+    updates = spark.read.parquet(path)
+    if base is None:
+        return updates
+    snapshot = spark.read.parquet(base)
+    covered = snapshot.agg(F.max(EPOCH_COL)).first()[0]
+    if covered is None:
+        return updates
+    return updates.where(F.col(EPOCH_COL) > F.lit(covered)).unionByName(snapshot)
+
+
 def read_live_table(
     spark: SparkSession, path: str, key: Key = "session_id", base: str | None = None
 ) -> DataFrame:
@@ -161,13 +174,7 @@ def read_live_table(
     epochs newer than the snapshot are read (partition pruning on the
     ``epoch=`` folders) and merged over it.
     """
-    updates = spark.read.parquet(path)
-    if base is not None:
-        snapshot = spark.read.parquet(base)
-        covered = snapshot.agg(F.max(EPOCH_COL)).first()[0]
-        if covered is not None:
-            updates = updates.where(F.col(EPOCH_COL) > F.lit(covered)).unionByName(snapshot)
-    return latest_by_key(updates, key).drop(EPOCH_COL)
+    return latest_by_key(_updates_over(spark, path, base), key).drop(EPOCH_COL)
 
 
 def compact_live_table(
@@ -177,13 +184,7 @@ def compact_live_table(
     ``out``, tagged with the last epoch it covers. Readers then pass
     ``base=out``; epoch folders up to that epoch are no longer read and can
     be removed by retention."""
-    updates = spark.read.parquet(path)
-    if base is not None:
-        snapshot = spark.read.parquet(base)
-        covered = snapshot.agg(F.max(EPOCH_COL)).first()[0]
-        if covered is not None:
-            updates = updates.where(F.col(EPOCH_COL) > F.lit(covered)).unionByName(snapshot)
-    latest_by_key(updates, key).write.mode("overwrite").parquet(out)
+    latest_by_key(_updates_over(spark, path, base), key).write.mode("overwrite").parquet(out)
     return out
 
 
