@@ -17,6 +17,18 @@ from clickpulse.functions.exprs import MONEY_TYPE, label, safe_ratio
 DateLike = dt.date | str
 
 
+def _check_limit(n: int | None) -> None:
+    """Top-N sizes must be positive (a limit of 0 is a caller error)."""
+    if n is not None and (isinstance(n, bool) or not isinstance(n, int) or n < 1):
+        raise ValueError(f"limit must be a positive integer, got {n!r}")
+
+
+def _check_range(start: DateLike | None, end: DateLike | None) -> None:
+    """Range reads need both dates, as the read layer does."""
+    if start is None or end is None:
+        raise ValueError("start and end dates are required")
+
+
 def _in_range(start: DateLike | None, end: DateLike | None) -> Column:
     cond = F.lit(True)
     if start is not None:
@@ -40,6 +52,7 @@ def overview_kpis(daily: DataFrame, start: DateLike, end: DateLike) -> DataFrame
     ``unique_users`` is the sum of daily uniques and conversion divides by it
     (SURVEY T3); :func:`range_distinct_users` gives true distinct users.
     """
+    _check_range(start, end)
     rows = daily.filter(_in_range(start, end))
     agg = rows.agg(
         _zero_sum("total_events").alias("total_events"),
@@ -56,6 +69,7 @@ def overview_kpis(daily: DataFrame, start: DateLike, end: DateLike) -> DataFrame
 
 def range_distinct_users(enriched: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Distinct users over a date range, from events (one row)."""
+    _check_range(start, end)
     return enriched.filter(_in_range(start, end)).agg(
         F.count_distinct("user_id").alias("distinct_users")
     )
@@ -63,6 +77,7 @@ def range_distinct_users(enriched: DataFrame, start: DateLike, end: DateLike) ->
 
 def overview_trend(daily: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """Daily series for the range, by date."""
+    _check_range(start, end)
     return (
         daily.filter(_in_range(start, end))
         .select("date", "total_views", "total_carts", "total_purchases", "total_revenue")
@@ -74,6 +89,7 @@ def funnel_range(
     funnel: DataFrame, start: DateLike, end: DateLike, category: str = "all"
 ) -> DataFrame:
     """Range funnel for all categories or one (A15, F7): counts + 3 rates."""
+    _check_range(start, end)
     rows = funnel.filter(_in_range(start, end))
     if category != "all":
         rows = rows.filter(F.col("category") == F.lit(category))
@@ -137,6 +153,8 @@ def abandonment_top(
 
     Also returns the cart-weighted rate, which the daily mean is not.
     """
+    _check_range(start, end)
+    _check_limit(n)
     rows = abandonment.filter(_in_range(start, end))
     agg = rows.groupBy("category").agg(
         F.sum("abandoned_carts").cast("bigint").alias("abandoned_carts"),
@@ -148,6 +166,7 @@ def abandonment_top(
 
 
 def _by_revenue(df: DataFrame, keys: list[str], n: int | None) -> DataFrame:
+    _check_limit(n)
     ordered = df.orderBy(F.col("revenue").desc(), *[F.col(k).asc_nulls_first() for k in keys])
     return ordered.limit(n) if n is not None else ordered
 
@@ -197,6 +216,7 @@ def last_days(dated: DataFrame, days: int = 30) -> DataFrame:
 
 def live_top(live: DataFrame, n: int = 50) -> DataFrame:
     """Most recently updated live sessions (L7); ties by event time, then id."""
+    _check_limit(n)
     keys = [F.col("last_event_time").desc_nulls_last(), F.col("session_id")]
     if "updated_at" in live.columns:
         keys.insert(0, F.col("updated_at").desc_nulls_last())

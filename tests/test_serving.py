@@ -112,3 +112,20 @@ def test_live_counters_over_shown_rows(spark):
     (shown,) = serving.live_counters(live, 20).collect()
     assert (all_rows.sessions, shown.sessions) == (30, 20)
     assert shown.with_cart == sum(1 for i in range(10, 30) if i % 2 == 0)
+
+
+def test_bounds_are_rejected(spark):
+    import pytest
+
+    df = spark.createDataFrame(
+        [(dt.date(2019, 10, 1), "a", 1, 1, 1, 1.0, "b")],
+        "date date, category string, views long, carts long, purchases long, revenue double, brand string",
+    )
+    with pytest.raises(ValueError):
+        serving.brands_by_revenue(df, 0)
+    with pytest.raises(ValueError):
+        serving.products_by_revenue(df, -1)
+    with pytest.raises(ValueError):
+        serving.funnel_range(df, None, "2019-10-31")
+    with pytest.raises(ValueError):
+        serving.overview_trend(df, "2019-10-01", None)
