@@ -343,6 +343,13 @@ def q_live_sessions_stream(spark, sf):
     return edge(run_live_sessions_once(spark, sf).drop("updated_at"))
 
 
+def q_live_sessions_expiring(spark, sf):
+    from clickpulse.streaming.live import run_live_sessions_once
+
+    final = run_live_sessions_once(spark, sf, expiring=True)
+    return edge(final.drop("updated_at", "expired"))
+
+
 def q_event_json_roundtrip(spark, sf):
     from clickpulse.sinks.kafka import encode_events
     from clickpulse.sources.events import decode_event_json

@@ -377,6 +377,7 @@ FROM brs ORDER BY brs.revenue DESC, brs.brand ASC NULLS FIRST LIMIT {TOP_BRANDS}
 FROM cats ORDER BY cats.revenue DESC, cats.category ASC NULLS FIRST""",
     "live_sessions": _with(LIVE) + "SELECT * FROM live",
     "live_sessions_stream": _with(LIVE) + "SELECT * FROM live",
+    "live_sessions_expiring": _with(LIVE) + "SELECT * FROM live",
     "live_session_windows": _with(
         """gaps AS (
   SELECT *,

@@ -1,0 +1,156 @@
+"""Live session state that expires: one row per session id, bounded state.
+
+The plain streaming aggregate keeps every session id forever (as the
+reference does), and a ``session_window`` aggregate bounds state but only
+emits a window once it is closed (append mode). This operator gives both a
+live view and bounded state: state is keyed by the session id alone, each
+micro-batch emits the updated sessions, and an event-time timer at
+``last event + gap`` fires once the watermark passes it. The session's final
+row is then emitted with ``expired = true`` and its state is deleted.
+
+Built on ``transformWithStateInPandas`` (RocksDB state store, event-time
+timers). Spark groups and shuffles the events by session; the processor
+merges one session's new rows (a pandas frame) into one state row. A
+session that sends events after it expired starts a new live row.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import (
+    ExpiredTimerInfo,
+    StatefulProcessor,
+    StatefulProcessorHandle,
+    TimerValues,
+)
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+STATE_SCHEMA = (
+    "user_id long, first_ts long, first_tb long, last_ts long, last_tb long, event_count long, "
+    "has_cart boolean, has_purchase boolean, last_product_id long, last_category string"
+)
+OUTPUT_SCHEMA = (
+    "session_id string, user_id long, last_event_time timestamp, event_count long, "
+    "has_cart boolean, has_purchase boolean, last_product_id long, last_category string, "
+    "expired boolean"
+)
+_FIELDS = [f.strip().split(" ")[0] for f in STATE_SCHEMA.split(",")]
+
+
+def _none(v):
+    return None if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NA else v
+
+
+class SessionExpiry(StatefulProcessor):
+    """Merge a session's new events into its state row; expire it after ``gap_ms``."""
+
+    def __init__(self, gap_ms: int):
+        self.gap_ms = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("session", STATE_SCHEMA)
+
+    def _row(self, key, s: dict, expired: bool) -> pd.DataFrame:
+        return pd.DataFrame(
+            [
+                {
+                    "session_id": key[0],
+                    "user_id": s["user_id"],
+                    "last_event_time": pd.to_datetime(s["last_ts"], unit="us") if s["last_ts"] is not None else None,
+                    "event_count": s["event_count"],
+                    "has_cart": s["has_cart"],
+                    "has_purchase": s["has_purchase"],
+                    "last_product_id": s["last_product_id"],
+                    "last_category": s["last_category"],
+                    "expired": expired,
+                }
+            ]
+        )
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)
+        s = dict(zip(_FIELDS, self.state.get())) if self.state.exists() else None
+        timed = batch[batch["order_ts"].notna()].sort_values(["order_ts", "order_tb"], kind="stable")
+        new = {
+            "event_count": int(len(batch)) + (s["event_count"] if s else 0),
+            "has_cart": bool((batch["event_type"] == "cart").any()) or bool(s and s["has_cart"]),
+            "has_purchase": bool((batch["event_type"] == "purchase").any()) or bool(s and s["has_purchase"]),
+        }
+        for f in ("user_id", "first_ts", "first_tb", "last_ts", "last_tb", "last_product_id", "last_category"):
+            new[f] = s[f] if s else None
+        if len(timed):
+            first, last = timed.iloc[0], timed.iloc[-1]
+            f_key = (int(first["order_ts"]), int(first["order_tb"]))
+            l_key = (int(last["order_ts"]), int(last["order_tb"]))
+            if new["first_ts"] is None or f_key < (new["first_ts"], new["first_tb"]):
+                new.update(first_ts=f_key[0], first_tb=f_key[1], user_id=_none(first["user_id"]))
+            if new["last_ts"] is None or l_key > (new["last_ts"], new["last_tb"]):
+                new.update(
+                    last_ts=l_key[0],
+                    last_tb=l_key[1],
+                    last_product_id=_none(last["product_id"]),
+                    last_category=_none(last["category_code"]),
+                )
+        for k in ("user_id", "last_product_id"):
+            if new[k] is not None:
+                new[k] = int(new[k])
+        self.state.update(tuple(new[f] for f in _FIELDS))
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        if new["last_ts"] is not None:
+            self.handle.registerTimer(new["last_ts"] // 1000 + self.gap_ms)
+        yield self._row(key, new, expired=False)
+
+    def handleExpiredTimer(
+        self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
+    ) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            s = dict(zip(_FIELDS, self.state.get()))
+            self.state.clear()
+            yield self._row(key, s, expired=True)
+
+    def close(self) -> None:
+        pass
+
+
+# The processor is shipped to the Python workers by value (it needs only this
+# module, pandas and pyspark), so executors do not need the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def expiring_session_state(enriched: DataFrame, gap_ms: int) -> DataFrame:
+    """``enriched`` must carry a watermark on ``event_ts``. The order key
+    (time, tiebreak) is computed JVM-side, as in the batch form."""
+    from clickpulse.operators.live import _TIEBREAK_FALLBACK
+
+    spark = enriched.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    if "event_id" in enriched.columns:
+        tb = F.col("event_id").cast("long")
+    else:
+        tb = F.xxhash64(*[F.col(c) for c in _TIEBREAK_FALLBACK if c in enriched.columns])
+    prepared = enriched.select(
+        F.col("user_session").alias("session_id"),
+        F.col("user_id").cast("long").alias("user_id"),
+        F.unix_micros(F.col("event_ts")).alias("order_ts"),
+        tb.alias("order_tb"),
+        "event_ts",
+        "event_type",
+        F.col("product_id").cast("long").alias("product_id"),
+        "category_code",
+    )
+    return prepared.groupBy("session_id").transformWithStateInPandas(
+        statefulProcessor=SessionExpiry(gap_ms),
+        outputStructType=OUTPUT_SCHEMA,
+        outputMode="Update",
+        timeMode="EventTime",
+    )

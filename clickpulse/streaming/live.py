@@ -89,6 +89,30 @@ def live_session_windows(events: DataFrame, gap: str = "30 minutes", watermark:
     return session_window_state(enriched, gap)
 
 
+_UNIT_MS = {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
+
+
+def duration_ms(text: str) -> int:
+    """``"30 minutes"`` -> 1800000 (the interval words Spark accepts)."""
+    amount, unit = text.split()
+    return int(float(amount) * _UNIT_MS[unit.lower().rstrip("s")])
+
+
+def live_session_expiring(
+    events: DataFrame, gap: str = "30 minutes", watermark: str = "30 minutes"
+) -> DataFrame:
+    """Live and bounded: one row per session id, updated every micro-batch,
+    expired (final row, ``expired = true``, state deleted) after ``gap``
+    without events once the watermark passes. See
+    :mod:`clickpulse.streaming.expiring`."""
+    from clickpulse.streaming.expiring import expiring_session_state
+
+    enriched = enrich(events, STREAM_FORMATS).withWatermark("event_ts", watermark)
+    return expiring_session_state(enriched, duration_ms(gap)).withColumn(
+        "updated_at", F.current_timestamp()
+    )
+
+
 def upsert_by_epoch(path: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer: changed rows -> ``path/epoch=<id>`` (idempotent)."""
 
@@ -205,13 +229,14 @@ def start_live_sessions(
     return writer.start()
 
 
-def run_live_sessions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_live_sessions_once(spark: SparkSession, sf_dir: str, expiring: bool = False) -> DataFrame:
     """Stream the driver's events file through the live query to completion
-    (``availableNow``), then return the resulting live table."""
+    (``availableNow``), then return the resulting live table. ``expiring``
+    uses :func:`live_session_expiring` (30 minute gap and watermark)."""
     events_schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
     raw = event_stream_files(spark, sf_dir, "parquet", events_schema, glob="events.parquet")
     shop = shop_events(raw, load_table(spark, sf_dir, "part"))
-    sessions = live_session_stream(shop)
+    sessions = live_session_expiring(shop) if expiring else live_session_stream(shop)
     table = scratch_path(spark, "live-sessions")
     ckpt = scratch_path(spark, "live-sessions-ckpt")
     query = start_live_sessions(sessions, table, ckpt, trigger={"availableNow": True})

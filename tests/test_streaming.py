@@ -175,3 +175,27 @@ def test_window_table_keeps_every_window(spark, tmp_dir):
     rows = stream_live.read_live_table(spark, table, key=stream_live.WINDOW_KEY).collect()
     s1 = sorted((r.window_start.hour, r.last_product_id) for r in rows if r.session_id == "s1")
     assert s1 == [(10, 1), (11, 2)]
+
+
+def test_expiring_state_is_live_and_bounded(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    _write_json(
+        src,
+        "1.json",
+        [
+            _event("2019-10-01T10:10:00Z", "cart", 2, "a.y", "s1"),
+            _event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1", user=7),
+        ],
+    )
+    _write_json(src, "2.json", [_event("2019-10-01T12:00:00Z", "view", 3, "b.x", "s2")])
+    _write_json(src, "3.json", [_event("2019-10-01T14:00:00Z", "view", 4, "b.x", "s3")])
+    events = stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
+    live = stream_live.live_session_expiring(events, gap="30 minutes", watermark="30 minutes")
+    q = stream_live.start_live_sessions(live, table, ckpt, {"availableNow": True})
+    q.awaitTermination()
+    updates = spark.read.parquet(table)
+    s1 = sorted((r.epoch, r.expired) for r in updates.filter(F.col("session_id") == "s1").collect())
+    assert s1[0][1] is False and s1[-1][1] is True  # live first, final row once expired
+    rows = {r.session_id: r for r in stream_live.read_live_table(spark, table).collect()}
+    assert (rows["s1"].user_id, rows["s1"].last_product_id, rows["s1"].event_count, rows["s1"].expired) == (7, 2, 2, True)
+    assert rows["s3"].expired is False  # watermark has not passed its timer
