@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--trigger", default="5 seconds")
     s.add_argument("--watermark", default=None, help="e.g. '30 minutes' with --session-gap")
     s.add_argument("--session-gap", default=None, help="bounded state: one row per activity window")
+    s.add_argument("--expire-after", default=None, help="bounded live state: expire a session after this idle time")
     return p
 
 
@@ -89,7 +90,10 @@ def run(argv: list[str] | None = None) -> int:
         events = stream_live.event_stream_files(spark, args.source_dir, "json")
     else:
         raise SystemExit("give --kafka or --source-dir")
-    if args.session_gap:
+    if args.expire_after:
+        sessions = stream_live.live_session_expiring(events, args.expire_after, args.watermark or args.expire_after)
+        mode = "update"
+    elif args.session_gap:
         sessions = stream_live.live_session_windows(events, args.session_gap, args.watermark or args.session_gap)
         mode = "append"
     else:

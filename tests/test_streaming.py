@@ -199,3 +199,28 @@ def test_expiring_state_is_live_and_bounded(spark, tmp_dir):
     rows = {r.session_id: r for r in stream_live.read_live_table(spark, table).collect()}
     assert (rows["s1"].user_id, rows["s1"].last_product_id, rows["s1"].event_count, rows["s1"].expired) == (7, 2, 2, True)
     assert rows["s3"].expired is False  # watermark has not passed its timer
+
+
+def test_stream_cli_expiring_from_files(spark, tmp_dir):
+    import threading
+
+    from clickpulse import jobs
+
+    src = f"{tmp_dir}/src"
+    _write_json(src, "1.json", [_event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1")])
+    args = ["stream", "--source-dir", src, "--table", f"{tmp_dir}/t", "--checkpoint", f"{tmp_dir}/c",
+            "--expire-after", "30 minutes", "--trigger", "1 second"]
+    runner = threading.Thread(target=jobs.run, args=(args,), daemon=True)
+    runner.start()
+    import time
+
+    deadline = time.time() + 120
+    import glob
+
+    while time.time() < deadline and not glob.glob(f"{tmp_dir}/t/epoch=*/_SUCCESS"):
+        time.sleep(1)
+    for q in spark.streams.active:
+        q.stop()
+    runner.join(timeout=60)
+    (row,) = stream_live.read_live_table(spark, f"{tmp_dir}/t").collect()
+    assert (row.session_id, row.event_count, row.expired) == ("s1", 1, False)
