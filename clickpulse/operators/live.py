@@ -28,7 +28,7 @@ ORDER_TYPE = DecimalType(38, 0)
 _TS_SHIFT = "100000000000000000"
 _SCALE = "100000000000000000000"
 _TB_SHIFT = "9223372036854775808"
-_TIEBREAK_FALLBACK = ("product_id", "event_type", "category_code", "brand", "price", "user_id")
+TIEBREAK_FALLBACK = ("product_id", "event_type", "category_code", "brand", "price", "user_id")
 
 
 def _dec(text: str) -> Column:
@@ -48,7 +48,7 @@ def event_order(df: DataFrame, tiebreak: str | None = None) -> Column:
     elif "event_id" in df.columns:
         tb = F.col("event_id").cast("long")
     else:
-        tb = F.xxhash64(*[F.col(c) for c in _TIEBREAK_FALLBACK if c in df.columns])
+        tb = F.xxhash64(*[F.col(c) for c in TIEBREAK_FALLBACK if c in df.columns])
     micros = F.unix_micros(F.col("event_ts").cast("timestamp"))
     return (micros.cast(ORDER_TYPE) + _dec(_TS_SHIFT)) * _dec(_SCALE) + (
         tb.cast(ORDER_TYPE) + _dec(_TB_SHIFT)

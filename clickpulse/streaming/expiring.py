@@ -129,7 +129,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def expiring_session_state(enriched: DataFrame, gap_ms: int) -> DataFrame:
     """``enriched`` must carry a watermark on ``event_ts``. The order key
     (time, tiebreak) is computed JVM-side, as in the batch form."""
-    from clickpulse.operators.live import _TIEBREAK_FALLBACK
+    from clickpulse.operators.live import TIEBREAK_FALLBACK
 
     spark = enriched.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
@@ -137,7 +137,7 @@ def expiring_session_state(enriched: DataFrame, gap_ms: int) -> DataFrame:
     if "event_id" in enriched.columns:
         tb = F.col("event_id").cast("long")
     else:
-        tb = F.xxhash64(*[F.col(c) for c in _TIEBREAK_FALLBACK if c in enriched.columns])
+        tb = F.xxhash64(*[F.col(c) for c in TIEBREAK_FALLBACK if c in enriched.columns])
     prepared = enriched.select(
         F.col("user_session").alias("session_id"),
         F.col("user_id").cast("long").alias("user_id"),
