@@ -9,6 +9,8 @@ Parquet instead of re-parsing the raw input.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,41 +28,50 @@ class BatchResult:
     skipped: bool = False
 
 
-def batch_outputs(
+def output_builders(
     enriched: DataFrame, affinity_sample: float | None = None, base: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """All serving tables as lazy frames over one enriched frame.
+) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of every serving table over one enriched frame.
 
     With ``base`` (a written :func:`clickpulse.operators.cube.base_cube`), the
     additive tables are roll-ups of it instead of scans of the events.
+    Builders, not frames: affinity runs size checks while it is built, and
+    each output is built inside its own task.
     """
     events_for_affinity = enriched
     if affinity_sample is not None:
         events_for_affinity = sampling.session_sample(enriched, affinity_sample)
-    flags = abandonment.session_flags(enriched)
-    if base is not None:
-        return {
-            "daily_metrics": cube.daily_from_cube(base, enriched),
-            "top_products": cube.products_from_cube(base),
-            "top_categories": cube.categories_from_cube(base),
-            "top_brands": cube.brands_from_cube(base),
-            "funnel_stats": cube.funnel_from_cube(base),
-            "cart_abandonment": abandonment.cart_abandonment(flags),
-            "product_affinity": affinity.product_affinity(events_for_affinity),
-            "category_events": cube.category_events_from_cube(base),
-            "brand_revenue": cube.brand_revenue_from_cube(base),
-        }
-    return {
-        "daily_metrics": metrics.daily_metrics(enriched),
-        "top_products": metrics.product_stats(enriched),
-        "top_categories": metrics.category_stats(enriched),
-        "top_brands": metrics.brand_stats(enriched),
-        "funnel_stats": metrics.funnel_stats(enriched),
-        "cart_abandonment": abandonment.cart_abandonment(flags),
-        "product_affinity": affinity.product_affinity(events_for_affinity),
-        "category_events": metrics.category_events(metrics.category_event_rows(enriched)),
-        "brand_revenue": metrics.brand_revenue(metrics.brand_price_rows(enriched)),
+    builders: dict[str, Callable[[], DataFrame]] = {
+        "daily_metrics": lambda: metrics.daily_metrics(enriched),
+        "top_products": lambda: metrics.product_stats(enriched),
+        "top_categories": lambda: metrics.category_stats(enriched),
+        "top_brands": lambda: metrics.brand_stats(enriched),
+        "funnel_stats": lambda: metrics.funnel_stats(enriched),
+        "cart_abandonment": lambda: abandonment.cart_abandonment(abandonment.session_flags(enriched)),
+        "product_affinity": lambda: affinity.product_affinity(events_for_affinity),
+        "category_events": lambda: metrics.category_events(metrics.category_event_rows(enriched)),
+        "brand_revenue": lambda: metrics.brand_revenue(metrics.brand_price_rows(enriched)),
     }
+    if base is not None:
+        builders.update(
+            {
+                "daily_metrics": lambda: cube.daily_from_cube(base, enriched),
+                "top_products": lambda: cube.products_from_cube(base),
+                "top_categories": lambda: cube.categories_from_cube(base),
+                "top_brands": lambda: cube.brands_from_cube(base),
+                "funnel_stats": lambda: cube.funnel_from_cube(base),
+                "category_events": lambda: cube.category_events_from_cube(base),
+                "brand_revenue": lambda: cube.brand_revenue_from_cube(base),
+            }
+        )
+    return builders
+
+
+def batch_outputs(
+    enriched: DataFrame, affinity_sample: float | None = None, base: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All serving tables as frames over one enriched frame."""
+    return {name: build() for name, build in output_builders(enriched, affinity_sample, base).items()}
 
 
 def _cluster_by_date(enriched: DataFrame, range_partitions: int | None) -> DataFrame:
@@ -79,9 +90,12 @@ def run_batch(
     export_text: bool = True,
     range_partitions: int | None = None,
     use_cube: bool = False,
+    parallel: int = 4,
 ) -> BatchResult:
     """Enrich once, write it, then compute and write every output.
 
+    ``parallel``: how many outputs are written at once (independent jobs).
+
     ``use_cube``: write the base cube once and derive the additive tables
     from it (one scan of the events instead of six; best where a product's
     price is stable).
@@ -108,21 +122,27 @@ def run_batch(
         write_parquet(cube.base_cube(enriched), f"{out}/base_cube")
         base = spark.read.parquet(f"{out}/base_cube")
         result.outputs["base_cube"] = f"{out}/base_cube"
-    for name, frame in batch_outputs(enriched, affinity_sample, base).items():
+    def write_output(name: str, build: Callable[[], DataFrame]) -> None:
         path = f"{out}/{name}"
-        write_parquet(frame, path)
-        result.outputs[name] = path
+        write_parquet(build(), path)
         if jdbc_url:
             write_table(spark.read.parquet(path), jdbc_url, name, jdbc_properties)
+        if export_text and name == "category_events":
+            write_counts_tsv(spark.read.parquet(path), ["category", "event_type"], f"{out}/tsv/{name}")
+        if export_text and name == "brand_revenue":
+            write_counts_tsv(spark.read.parquet(path), ["brand"], f"{out}/tsv/{name}")
+        result.outputs[name] = path
+
+    jobs: list[tuple[Callable[..., None], tuple]] = [
+        (write_output, (name, build))
+        for name, build in output_builders(enriched, affinity_sample, base).items()
+    ]
     if export_text:
-        write_pair_text(metrics.category_event_rows(enriched), f"{out}/text/category_events")
-        write_pair_text(metrics.brand_price_rows(enriched), f"{out}/text/brand_revenue")
-        write_counts_tsv(
-            spark.read.parquet(result.outputs["category_events"]),
-            ["category", "event_type"],
-            f"{out}/tsv/category_events",
-        )
-        write_counts_tsv(
-            spark.read.parquet(result.outputs["brand_revenue"]), ["brand"], f"{out}/tsv/brand_revenue"
-        )
+        jobs.append((write_pair_text, (metrics.category_event_rows(enriched), f"{out}/text/category_events")))
+        jobs.append((write_pair_text, (metrics.brand_price_rows(enriched), f"{out}/text/brand_revenue")))
+    # independent jobs over one written table, submitted together so the
+    # scheduler overlaps them; any failure is raised here
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for future in [pool.submit(fn, *args) for fn, args in jobs]:
+            future.result()
     return result
