@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.operators import abandonment, affinity, cube, metrics, sampling
 from clickpulse.operators.enrich import enrich
+from clickpulse.session import shared_dir
 from clickpulse.sinks.files import write_counts_tsv, write_pair_text, write_parquet
 from clickpulse.sinks.jdbc import write_table
 
@@ -117,6 +118,7 @@ def run_batch(
     write_parquet(_cluster_by_date(enrich(events), range_partitions), enriched_path, partition_by=["date"])
     enriched = spark.read.parquet(enriched_path)
     result = BatchResult(enriched_path)
+    shared_dir(spark)  # resolve the checkpoint folder once, before any thread needs it
     base = None
     if use_cube:
         write_parquet(cube.base_cube(enriched), f"{out}/base_cube")

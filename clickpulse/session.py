@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
+_SHARED_DIR_LOCK = threading.Lock()
+
 # Defaults that matter for correctness (UTC wall clock, see SURVEY T2) and for
 # scale (AQE re-plans joins, coalesces small partitions and splits skewed ones).
 DEFAULT_CONF = {
@@ -100,6 +103,11 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
     unset, as in local tests, a fresh folder is made and registered.
     """
+    with _SHARED_DIR_LOCK:  # outputs may be built from several threads
+        return _shared_dir(spark)
+
+
+def _shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
