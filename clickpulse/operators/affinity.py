@@ -20,8 +20,9 @@ Plan at scale
   (product_a, product_b).
 * Product counts are checkpointed, counted, and joined to the pairs by a
   broadcast only when small; otherwise by a shuffle join.
-* The session total is a one-row aggregate joined as a broadcast (one row is
-  a proven bound), keeping one lazy plan instead of a driver-side count.
+* The session total is a one-row aggregate used as a scalar subquery
+  (computed once, no join), keeping one lazy plan instead of a driver-side
+  count.
 """
 
 from __future__ import annotations
@@ -146,10 +147,9 @@ def affinity_scores(
     pc = small_side(counts, max_broadcast_rows)
     pc_a = pc.select(F.col("product_id").alias("product_a"), F.col("session_count").alias("count_a"))
     pc_b = pc.select(F.col("product_id").alias("product_b"), F.col("session_count").alias("count_b"))
-    scored = (
-        co.join(pc_a, "product_a")
-        .join(pc_b, "product_b")
-        .join(F.broadcast(total), how="cross")
+    # the one-row total enters as a scalar subquery: computed once, no join
+    scored = co.join(pc_a, "product_a").join(pc_b, "product_b").withColumn(
+        "total_sessions", total.select("total_sessions").scalar()
     )
     return scored.select(
         "product_a",

@@ -205,13 +205,10 @@ def data_range(dated: DataFrame) -> DataFrame:
 def last_days(dated: DataFrame, days: int = 30) -> DataFrame:
     """Rows of the last ``days`` days anchored at the data's max date.
 
-    The max is a one-row aggregate joined by broadcast (a proven bound).
+    The max date is a scalar subquery (one value, computed once).
     """
-    anchor = dated.agg(F.max("date").alias("_max_date"))
-    joined = dated.join(F.broadcast(anchor), how="cross")
-    return joined.filter(F.col("date") >= F.date_sub(F.col("_max_date"), days - 1)).drop(
-        "_max_date"
-    )
+    anchor = dated.agg(F.max("date")).scalar()
+    return dated.filter(F.col("date") >= F.date_sub(anchor, days - 1))
 
 
 def live_top(live: DataFrame, n: int = 50) -> DataFrame:
