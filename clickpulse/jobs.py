@@ -41,6 +41,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True, help="live table folder (epoch=N updates)")
     s.add_argument("--checkpoint", required=True, help="stream checkpoint folder (shared storage)")
     s.add_argument("--trigger", default="5 seconds")
+    s.add_argument("--state-partitions", type=int, default=200,
+                   help="state store partitions; fixed at the first start of a checkpoint")
     s.add_argument("--watermark", default=None, help="e.g. '30 minutes' with --session-gap")
     s.add_argument("--session-gap", default=None, help="bounded state: one row per activity window")
     s.add_argument("--expire-after", default=None, help="bounded live state: expire a session after this idle time")
@@ -60,7 +62,8 @@ def _read_events(spark, path: str, fmt: str):
 
 def run(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = build_session(f"clickpulse-{args.job}")
+    extra = {"spark.sql.shuffle.partitions": str(args.state_partitions)} if args.job == "stream" else None
+    spark = build_session(f"clickpulse-{args.job}", extra_conf=extra)
     if args.job == "batch":
         from clickpulse.plans.batch_job import run_batch
 

@@ -24,8 +24,11 @@ def write_table(
     table: str,
     properties: dict[str, str] | None = None,
     mode: str = "overwrite",
-    num_partitions: int | None = None,
+    num_partitions: int | None = 8,
 ) -> None:
+    """Write one serving table. At most ``num_partitions`` tasks write at
+    once (Spark coalesces to it), so a large result cannot open one database
+    connection per partition."""
     props = dict(properties or {})
     driver = _driver_for(url)
     if driver and "driver" not in props:
