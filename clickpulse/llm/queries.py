@@ -27,6 +27,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), WINDOW, END_ID)
 
 
+def op7_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.quality import judge
+
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[f"quality.{c}" for c in counts], "base_failed", "kept")
+
+
 def op8_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.rans import read_token_files, write_token_files
     from clickpulse.session import scratch_path
@@ -51,6 +59,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_risk_controlled_quality": op7_risk_controlled_quality,
     "op8_rans_token_files": op8_rans_token_files,
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_sentencepiece_codec": op10_sentencepiece_codec,
