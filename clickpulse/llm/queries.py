@@ -27,6 +27,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), WINDOW, END_ID)
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
 def op7_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.quality import judge
 
@@ -59,6 +65,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op7_risk_controlled_quality": op7_risk_controlled_quality,
     "op8_rans_token_files": op8_rans_token_files,
     "op9_prefix_token_counts": op9_prefix_token_counts,
