@@ -33,6 +33,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.multi_index import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op7_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.quality import judge
 
@@ -66,6 +72,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_risk_controlled_quality": op7_risk_controlled_quality,
     "op8_rans_token_files": op8_rans_token_files,
     "op9_prefix_token_counts": op9_prefix_token_counts,
