@@ -33,6 +33,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.substring_dedup import drop_repeats
+
+    return drop_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "dropped_sentences")
+
+
 def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.multi_index import nearest
 
@@ -72,6 +78,7 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_sentence_span_dedup": op4_sentence_span_dedup,
     "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_risk_controlled_quality": op7_risk_controlled_quality,
     "op8_rans_token_files": op8_rans_token_files,
