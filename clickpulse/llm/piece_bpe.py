@@ -21,7 +21,8 @@ from __future__ import annotations
 import ahocorasick
 
 MARK = "▁"
-KEEP = 400_000  # units in the table before it is emptied
+KEEP = 1_000_000  # units in the table before it is emptied
+KEEP_PAIRS = 1_000_000
 KEEP_CHARS = 64  # longer units are not kept
 
 
@@ -32,7 +33,9 @@ class PieceModel:
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids: dict[str, int] = {}
         self.score: dict[str, float] = {}
+        self.plain: list[str | None] = []  # an id's text; None for bytes, controls and the unknown id
         for i in range(sp.get_piece_size()):
+            self.plain.append(None if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) else sp.id_to_piece(i).replace(MARK, " "))
             if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i):
                 continue
             self.ids[sp.id_to_piece(i)] = i
@@ -84,7 +87,7 @@ class PieceModel:
     def fit(self, left: str, right: str) -> bool:
         known = self._fits.get((left, right))
         if known is None:
-            if len(self._fits) > 4 * KEEP:
+            if len(self._fits) > KEEP_PAIRS:
                 self._fits.clear()
             known = self._fits[left, right] = self.merged(left + right) == [left, right]
         return known
@@ -101,28 +104,39 @@ class PieceModel:
 
     def encode(self, unit: str) -> list[str]:
         """The unit's pieces (a single character may be none of the model's) by backtracking."""
-        n = len(unit)
-        longest = [1] * n
-        for end, size in self.automaton.iter(unit):
-            if size > longest[end - size + 1]:
-                longest[end - size + 1] = size
+        n, fits, fit = len(unit), self._fits.get, self.fit
         failed = 0  # bit p: nothing encodes the unit from p on
         out: list[str] = []
-        at, size = 0, longest[0] if n else 0
+        # leftmost-longest matches run on by themselves until a shorter piece is taken
+        matches, end, at, size, fresh = self.automaton.iter_long(unit), -1, 0, 0, True
         while at < n:
-            while size and (failed >> (at + size) & 1 or out and not self.fit(out[-1], unit[at : at + size])):
-                size = self.shorter(unit[at : at + size])
+            if fresh:
+                if end + 1 != at:
+                    matches = self.automaton.iter_long(unit, at)
+                end, size = next(matches, (-2, 1))
+                if end - size + 1 != at:  # no piece begins here: the character alone
+                    end, size = -2, 1
+                fresh = False
+            while size:
+                piece = unit[at : at + size]
+                if not (failed and failed >> (at + size) & 1):
+                    good = not out or fits((out[-1], piece))
+                    if good is None:
+                        good = fit(out[-1], piece)
+                    if good:
+                        break
+                size = self.shorter(piece)
             if size:
-                out.append(unit[at : at + size])
+                out.append(piece)
                 at += size
-                size = longest[at] if at < n else 0
+                fresh = True
             else:
                 failed |= 1 << at
                 if not out:
                     raise ValueError(f"no encoding of {unit!r}")
                 last = out.pop()
                 at -= len(last)
-                size = self.shorter(last)
+                size, end = self.shorter(last), -2
         return out
 
     def prefix_counts(self, unit: str) -> list[int]:
@@ -164,6 +178,12 @@ class PieceModel:
         """The text of the ids: space marks as spaces, byte pieces joined, without the space put in front."""
         sp, out, run = self.sp, [], bytearray()
         for i in ids:
+            if (plain := self.plain[i]) is not None:
+                if run:
+                    out.append(run.decode("utf-8", "replace"))
+                    run = bytearray()
+                out.append(plain)
+                continue
             if sp.is_byte(i):
                 run.append(int(sp.id_to_piece(i)[3:5], 16))
                 continue
@@ -172,8 +192,6 @@ class PieceModel:
                 run = bytearray()
             if sp.is_unknown(i):
                 out.append(" ⁇ ")
-            elif not sp.is_control(i):
-                out.append(sp.id_to_piece(i).replace(MARK, " "))
         if run:
             out.append(run.decode("utf-8", "replace"))
         text = "".join(out)

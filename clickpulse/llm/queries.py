@@ -39,6 +39,12 @@ def op4_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "dropped_sentences")
 
 
+def op5_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.suffix_tree_lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.multi_index import nearest
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sentence_span_dedup": op4_sentence_span_dedup,
+    "op5_suffix_tree_scores": op5_suffix_tree_scores,
     "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_risk_controlled_quality": op7_risk_controlled_quality,
     "op8_rans_token_files": op8_rans_token_files,
