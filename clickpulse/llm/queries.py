@@ -21,6 +21,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.language_id import document_rows, identify
+
+    return identify(document_rows(table(spark, sf_dir, "documents")), ["doc_id"])
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.language_id import identify, page_rows
+
+    return identify(page_rows(table(spark, sf_dir, "pages")), ["page_id"])
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.packing import pack_documents
 
@@ -82,6 +94,8 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "page_language_id": page_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_sentence_span_dedup": op4_sentence_span_dedup,

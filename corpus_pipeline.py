@@ -4,14 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from clickpulse.llm.common import staged, table
+from clickpulse.llm.jaccard_join import near_duplicate_stage
+from clickpulse.llm.language_id import language_stage
+from clickpulse.llm.packing import pack_documents
+from clickpulse.llm.quality import quality_stage
+from clickpulse.llm.queries import END_ID, WINDOW, vocabulary
+from clickpulse.llm.substring_dedup import substring_stage
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    return pack_documents(docs, vocabulary("byte_bpe_50k.json"), WINDOW, END_ID)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("language", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("substrings", substring_stage),
+    ("packing", packing_stage),
+]
+
+#: the tokenizer's ids have no SQL form; tests hold each stage and the whole against brute force
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from clickpulse.llm.common import staged, table
-
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
