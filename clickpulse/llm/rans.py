@@ -40,7 +40,7 @@ WORD, WORD_MASK = np.uint64(32), np.uint64(0xFFFFFFFF)
 BLOCK_TOKENS = 1 << 18
 CHECK_STEPS = 256
 SEGMENT_TOKENS = 1 << 22
-FILES = "part int, segment int, doc_ids binary, lengths binary, body binary"
+FILES = "part int, segment int, doc_ids array<long>, lengths array<long>, body binary"
 
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -212,8 +212,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
 
         def done():
             body = encode_segment(np.frombuffer(b"".join(ids), "<u4"))
-            values = [part, segment, np.array(docs_in, "<i8").tobytes(), np.array(sizes, "<u8").tobytes(), body]
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            values = [part, segment, docs_in, sizes, body]
+            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["part", "segment", "doc_ids", "lengths", "body"])
 
         for batch in cut_rows(batches):
@@ -242,22 +242,22 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                get = lambda name, row=row, batch=batch: batch.column(name)[row].as_py()
-                ids = Segment(get("body")).all()
-                sizes = np.frombuffer(get("lengths"), "<u8").astype(np.int64)
+                get = lambda name, row=row, batch=batch: batch.column(name)[row]
+                ids = Segment(get("body").as_py()).all()
+                sizes = get("lengths").values.to_numpy()
                 ends = np.cumsum(sizes)
                 raw = ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(raw[4 * (e - s) : 4 * e]) for s, e in zip(sizes, ends, strict=True)]
                 count = len(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([get("part")] * count, pa.int32()), pa.array([get("segment")] * count, pa.int32()), pa.array(np.frombuffer(get("doc_ids"), "<i8")), pa.array(ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())],
+                    [pa.array([get("part").as_py()] * count, pa.int32()), pa.array([get("segment").as_py()] * count, pa.int32()), get("doc_ids").values, pa.array(ends - sizes), pa.array(sizes), pa.array(crc, pa.int64())],
                     ["part", "segment", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
     files = spark.read.schema(FILES).parquet(path)
     docs = files.mapInArrow(run, "part int, segment int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     # tokens before each segment: sums over the lengths alone, one row a segment, then one row a part
-    each = files.select("part", "segment", F.expr("aggregate(sequence(0, cast(length(lengths) / 8 as int) - 1), 0L, (a, i) -> a + cast(conv(hex(reverse(substring(lengths, i * 8 + 1, 8))), 16, 10) as long))").alias("n"))
+    each = files.select("part", "segment", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     own = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     parts = each.groupBy("part").agg(F.sum("n").alias("n"))
     before = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))

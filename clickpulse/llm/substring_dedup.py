@@ -121,14 +121,16 @@ def _without(text, drop):
 def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``, and ``dropped_sentences`` (int)."""
     ship(docs.sparkSession)
-    lost = covered_sentences(docs, min_words).select(F.col("doc_id").alias("__doc"), F.col("drop").alias("__drop"))
-    joined = docs.join(lost, docs["doc_id"] == lost["__doc"], "left")
-    some = F.col("__drop").isNotNull()
-    cleaned = F.coalesce(_without(F.when(some, F.col("text")), F.col("__drop")), F.col("text"))
-    named = joined.withColumn("text", cleaned)
-    if "n_chars" in docs.columns:
-        named = named.withColumn("n_chars", F.when(some, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return named.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.size("__drop"), F.lit(0)).alias("dropped_sentences"))
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}  # numbers for names, so that none clashes
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(at))])
+    lost = covered_sentences(docs, min_words).select(F.col("doc_id").alias("lost_doc"), F.col("drop").alias("lost"))
+    joined = numbered.join(lost, at["doc_id"] == F.col("lost_doc"), "left")
+    some = F.col("lost").isNotNull()
+    out = dict(at)
+    out["text"] = F.coalesce(_without(F.when(some, at["text"]), F.col("lost")), at["text"])
+    if "n_chars" in at:
+        out["n_chars"] = F.when(some, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(at["n_chars"])
+    return joined.select(*[x.alias(c) for c, x in out.items()], F.coalesce(F.size("lost"), F.lit(0)).alias("dropped_sentences"))
 
 
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
