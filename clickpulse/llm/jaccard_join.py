@@ -14,7 +14,10 @@ its two documents' ``m`` matches in prefixes of that length, and then is
 verified on the whole sets.
 
 The order comes from counts of all documents' tokens in a table of fixed size,
-summed over all tasks; any order gives the same links.
+summed over all tasks; any order gives the same links. Before whole sets are
+fetched, a pair's signatures (how often each of ``PARITY`` hash values occurs in
+a set, modulo 2) must differ in no more bits than linked sets can differ in
+tokens, which drops no link.
 
 Skew: documents with equal sets form one class. In large lists, members are
 first compared with one pivot of the list; whom that joins is one component,
@@ -37,8 +40,9 @@ from clickpulse.llm.common import cut_rows, ship, signed, staged, window_hashes,
 from clickpulse.llm.components import components
 from clickpulse.plans.tuning import broadcast_if_small
 
-BUCKETS = 1 << 18  # counters of the token order: 2 MB
+BUCKETS = 1 << 22  # counters of the token order: 16 MB
 SLICES = 256
+PARITY = 512  # bits of a set's signature
 MATCHES = 4
 VERIFY_COST = 16.0  # of one candidate, against one listed document
 LARGE_LIST = 8
@@ -69,52 +73,64 @@ def _text_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _signature(own: np.ndarray) -> list[int]:
+    odd = np.bincount((own >> np.uint64(24)).astype(np.int64) & (PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+FIRST = "doc_id long, n long, class long, signature array<long>, slice int, counts binary"
+
+
 def _first_pass(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (doc_id, n, class) and of counters (slice, counts)."""
+    """Rows of documents (doc_id, n, class, signature) and of counters (slice, counts)."""
+    names = [x.split()[0] for x in FIRST.split(", ")]
 
     def run(batches):
-        counts, seen = np.zeros(BUCKETS, np.int64), set()
+        counts, seen = np.zeros(BUCKETS, np.int32), set()
         for batch in cut_rows(batches):
-            sizes, names = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows
+            rows = batch.num_rows
+            sizes, classes, signatures = np.zeros(rows, np.int64), [None] * rows, [None] * rows
             for row, own in _sets(batch, words):
-                sizes[row], names[row] = len(own), _class_of(own)
-                if names[row] not in seen:
-                    seen.add(names[row])
+                sizes[row], classes[row], signatures[row] = len(own), _class_of(own), _signature(own)
+                if classes[row] not in seen:
+                    seen.add(classes[row])
                     np.add.at(counts, own & np.uint64(BUCKETS - 1), 1)
-            none = [None] * batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(names, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], ["doc_id", "n", "class", "slice", "counts"])
+            none = [None] * rows
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
         if counts.any():
-            parts = [p.astype("<i8").tobytes() for p in counts.reshape(SLICES, -1)]
+            parts = [p.astype("<i4").tobytes() for p in counts.reshape(SLICES, -1)]
             none = pa.array([None] * SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(parts)], ["doc_id", "n", "class", "slice", "counts"])
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, class long, slice int, counts binary")
+    return docs.mapInArrow(run, FIRST)
 
 
 def _token_counts(parts: DataFrame) -> np.ndarray:
     """All tasks' counters summed: SLICES rows of fixed size reach the driver."""
 
     def add(key, group):
-        total = sum(np.frombuffer(x, "<i8") for x in group.column("counts").to_pylist())
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.astype("<i8").tobytes()])})
+        total = np.zeros(BUCKETS // SLICES, np.int64)
+        for x in group.column("counts"):
+            total += np.frombuffer(x.as_buffer(), "<i4")
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([np.minimum(total, 2**31 - 1).astype("<i4").tobytes()])})
 
     rows = parts.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
-    counts = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
+    counts = np.zeros((SLICES, BUCKETS // SLICES), np.int32)
     for row in rows:
-        counts[row["slice"]] = np.frombuffer(row["counts"], "<i8")
+        counts[row["slice"]] = np.frombuffer(row["counts"], "<i4")
     return counts.ravel()
 
 
 def _excess(counts: np.ndarray) -> np.ndarray:
     """Each counter's documents beyond what rare tokens alone would put there."""
     usual = float(np.median(counts))
-    return np.maximum(0, counts - usual - 6 * np.sqrt(usual) - 1).astype(np.int64)
+    return np.maximum(0, counts - int(usual + 6 * np.sqrt(usual) + 1)).astype(np.int32)
 
 
 def _prefix(own: np.ndarray, excess: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(tokens of the longest prefix, the number of matches from which each counts, the matches chosen)."""
     n = len(own)
-    need = -(-num * n // den)
+    need = -(-num * n // den)  # tokens that a linked set has in common with this one, at least
     listed = excess[own & np.uint64(BUCKETS - 1)]
     order = np.argsort(listed, kind="stable")
     most = min(MATCHES, need)
@@ -163,30 +179,32 @@ def _listed(postings: DataFrame) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Rows (class, tokens as binary) of the wanted classes, each once a task at least."""
+    """Rows (class, tokens as binary) of the wanted classes (class, doc_id of one member)."""
 
     def run(batches):
-        seen = set()
         for batch in cut_rows(batches):
-            names, sets = [], []
-            for _, own in _sets(batch, words):
-                name = _class_of(own)
-                if name not in seen:
-                    seen.add(name)
-                    names.append(name)
-                    sets.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["class", "tokens"])
-
-    sets = docs.mapInArrow(run, "class long, tokens binary")
-    return sets.join(broadcast_if_small(wanted), "class", "left_semi").dropDuplicates(["class"])
-
-
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    ends = staged(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
-    used = sets.join(broadcast_if_small(ends), "class", "left_semi")
-    one = used.select(F.col("class").alias("a"), F.col("tokens").alias("set_a"))
-    two = used.select(F.col("class").alias("b"), F.col("tokens").alias("set_b"))
+            rows, names, sets = [], [], []
+            for row, own in _sets(batch, words):
+                rows.append(row)
+                names.append(_class_of(own))
+                sets.append(own.tobytes())
+            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), ids, pa.array(sets, pa.binary())], ["class", "doc_id", "tokens"])
+
+    sets = docs.mapInArrow(run, "class long, doc_id long, tokens binary")
+    return sets.join(broadcast_if_small(wanted), ["class", "doc_id"], "left_semi").select("class", "tokens")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link. ``members``: class, n, signature, and the doc_id of one of its documents."""
+    of = lambda end, n, sig: members.select(F.col("class").alias(end), F.col("n").alias(n), F.col("signature").alias(sig))
+    both = pairs.join(of("a", "n", "s"), "a").join(of("b", "m", "t"), "b")
+    differ = F.aggregate(F.zip_with("s", "t", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda u, v: u + v)
+    near = staged(both.where((den + num) * differ <= (den - num) * (F.col("n") + F.col("m"))).select("a", "b"), "pairs")
+    ends = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = staged(_class_sets(docs, staged(ends.join(members.select("class", "doc_id"), "class"), "ends"), words), "class-sets")
+    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("set_a"))
+    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("set_b"))
 
     def run(batches):
         for batch in batches:
@@ -198,7 +216,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 keep.append(den * common >= num * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+    return near.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
 
 
 def _with_roots(listed: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -210,18 +228,23 @@ def _with_roots(listed: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(document rows (doc_id, n, class), components (class, root) of the classes that link)."""
+    """(document rows (doc_id, n, class), components (class, root) of the classes that link).
+
+    Rows without doc_id have no part in links: their class counts only if another row has it.
+    """
     spark = docs.sparkSession
     ship(spark)
     docs = _text_rows(docs)
     first = staged(_first_pass(docs, words), "sets")
     rows = first.where("slice is null").select("doc_id", "n", "class")
+    members = first.where("class is not null and doc_id is not null").select("doc_id", "class", "n", "signature")
+    least = members.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    members = staged(members.join(least, ["class", "doc_id"]).dropDuplicates(["class"]), "members")
     excess = _excess(_token_counts(first.where("slice is not null").select("slice", "counts")))
     listed = staged(_listed(_postings(docs, excess, words, num, den)), "postings")
     n_listed = listed.count()
     if not n_listed:
         return rows, spark.createDataFrame([], "class long, root long")
-    sets = staged(_class_sets(docs, staged(listed.select("class").distinct(), "listed"), words), "class-sets")
 
     fits = den * F.least("n", "m") >= num * F.greatest("n", "m")
     links: DataFrame | None = None
@@ -239,7 +262,7 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
         star = large.join(pivots, "token").where(fits & (F.col("root") != F.col("p_root")))
         pairs = staged(star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct(), "pairs")
-        joined = staged(_verify(pairs, sets, num, den), "joined")
+        joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
         links = joined if links is None else staged(links.unionByName(joined), "links")
     # every pair across components that shares enough tokens
     open_lists = now.join(sizes.select("token"), "token", "left_semi").select("token", "class", "n", "level", "matches", "root")
@@ -247,7 +270,7 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
     met = open_lists.join(other, "token").where((F.col("class") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits)
     need = F.greatest("matches", "matches_b")
     counted = met.where(F.greatest("level", "level_b") <= need).groupBy(F.col("class").alias("a"), "b").agg(F.count(F.lit(1)).alias("hits"), F.first(need).alias("need"))
-    rest = staged(_verify(staged(counted.where("hits >= need").select("a", "b"), "pairs"), sets, num, den), "joined")
+    rest = staged(_verify(counted.where("hits >= need").select("a", "b"), docs, members, words, num, den), "joined")
     links = rest if links is None else links.unionByName(rest)
     return rows, components(links).select(F.col("node").alias("class"), "root")
 

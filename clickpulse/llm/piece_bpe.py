@@ -144,19 +144,24 @@ class PieceModel:
         ends: list[list[int]] = [[] for _ in unit]
         for end, size in self.automaton.iter(unit):
             ends[end].append(size)
-        counts, last = [0], [""]
-        for i, sizes in enumerate(ends):
-            if 1 not in sizes:
+        counts, last, fits = [0], [""], self._fits.get
+        for i, sizes in enumerate(ends, 1):
+            if not sizes or sizes[-1] != 1:  # the character alone, if it is no piece
                 sizes.append(1)
             for size in sizes:
-                piece = unit[i + 1 - size : i + 1]
-                before = i + 1 - size
-                if before == 0 or self.fit(last[before], piece):
-                    last.append(piece)
-                    counts.append(counts[before] + self.width(piece))
-                    break
+                before = i - size
+                piece = unit[before:i]
+                if before:
+                    good = fits((last[before], piece))
+                    if good is None:
+                        good = self.fit(last[before], piece)
+                    if not good:
+                        continue
+                last.append(piece)
+                counts.append(counts[before] + (1 if size > 1 else self.width(piece)))
+                break
             else:
-                raise ValueError(f"no encoding of {unit[: i + 1]!r}")
+                raise ValueError(f"no encoding of {unit[:i]!r}")
         return counts
 
     def width(self, piece: str) -> int:

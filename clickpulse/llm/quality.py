@@ -176,7 +176,7 @@ def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = MAX_F
     them there.
     """
     kept_columns = carry or ["doc_id"]
-    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"), F.col("doc_id"), stratum(F.col("lang")).alias("stratum"), measures(F.col("text")).alias("quality"))
+    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"), F.col("doc_id"), stratum(F.col("lang").cast("string")).alias("stratum"), measures(F.col("text").cast("string")).alias("quality"))
     rows = staged(measured, "quality").withColumn("levels", F.array(*rule_levels(F.col("quality")))).withColumn("base_failed", base_failed(F.col("quality")))
     good = labels.groupBy("doc_id").agg(F.max("quality").alias("good")).where(F.col("good") == 1).select("doc_id")
     held_out = rows.where(~F.col("base_failed")).select("doc_id", "stratum", "levels").join(good, "doc_id", "left_semi")

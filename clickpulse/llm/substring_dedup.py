@@ -22,12 +22,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from clickpulse.llm.common import cut_rows, ship, staged, texts
 
@@ -76,46 +77,50 @@ def spans(text: str, min_words: int = MIN_WORDS) -> tuple[list[int], list[int],
 
 
 def _span_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """Rows (span, doc_id, place): place packs the first sentence, their number, and whether the document has had the span before."""
+
     def run(batches):
         for batch in cut_rows(batches):
-            names, hashes, firsts, counts = [], [], [], []
+            names, hashes, places = [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch, "text"), strict=True):
-                h, s, n = spans(text, min_words)
-                names += [doc] * len(h)
-                hashes += h
-                firsts += s
-                counts += n
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(names, pa.int64()), pa.array(firsts, pa.int32()), pa.array(counts, pa.int32())], ["span", "doc_id", "first", "count"])
+                seen = set()
+                for h, first, count in zip(*spans(text, min_words), strict=True):
+                    places.append(first << 32 | count << 1 | (h in seen))
+                    seen.add(h)
+                    hashes.append(h)
+                    names.append(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(names, pa.int64()), pa.array(places, pa.int64())], ["span", "doc_id", "place"])
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "span long, doc_id long, first int, count int")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, "span long, doc_id long, place long")
 
 
-def covered_sentences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows (doc_id, drop array<int>): numbers of the sentences that go, for documents that lose any."""
+def repeated_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Rows (doc_id, places array<long>) for documents that lose sentences: every occurrence of a span but its first."""
     ship(docs.sparkSession)
     found = staged(_span_rows(docs, min_words), "spans")
-    repeated = found.groupBy("span").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("far")).where("n > 1")
-    places = found.join(repeated, "span")
-    # within its first document the span's least position stays
-    at_home = places.where("doc_id = home").groupBy("span").agg(F.min("first").alias("stays"))
-    away = places.where("doc_id != home").select("doc_id", "first", "count")
-    again = places.where("doc_id = home").join(at_home, "span").where("first != stays").select("doc_id", "first", "count")
-    gone = away.unionByName(again).select("doc_id", F.explode(F.sequence("first", F.col("first") + F.col("count") - 1)).alias("sentence"))
-    return gone.distinct().groupBy("doc_id").agg(F.collect_list("sentence").alias("drop"))
-
-
-@pandas_udf(StringType())
-def _without(text, drop):
-    import pandas as pd
+    repeated = found.groupBy("span").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n")).where("n > 1").select("span", "home")
+    again = F.col("place").bitwiseAND(F.lit(1)) == 1
+    gone = found.join(repeated, "span").where((F.col("doc_id") != F.col("home")) | again).select("doc_id", "place")
+    return gone.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+
+
+def dropped(places) -> set[int]:
+    """Numbers of the sentences that packed places cover."""
+    out: set[int] = set()
+    for place in places:
+        first, count = place >> 32, (place & 0xFFFFFFFF) >> 1
+        out.update(range(first, first + count))
+    return out
 
-    def cut(t, d):
-        if t is None or d is None:
-            return t
-        gone = set(d.tolist())
-        return "".join(s for i, s in enumerate(sentences(t)) if i not in gone)
 
-    return pd.Series([cut(t, d) for t, d in zip(text, drop, strict=True)], dtype=object)
+@pandas_udf(StructType([StructField("text", StringType()), StructField("n", IntegerType())]))
+def _without(text: pd.Series, places: pd.Series) -> pd.DataFrame:
+    out = []
+    for t, p in zip(text, places, strict=True):
+        gone = set() if t is None or p is None else dropped(p.tolist())
+        out.append((t if not gone else "".join(s for i, s in enumerate(sentences(t)) if i not in gone), len(gone)))
+    return pd.DataFrame(out, columns=["text", "n"])
 
 
 def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -123,14 +128,15 @@ def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ship(docs.sparkSession)
     at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}  # numbers for names, so that none clashes
     numbered = docs.toDF(*[f"c{i}" for i in range(len(at))])
-    lost = covered_sentences(docs, min_words).select(F.col("doc_id").alias("lost_doc"), F.col("drop").alias("lost"))
+    lost = repeated_places(docs, min_words).select(F.col("doc_id").alias("lost_doc"), F.col("places").alias("lost"))
     joined = numbered.join(lost, at["doc_id"] == F.col("lost_doc"), "left")
     some = F.col("lost").isNotNull()
+    cleaned = joined.withColumn("cleaned", _without(F.when(some, at["text"].cast("string")), F.col("lost")))
     out = dict(at)
-    out["text"] = F.coalesce(_without(F.when(some, at["text"]), F.col("lost")), at["text"])
+    out["text"] = F.when(some, F.col("cleaned.text")).otherwise(at["text"])
     if "n_chars" in at:
-        out["n_chars"] = F.when(some, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(at["n_chars"])
-    return joined.select(*[x.alias(c) for c, x in out.items()], F.coalesce(F.size("lost"), F.lit(0)).alias("dropped_sentences"))
+        out["n_chars"] = F.when(some, F.length("cleaned.text").cast(docs.schema["n_chars"].dataType)).otherwise(at["n_chars"])
+    return cleaned.select(*[x.alias(c) for c, x in out.items()], F.col("cleaned.n").alias("dropped_sentences"))
 
 
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
