@@ -45,7 +45,10 @@ def _parser() -> argparse.ArgumentParser:
                    help="state store partitions; fixed at the first start of a checkpoint")
     s.add_argument("--watermark", default=None, help="e.g. '30 minutes' with --session-gap")
     s.add_argument("--session-gap", default=None, help="bounded state: one row per activity window")
-    s.add_argument("--expire-after", default=None, help="bounded live state: expire a session after this idle time")
+    s.add_argument("--output-mode", default="update", choices=["update", "complete"])
+    s.add_argument("--pieces", action="store_true", help="no streaming state: append pieces, roll up when read")
+    s.add_argument("--compact-every", type=int, default=20, help="with --pieces: epochs between snapshots")
+    s.add_argument("--retain", default=None, help="with --pieces: archive sessions idle for longer, e.g. '30 days'")
     return p
 
 
@@ -93,18 +96,20 @@ def run(argv: list[str] | None = None) -> int:
         events = stream_live.event_stream_files(spark, args.source_dir, "json")
     else:
         raise SystemExit("give --kafka or --source-dir")
-    if args.expire_after:
-        sessions = stream_live.live_session_expiring(events, args.expire_after, args.watermark or args.expire_after)
-        mode = "update"
-    elif args.session_gap:
+    trigger = {"processingTime": args.trigger}
+    if args.pieces:
+        query = stream_live.live_session_expiring(
+            events, args.table, args.checkpoint, trigger, args.compact_every, args.retain
+        )
+        query.awaitTermination()
+        return 0
+    if args.session_gap:
         sessions = stream_live.live_session_windows(events, args.session_gap, args.watermark or args.session_gap)
         mode = "append"
     else:
-        sessions = stream_live.live_session_stream(events, args.watermark)
-        mode = "update"
-    query = stream_live.start_live_sessions(
-        sessions, args.table, args.checkpoint, {"processingTime": args.trigger}, output_mode=mode
-    )
+        sessions = stream_live.live_session_stream(events)
+        mode = args.output_mode
+    query = stream_live.start_live_sessions(sessions, args.table, args.checkpoint, trigger, output_mode=mode)
     query.awaitTermination()
     return 0
 

@@ -40,8 +40,7 @@ def event_order(df: DataFrame, tiebreak: str | None = None) -> Column:
 
     The tiebreak is ``event_id`` when present, else a hash of the event's
     fields (equal only for identical events, where either choice gives the
-    same answer). Rows without a time have a null key and take no part in
-    first/last choices.
+    same answer). Rows without a time come before all others.
     """
     if tiebreak is not None:
         tb = F.col(tiebreak).cast("long")
@@ -50,9 +49,8 @@ def event_order(df: DataFrame, tiebreak: str | None = None) -> Column:
     else:
         tb = F.xxhash64(*[F.col(c) for c in TIEBREAK_FALLBACK if c in df.columns])
     micros = F.unix_micros(F.col("event_ts").cast("timestamp"))
-    return (micros.cast(ORDER_TYPE) + _dec(_TS_SHIFT)) * _dec(_SCALE) + (
-        tb.cast(ORDER_TYPE) + _dec(_TB_SHIFT)
-    )
+    time = F.coalesce(micros.cast(ORDER_TYPE) + _dec(_TS_SHIFT), _dec("0"))
+    return time * _dec(_SCALE) + (tb.cast(ORDER_TYPE) + _dec(_TB_SHIFT))
 
 
 def dictionary(df: DataFrame, col: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -10,9 +10,11 @@
   The live table is the latest epoch's row per session (an upsert by key).
 * Restart: the checkpoint folder (in the shared ``spark.checkpoint.dir``)
   holds offsets and state, so a restarted query resumes where it stopped.
-* Bounded state: :func:`live_session_windows` keys state by a session window
-  under a watermark, so finished sessions are evicted; the plain form keeps
-  one row per session id forever, as the reference does.
+* Bounded state: :func:`live_session_expiring` keeps no state at all (each
+  micro-batch appends pieces that a read rolls up, see ``pieces``);
+  :func:`live_session_windows` keys state by a session window under a
+  watermark, so finished sessions are evicted; the plain form keeps one row
+  per session id forever, as the reference does.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from clickpulse.schema import EVENT_SCHEMA
 from clickpulse.session import scratch_path
 from clickpulse.sources.events import decode_event_json
 from clickpulse.sources.tables import load_table, shop_events
+from clickpulse.streaming.pieces import append_pieces, read_live_pieces
 
 STREAM_FORMATS = (STREAM_TIME_FORMAT, BATCH_TIME_FORMAT)
 EPOCH_COL = "epoch"
@@ -71,12 +74,9 @@ def event_stream_files(
     return reader.load(path)
 
 
-def live_session_stream(events: DataFrame, watermark: str | None = None) -> DataFrame:
+def live_session_stream(events: DataFrame) -> DataFrame:
     """Streaming session aggregate; both time formats accepted."""
-    enriched = enrich(events, STREAM_FORMATS)
-    if watermark:
-        enriched = enriched.withWatermark("event_ts", watermark)
-    return live_sessions(enriched)
+    return live_sessions(enrich(events, STREAM_FORMATS))
 
 
 def live_session_windows(events: DataFrame, gap: str = "30 minutes", watermark: str = "30 minutes") -> DataFrame:
@@ -89,36 +89,33 @@ def live_session_windows(events: DataFrame, gap: str = "30 minutes", watermark:
     return session_window_state(enriched, gap)
 
 
-_UNIT_MS = {"second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
-
-
-def duration_ms(text: str) -> int:
-    """``"30 minutes"`` -> 1800000 (the interval words Spark accepts)."""
-    amount, unit = text.split()
-    return int(float(amount) * _UNIT_MS[unit.lower().rstrip("s")])
-
-
 def live_session_expiring(
-    events: DataFrame, gap: str = "30 minutes", watermark: str = "30 minutes"
-) -> DataFrame:
-    """Live and bounded: one row per session id, updated every micro-batch,
-    expired (final row, ``expired = true``, state deleted) after ``gap``
-    without events once the watermark passes. See
-    :mod:`clickpulse.streaming.expiring`."""
-    from clickpulse.streaming.expiring import expiring_session_state
+    events: DataFrame,
+    table_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    compact_every: int = 20,
+    retain: str | None = None,
+) -> StreamingQuery:
+    """Start the bounded live table: no streaming state, every event kept.
 
-    enriched = enrich(events, STREAM_FORMATS).withWatermark("event_ts", watermark)
-    return expiring_session_state(enriched, duration_ms(gap)).withColumn(
-        "updated_at", F.current_timestamp()
+    See :mod:`clickpulse.streaming.pieces`; read it with ``read_live_pieces``.
+    """
+    writer = (
+        enrich(events, STREAM_FORMATS)
+        .writeStream.foreachBatch(append_pieces(table_path, compact_every, retain))
+        .option("checkpointLocation", checkpoint)
     )
+    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 def upsert_by_epoch(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: changed rows -> ``path/epoch=<id>`` (idempotent)."""
+    """foreachBatch writer: changed rows -> ``path/epoch=<id>`` (idempotent).
+
+    The batch is evaluated once, by the write; an empty one makes an empty folder.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{EPOCH_COL}={epoch_id}")
 
     return write
@@ -128,13 +125,11 @@ def replace_table_jdbc(
     url: str, table: str, properties: dict[str, str] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer for ``complete`` mode: each micro-batch replaces the
-    whole serving table (truncate + insert), skipping empty batches - the
-    reference's sink, kept for a database-backed live table."""
+    whole serving table (truncate + insert), for a database-backed live table.
+    The batch is evaluated once, by the write."""
     from clickpulse.sinks.jdbc import write_table
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         write_table(batch, url, table, properties)
 
     return write
@@ -229,16 +224,29 @@ def start_live_sessions(
     return writer.start()
 
 
+#: The driver's events are streamed in time order, in slices of six hours at first and then the rest,
+#: and a last slice of events that come late: sessions pause, resume and get late events.
+SLICE_HOURS, TIMED_SLICES, LATE_SHARE = 6, 6, 20
+
+
 def run_live_sessions_once(spark: SparkSession, sf_dir: str, expiring: bool = False) -> DataFrame:
-    """Stream the driver's events file through the live query to completion
-    (``availableNow``), then return the resulting live table. ``expiring``
-    uses :func:`live_session_expiring` (30 minute gap and watermark)."""
-    events_schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    raw = event_stream_files(spark, sf_dir, "parquet", events_schema, glob="events.parquet")
-    shop = shop_events(raw, load_table(spark, sf_dir, "part"))
-    sessions = live_session_expiring(shop) if expiring else live_session_stream(shop)
-    table = scratch_path(spark, "live-sessions")
-    ckpt = scratch_path(spark, "live-sessions-ckpt")
-    query = start_live_sessions(sessions, table, ckpt, trigger={"availableNow": True})
-    query.awaitTermination()
-    return read_live_table(spark, table)
+    """Stream the driver's events through the live query, slice by slice with a
+    restart between them, then return the resulting live table. ``expiring``
+    uses :func:`live_session_expiring` with a snapshot every second epoch."""
+    stored = load_table(spark, sf_dir, "events")
+    begin = stored.agg(F.min("ts")).scalar()
+    hours = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(begin.cast("timestamp"))) / F.lit(3_600_000_000 * SLICE_HOURS))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(LATE_SHARE)) == 0
+    sliced = stored.withColumn("slice", F.when(late, TIMED_SLICES).otherwise(F.least(hours, F.lit(TIMED_SLICES - 1))))
+    source, table, ckpt = (scratch_path(spark, f"live-{x}") for x in ("source", "table", "ckpt"))
+    now = {"availableNow": True}
+    for n in range(TIMED_SLICES + 1):
+        sliced.where(F.col("slice") == n).drop("slice").write.mode("append").parquet(source)
+        raw = event_stream_files(spark, source, "parquet", stored.schema)
+        shop = shop_events(raw, load_table(spark, sf_dir, "part"))
+        if expiring:
+            query = live_session_expiring(shop, table, ckpt, now, compact_every=2)
+        else:
+            query = start_live_sessions(live_session_stream(shop), table, ckpt, now)
+        query.awaitTermination()
+    return read_live_pieces(spark, table) if expiring else read_live_table(spark, table)

@@ -177,28 +177,61 @@ def test_window_table_keeps_every_window(spark, tmp_dir):
     assert s1 == [(10, 1), (11, 2)]
 
 
-def test_expiring_state_is_live_and_bounded(spark, tmp_dir):
+def _pieces(spark, src, table, ckpt, **options):
+    events = stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
+    q = stream_live.live_session_expiring(events, table, ckpt, {"availableNow": True}, **options)
+    q.awaitTermination()
+    return q
+
+
+def test_pieces_keep_paused_late_and_timeless_sessions(spark, tmp_dir):
+    from clickpulse.streaming.pieces import read_live_pieces
+
     src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
-    _write_json(
-        src,
-        "1.json",
-        [
-            _event("2019-10-01T10:10:00Z", "cart", 2, "a.y", "s1"),
-            _event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1", user=7),
-        ],
-    )
-    _write_json(src, "2.json", [_event("2019-10-01T12:00:00Z", "view", 3, "b.x", "s2")])
-    _write_json(src, "3.json", [_event("2019-10-01T14:00:00Z", "view", 4, "b.x", "s3")])
+    files = [
+        [_event("2019-10-01T10:01:00Z", "cart", 2, "a.y", "s1"), _event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1", user=7)],
+        [_event("2019-10-01T12:00:00Z", "view", 3, "b.x", "s2")],
+        [_event("2019-10-01T12:40:00Z", "purchase", 4, "b.y", "s1", user=8)],  # resumes after a long pause
+        [_event("2019-10-01T14:00:00Z", "view", 5, "b.x", "s3", user=9007199254740993), _event("2019-10-01T14:01:00Z", "view", None, None, "s3", user=None)],
+        [_event("2019-10-01T09:00:00Z", "view", 6, "c.x", "late", user=9)],  # only a late event
+        [_event("junk", "cart", 9007199254740993, "d.x", "timeless", user=3)],
+    ]
+    for i, events in enumerate(files):
+        _write_json(src, f"{i}.json", events)
+        query = _pieces(spark, src, table, ckpt, compact_every=2)
+        assert [p["sink"]["description"] for p in query.recentProgress if p["numInputRows"]] and sum(p["numInputRows"] for p in query.recentProgress) == len(events)
+    live = read_live_pieces(spark, table, "30 minutes")
+    assert _rows(live.drop("expired")) == _rows(_batch(spark, src))
+    rows = {r.session_id: r for r in live.collect()}
+    assert (rows["s1"].event_count, rows["s1"].has_cart, rows["s1"].has_purchase, rows["s1"].user_id) == (3, True, True, 7)
+    assert rows["timeless"].last_product_id == 9007199254740993 and rows["late"].expired and not rows["s3"].expired
+    assert rows["s3"].user_id == 9007199254740993
+
+
+def test_pieces_table_stays_small_and_archives(spark, tmp_dir):
+    import glob
+
+    from clickpulse.streaming.pieces import numbered_folders, read_live_pieces
+
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    for i in range(9):
+        _write_json(src, f"{i}.json", [_event(f"2019-10-{i + 1:02d}T10:00:00Z", "view", i, "a.x", f"s{i % 4}", user=i)])
+        _pieces(spark, src, table, ckpt, compact_every=2, retain="3 days")
+    assert len(numbered_folders(spark, f"{table}/_snapshots", "upto")) <= 2
+    assert len(glob.glob(f"{table}/epoch=*")) <= 4
+    whole = read_live_pieces(spark, table, archived=True)
+    assert _rows(whole.drop("expired")) == _rows(_batch(spark, src))
+    assert read_live_pieces(spark, table).count() <= whole.count()
+
+
+def test_each_micro_batch_is_evaluated_once(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    _write_json(src, "1.json", [_event(f"2019-10-01T10:0{i}:00Z", "view", i, "a.x", f"s{i}") for i in range(5)])
     events = stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
-    live = stream_live.live_session_expiring(events, gap="30 minutes", watermark="30 minutes")
-    q = stream_live.start_live_sessions(live, table, ckpt, {"availableNow": True})
+    q = stream_live.start_live_sessions(stream_live.live_session_stream(events), table, ckpt, {"availableNow": True})
     q.awaitTermination()
-    updates = spark.read.parquet(table)
-    s1 = sorted((r.epoch, r.expired) for r in updates.filter(F.col("session_id") == "s1").collect())
-    assert s1[0][1] is False and s1[-1][1] is True  # live first, final row once expired
-    rows = {r.session_id: r for r in stream_live.read_live_table(spark, table).collect()}
-    assert (rows["s1"].user_id, rows["s1"].last_product_id, rows["s1"].event_count, rows["s1"].expired) == (7, 2, 2, True)
-    assert rows["s3"].expired is False  # watermark has not passed its timer
+    (state,) = [p["stateOperators"][0] for p in q.recentProgress if p["numInputRows"]]
+    assert state["numRowsUpdated"] == 5 and state["numRowsTotal"] == 5
 
 
 def test_stream_cli_expiring_from_files(spark, tmp_dir):
@@ -209,7 +242,7 @@ def test_stream_cli_expiring_from_files(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     _write_json(src, "1.json", [_event("2019-10-01T10:00:00Z", "view", 1, "a.x", "s1")])
     args = ["stream", "--source-dir", src, "--table", f"{tmp_dir}/t", "--checkpoint", f"{tmp_dir}/c",
-            "--expire-after", "30 minutes", "--trigger", "1 second"]
+            "--pieces", "--compact-every", "50", "--trigger", "1 second"]
     runner = threading.Thread(target=jobs.run, args=(args,), daemon=True)
     runner.start()
     import time
@@ -222,5 +255,5 @@ def test_stream_cli_expiring_from_files(spark, tmp_dir):
     for q in spark.streams.active:
         q.stop()
     runner.join(timeout=60)
-    (row,) = stream_live.read_live_table(spark, f"{tmp_dir}/t").collect()
+    (row,) = stream_live.read_live_pieces(spark, f"{tmp_dir}/t").collect()
     assert (row.session_id, row.event_count, row.expired) == ("s1", 1, False)
