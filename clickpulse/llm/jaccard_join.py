@@ -19,9 +19,10 @@ fetched, a pair's signatures (how often each of ``PARITY`` hash values occurs in
 a set, modulo 2) must differ in no more bits than linked sets can differ in
 tokens, which drops no link.
 
-Skew: documents with equal sets form one class. In large lists, members are
-first compared with one pivot of the list; whom that joins is one component,
-and only pairs across components are then enumerated, in full. This leaves the
+Skew: documents with equal sets form one class. For a few rounds, each list has
+a pivot and each class is compared with the one pivot that it shares most lists
+with; whom that joins is one component, and only pairs across components are
+then enumerated, in full. This leaves the
 components as they are, since a pair inside one cannot change them.
 
 Null text and text without words have the empty set and link with nothing.
@@ -42,12 +43,12 @@ from clickpulse.plans.tuning import broadcast_if_small
 
 BUCKETS = 1 << 22  # counters of the token order: 16 MB
 SLICES = 256
-PARITY = 512  # bits of a set's signature
+PARITY = 2048  # bits of a set's signature
+BLOCK = 64  # sets of a candidate component in one block
 MATCHES = 4
 VERIFY_COST = 16.0  # of one candidate, against one listed document
-LARGE_LIST = 8
-STAR_ROUNDS = 6
-PAIRS_PER_ROW = 4  # pairs enumerated at once for each listed row, while pivots still join components
+STAR_ROUNDS = 4
+STAR_GAIN = 0.8  # a further round of pivots follows while one leaves less than this of the pairs across components
 
 
 def _sets(batch: pa.RecordBatch, words: int):
@@ -201,22 +202,31 @@ def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int, n
     both = pairs.join(of("a", "n", "s"), "a").join(of("b", "m", "t"), "b")
     differ = F.aggregate(F.zip_with("s", "t", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda u, v: u + v)
     near = staged(both.where((den + num) * differ <= (den - num) * (F.col("n") + F.col("m"))).select("a", "b"), "pairs")
-    ends = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = staged(_class_sets(docs, staged(ends.join(members.select("class", "doc_id"), "class"), "ends"), words), "class-sets")
-    one = sets.select(F.col("class").alias("a"), F.col("tokens").alias("set_a"))
-    two = sets.select(F.col("class").alias("b"), F.col("tokens").alias("set_b"))
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(den * common >= num * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return near.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+    # classes of one candidate component meet in blocks of BLOCK: a set travels once for each of its component's blocks
+    found = components(near).select(F.col("node").alias("class"), "root")
+    sizes = found.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
+    placed = staged(found.join(sizes, "root").withColumn("sub", F.pmod(F.xxhash64("class"), F.col("blocks"))), "placed")
+    wanted = placed.join(members.select("class", "doc_id"), "class").select("class", "doc_id")
+    sets = _class_sets(docs, staged(wanted, "ends"), words).join(placed, "class")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    sets = sets.select("class", "tokens", "root", "sub", other)
+    key = lambda x, y: [F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi")]
+    sets = sets.select(F.col("root").alias("comp"), *key("sub", "other"), "class", "tokens")
+    one = placed.select(F.col("class").alias("a"), "root", F.col("sub").alias("sub_a"))
+    two = placed.select(F.col("class").alias("b"), F.col("sub").alias("sub_b"))
+    asked = near.join(one, "a").join(two, "b").select(F.col("root").alias("comp"), *key("sub_a", "sub_b"), "a", "b")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = dict(zip(left.column("class").to_pylist(), left.column("tokens"), strict=True))
+        keep = []
+        for x, y in zip(right.column("a").to_pylist(), right.column("b").to_pylist(), strict=True):
+            x, y = (np.frombuffer(own[c].as_buffer(), np.uint64) for c in (x, y))
+            both = np.sort(np.concatenate([x, y]), kind="stable")
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            keep.append(den * common >= num * (len(x) + len(y) - common))
+        return right.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sets.groupBy("comp", "lo", "hi").cogroup(asked.groupBy("comp", "lo", "hi")).applyInArrow(check, "a long, b long").distinct()
 
 
 def _with_roots(listed: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -248,20 +258,23 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
 
     fits = den * F.least("n", "m") >= num * F.greatest("n", "m")
     links: DataFrame | None = None
+    before: float | None = None
     for turn in range(STAR_ROUNDS + 1):
         now = staged(_with_roots(listed, links), "rooted")
         groups = now.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
         sizes = groups.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
         sizes = staged(sizes, "lists")
         across = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()[0] or 0
-        if turn == STAR_ROUNDS or across <= PAIRS_PER_ROW * n_listed:
+        if turn == STAR_ROUNDS or not across or before is not None and across > STAR_GAIN * before:
             break
-        # one pivot for each large list; every member of another component meets it
-        large = now.join(sizes.where(F.col("c") >= LARGE_LIST).select("token"), "token", "left_semi")
+        before = across
+        # a pivot for each list; every member of another component meets the pivot it has most tokens in common with
+        large = now.join(sizes.select("token"), "token", "left_semi")
         rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), F.col("class").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
         star = large.join(pivots, "token").where(fits & (F.col("root") != F.col("p_root")))
-        pairs = staged(star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct(), "pairs")
+        best = star.groupBy("class", "p").agg(F.count(F.lit(1)).alias("hits")).groupBy("class").agg(F.max_by("p", "hits").alias("p"))
+        pairs = best.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
         joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
         links = joined if links is None else staged(links.unionByName(joined), "links")
     # every pair across components that shares enough tokens
