@@ -20,9 +20,10 @@ STREAM_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 EVENT_TYPES = ("view", "cart", "purchase")
 UNKNOWN_CATEGORY = "unknown"
 
-# Money is summed exactly: prices are cents, so a decimal sum is
-# order-independent, unlike a double sum.
-MONEY_TYPE = DecimalType(18, 2)
+# Money is summed exactly, so that a sum does not depend on the order of its
+# rows, unlike a double sum. Prices keep six decimals; only the
+# serving tables round to cents.
+MONEY_TYPE = DecimalType(28, 6)
 
 
 def _col(c: Column | str) -> Column:
@@ -68,7 +69,8 @@ def flag_type(name: str, event_type: Column | str = "event_type") -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Price as an exact decimal; NaN, infinities and overflow become null."""
+    """Price as an exact decimal. NaN, infinities and prices of 10**22 and more
+    are no amounts: they become null and add nothing to a sum."""
     return _col(c).try_cast(MONEY_TYPE)
 
 

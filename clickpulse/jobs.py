@@ -31,9 +31,15 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--jdbc-password", default=None)
     b.add_argument("--affinity-sample", type=float, default=None, help="session sample fraction")
     b.add_argument("--range-partitions", type=int, default=None, help="cluster unordered input by date")
-    b.add_argument("--cube", action="store_true", help="derive additive tables from one base cube")
+    b.add_argument("--affinity-row-sample", type=float, default=None, help="row sample fraction instead (breaks baskets up)")
+    b.add_argument("--only", nargs="*", default=None, help="outputs to write (the enriched table is kept if it is there)")
+    b.add_argument("--jdbc-writers", type=int, default=8, help="tasks that write one table at once")
 
     s = sub.add_parser("stream", help="live per-session table from a stream")
+    for q in (b, s):
+        q.add_argument("--s3-endpoint", default=None, help="S3-compatible store; keys from --s3-access-key/--s3-secret-key")
+        q.add_argument("--s3-access-key", default="")
+        q.add_argument("--s3-secret-key", default="")
     s.add_argument("--kafka", default=None, help="bootstrap servers (else --source-dir)")
     s.add_argument("--topic", default="clickstream-events")
     s.add_argument("--starting-offsets", default="latest")
@@ -52,6 +58,14 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _store_conf(args) -> dict[str, str]:
+    from clickpulse.session import object_store_conf
+
+    if not args.s3_endpoint:
+        return {}
+    return object_store_conf(args.s3_endpoint, args.s3_access_key, args.s3_secret_key)
+
+
 def _read_events(spark, path: str, fmt: str):
     from clickpulse.schema import EVENT_SCHEMA
     from clickpulse.sources import read_events_csv, read_events_json
@@ -65,10 +79,15 @@ def _read_events(spark, path: str, fmt: str):
 
 def run(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    extra = {"spark.sql.shuffle.partitions": str(args.state_partitions)} if args.job == "stream" else None
+    extra = _store_conf(args)
+    if args.job == "stream":
+        extra["spark.sql.shuffle.partitions"] = str(args.state_partitions)
     spark = build_session(f"clickpulse-{args.job}", extra_conf=extra)
     if args.job == "batch":
         from clickpulse.plans.batch_job import run_batch
+        from clickpulse.session import apply_scale
+
+        apply_scale(spark, args.events)
 
         props = {}
         if args.jdbc_user:
@@ -82,8 +101,10 @@ def run(argv: list[str] | None = None) -> int:
             jdbc_url=args.jdbc_url,
             jdbc_properties=props,
             affinity_sample=args.affinity_sample,
+            affinity_row_sample=args.affinity_row_sample,
             range_partitions=args.range_partitions,
-            use_cube=args.cube,
+            outputs=args.only,
+            jdbc_writers=args.jdbc_writers,
         )
         print("skipped: empty input" if result.skipped else f"wrote {sorted(result.outputs)}")
         return 0

@@ -30,6 +30,20 @@ def base_cube(enriched: DataFrame) -> DataFrame:
     )
 
 
+COARSE_KEYS = ["date", "root_category", "brand", "event_type"]
+
+
+def coarse_cube(enriched: DataFrame) -> DataFrame:
+    """Counts and amounts without the product grain: small whatever prices do.
+
+    One scan of the events; daily KPIs (save distinct users), categories,
+    brands, funnel and both grouped counts are roll-ups of it.
+    """
+    return enriched.groupBy(*COARSE_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.count(money("price")).alias("n_priced"), F.sum(money("price")).alias("amount")
+    )
+
+
 def _n_of(event_type: str) -> Column:
     return F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0)).cast("bigint")
 
@@ -110,9 +124,10 @@ def category_events_from_cube(cube: DataFrame) -> DataFrame:
 
 
 def brand_revenue_from_cube(cube: DataFrame) -> DataFrame:
+    counted = F.col("n_priced") if "n_priced" in cube.columns else F.col("n")
     rows = cube.filter(
         (F.col("event_type") == "purchase") & F.col("brand").isNotNull() & F.col("amount").isNotNull()
-    ).select(F.trim(F.col("brand")).alias("brand"), "n", "amount")
+    ).select(F.trim(F.col("brand")).alias("brand"), counted.alias("n"), "amount")
     return (
         rows.filter(F.col("brand") != "")
         .groupBy("brand")

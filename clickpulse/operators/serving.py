@@ -43,7 +43,7 @@ def _zero_sum(c: str) -> Column:
 
 
 def _money_sum(c: str) -> Column:
-    return F.coalesce(F.sum(F.col(c).cast("decimal(38,2)")), F.lit(0).cast(MONEY_TYPE))
+    return F.coalesce(F.sum(F.col(c).cast("decimal(32,6)")), F.lit(0).cast(MONEY_TYPE))
 
 
 def overview_kpis(daily: DataFrame, start: DateLike, end: DateLike) -> DataFrame:

@@ -22,6 +22,16 @@ from clickpulse.sinks.files import write_counts_tsv, write_pair_text, write_parq
 from clickpulse.sinks.jdbc import write_table
 
 
+#: Tables that the coarse cube gives.
+ROLL_UPS = {"daily_metrics", "top_categories", "top_brands", "funnel_stats", "category_events", "brand_revenue"}
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has completed."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
 @dataclass
 class BatchResult:
     enriched_path: str
@@ -30,11 +40,14 @@ class BatchResult:
 
 
 def output_builders(
-    enriched: DataFrame, affinity_sample: float | None = None, base: DataFrame | None = None
+    enriched: DataFrame,
+    affinity_sample: float | None = None,
+    base: DataFrame | None = None,
+    affinity_row_sample: float | None = None,
 ) -> dict[str, Callable[[], DataFrame]]:
     """Builders of every serving table over one enriched frame.
 
-    With ``base`` (a written :func:`clickpulse.operators.cube.base_cube`), the
+    With ``base`` (a written :func:`clickpulse.operators.cube.coarse_cube`), the
     additive tables are roll-ups of it instead of scans of the events.
     Builders, not frames: affinity runs size checks while it is built, and
     each output is built inside its own task.
@@ -42,6 +55,8 @@ def output_builders(
     events_for_affinity = enriched
     if affinity_sample is not None:
         events_for_affinity = sampling.session_sample(enriched, affinity_sample)
+    elif affinity_row_sample is not None:
+        events_for_affinity = sampling.row_sample(enriched, affinity_row_sample)
     builders: dict[str, Callable[[], DataFrame]] = {
         "daily_metrics": lambda: metrics.daily_metrics(enriched),
         "top_products": lambda: metrics.product_stats(enriched),
@@ -57,7 +72,6 @@ def output_builders(
         builders.update(
             {
                 "daily_metrics": lambda: cube.daily_from_cube(base, enriched),
-                "top_products": lambda: cube.products_from_cube(base),
                 "top_categories": lambda: cube.categories_from_cube(base),
                 "top_brands": lambda: cube.brands_from_cube(base),
                 "funnel_stats": lambda: cube.funnel_from_cube(base),
@@ -90,16 +104,24 @@ def run_batch(
     affinity_sample: float | None = None,
     export_text: bool = True,
     range_partitions: int | None = None,
-    use_cube: bool = False,
+    use_cube: bool = True,
     parallel: int = 4,
+    outputs: list[str] | None = None,
+    affinity_row_sample: float | None = None,
+    jdbc_writers: int = 8,
 ) -> BatchResult:
     """Enrich once, write it, then compute and write every output.
 
     ``parallel``: how many outputs are written at once (independent jobs).
 
-    ``use_cube``: write the base cube once and derive the additive tables
-    from it (one scan of the events instead of six; best where a product's
-    price is stable).
+    ``use_cube``: write the coarse cube once and derive the additive tables
+    from it (one scan of the events instead of six).
+
+    ``outputs``: only these tables; an enriched table that an earlier run has
+    finished is then read, not written again.
+
+    ``affinity_sample``: fraction of sessions for affinity;
+    ``affinity_row_sample``: fraction of rows instead (breaks baskets up).
 
     ``range_partitions``: leave unset for roughly time-ordered input (each
     task already holds few dates: a local sort keeps one open file per task,
@@ -113,22 +135,23 @@ def run_batch(
     """
     out = out_dir.rstrip("/")
     enriched_path = f"{out}/events_enriched"
-    if events.isEmpty():
-        return BatchResult(enriched_path, skipped=True)
-    write_parquet(_cluster_by_date(enrich(events), range_partitions), enriched_path, partition_by=["date"])
+    if outputs is None or not finished(spark, enriched_path):
+        if events.isEmpty():
+            return BatchResult(enriched_path, skipped=True)
+        write_parquet(_cluster_by_date(enrich(events), range_partitions), enriched_path, partition_by=["date"])
     enriched = spark.read.parquet(enriched_path)
     result = BatchResult(enriched_path)
     shared_dir(spark)  # resolve the checkpoint folder once, before any thread needs it
     base = None
-    if use_cube:
-        write_parquet(cube.base_cube(enriched), f"{out}/base_cube")
+    if use_cube and (outputs is None or ROLL_UPS & set(outputs)):
+        write_parquet(cube.coarse_cube(enriched), f"{out}/base_cube")
         base = spark.read.parquet(f"{out}/base_cube")
         result.outputs["base_cube"] = f"{out}/base_cube"
     def write_output(name: str, build: Callable[[], DataFrame]) -> None:
         path = f"{out}/{name}"
         write_parquet(build(), path)
         if jdbc_url:
-            write_table(spark.read.parquet(path), jdbc_url, name, jdbc_properties)
+            write_table(spark.read.parquet(path), jdbc_url, name, jdbc_properties, num_partitions=jdbc_writers)
         if export_text and name == "category_events":
             write_counts_tsv(spark.read.parquet(path), ["category", "event_type"], f"{out}/tsv/{name}")
         if export_text and name == "brand_revenue":
@@ -137,9 +160,10 @@ def run_batch(
 
     jobs: list[tuple[Callable[..., None], tuple]] = [
         (write_output, (name, build))
-        for name, build in output_builders(enriched, affinity_sample, base).items()
+        for name, build in output_builders(enriched, affinity_sample, base, affinity_row_sample).items()
+        if outputs is None or name in outputs
     ]
-    if export_text:
+    if export_text and outputs is None:
         jobs.append((write_pair_text, (metrics.category_event_rows(enriched), f"{out}/text/category_events")))
         jobs.append((write_pair_text, (metrics.brand_price_rows(enriched), f"{out}/text/brand_revenue")))
     # independent jobs over one written table, submitted together so the

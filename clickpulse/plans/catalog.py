@@ -370,6 +370,65 @@ def q_event_json_roundtrip(spark, sf):
     return edge(back.drop("event_time", "category_id"))
 
 
+def _written(spark, sf, name):
+    """The batch job's own table, written and read back."""
+    from clickpulse.plans.batch_job import run_batch
+    from clickpulse.session import scratch_path
+
+    done = run_batch(spark, events_from_tables(spark, sf), scratch_path(spark, "batch"), outputs=[name])
+    return spark.read.parquet(done.outputs[name])
+
+
+def q_batch_daily_metrics(spark, sf):
+    return edge(_written(spark, sf, "daily_metrics"))
+
+
+def q_batch_top_products(spark, sf):
+    return edge(_written(spark, sf, "top_products"))
+
+
+def q_batch_top_categories(spark, sf):
+    return edge(_written(spark, sf, "top_categories"))
+
+
+def q_batch_top_brands(spark, sf):
+    return edge(_written(spark, sf, "top_brands"))
+
+
+def q_batch_funnel_stats(spark, sf):
+    return edge(_written(spark, sf, "funnel_stats"))
+
+
+def q_batch_cart_abandonment(spark, sf):
+    return edge(_written(spark, sf, "cart_abandonment"))
+
+
+def q_batch_product_affinity(spark, sf):
+    return edge(_written(spark, sf, "product_affinity"))
+
+
+def q_batch_category_events(spark, sf):
+    return edge(_written(spark, sf, "category_events"))
+
+
+def q_batch_brand_revenue(spark, sf):
+    return edge(_written(spark, sf, "brand_revenue"))
+
+
+def q_batch_abandonment_top3(spark, sf):
+    """The read over the written table, with a limit that bites."""
+    top = serving.abandonment_top(_written(spark, sf, "cart_abandonment"), RANGE_START, RANGE_END, 3)
+    return edge(top.withColumn("abandonment_rate", F.round("abandonment_rate", RATE_DIGITS)))
+
+
+def q_event_defaults(spark, sf):
+    """Events as the producer sends them: nulls as 0, 0.0 and empty text."""
+    from clickpulse.sources.events import coerce_defaults
+
+    columns = ["product_id", "category_code", "brand", "price", "user_id", "user_session"]
+    return edge(coerce_defaults(enriched(spark, sf).select("event_id", *columns)))
+
+
 def q_csv_roundtrip(spark, sf):
     from clickpulse.session import scratch_path
     from clickpulse.sinks.files import export_rows, write_events_csv

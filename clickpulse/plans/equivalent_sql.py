@@ -1,7 +1,7 @@
 """ANSI SQL (DuckDB dialect) equal to each registered query, over the driver's
 tables registered as views. Used as the correctness oracle.
 
-Rules: integer sums/counts cast to BIGINT; money summed as DECIMAL(18,2)
+Rules: integer sums/counts cast to BIGINT; money summed as DECIMAL(28,6)
 and cast to DOUBLE at the end; ratios divide two DOUBLEs; every LIMIT has a
 full tie-break.
 """
@@ -54,7 +54,7 @@ def _cnt(t: str) -> str:
     return f"CAST(SUM(CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT)"
 
 
-REV = "SUM(CASE WHEN event_type = 'purchase' THEN TRY_CAST(price AS DECIMAL(18,2)) ELSE 0 END)"
+REV = "SUM(CASE WHEN event_type = 'purchase' THEN TRY_CAST(price AS DECIMAL(28,6)) ELSE 0 END)"
 
 
 def _ratio(n: str, d: str) -> str:
@@ -189,11 +189,11 @@ WHERE trim(root_category) <> '' AND event_type IS NOT NULL AND trim(event_type)
 GROUP BY 1, 2"""
 
 BRAND_REVENUE = """SELECT trim(brand) AS brand,
-       CAST(SUM(TRY_CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       CAST(SUM(TRY_CAST(price AS DECIMAL(28,6))) AS DOUBLE) AS total_revenue,
        CAST(COUNT(*) AS BIGINT) AS purchase_count
 FROM enriched
 WHERE event_type = 'purchase' AND brand IS NOT NULL AND trim(brand) <> ''
-  AND TRY_CAST(price AS DECIMAL(18,2)) IS NOT NULL
+  AND TRY_CAST(price AS DECIMAL(28,6)) IS NOT NULL
 GROUP BY 1"""
 
 ROUNDTRIP_COLUMNS = """SELECT event_type, product_id, category_code, brand, price, user_id, user_session,
@@ -427,10 +427,20 @@ FROM (SELECT * FROM live ORDER BY last_event_time DESC NULLS LAST, session_id LI
     "csv_roundtrip": _with() + ROUNDTRIP_COLUMNS,
     "base_cube": _with()
     + """SELECT date, product_id, category_code, root_category, brand, price, event_type,
-       CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(TRY_CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS amount
+       CAST(COUNT(*) AS BIGINT) AS n, CAST(SUM(TRY_CAST(price AS DECIMAL(28,6))) AS DOUBLE) AS amount
 FROM enriched GROUP BY date, product_id, category_code, root_category, brand, price, event_type""",
 }
 
+# the batch job's written tables hold what the direct forms give
+for _name in ("daily_metrics", "top_products", "top_categories", "top_brands", "funnel_stats",
+              "cart_abandonment", "product_affinity", "category_events", "brand_revenue"):
+    SQL[f"batch_{_name}"] = SQL[_name]
+SQL["batch_abandonment_top3"] = SQL["abandonment_top"].replace(f"LIMIT {TOP_ABANDONMENT}", "LIMIT 3")
+SQL["event_defaults"] = _with() + """SELECT event_id, COALESCE(product_id, 0) AS product_id,
+       COALESCE(category_code, '') AS category_code, COALESCE(brand, '') AS brand,
+       COALESCE(price, 0.0) AS price, COALESCE(user_id, 0) AS user_id, COALESCE(user_session, '') AS user_session
+FROM enriched"""
+
 # the cube roll-ups compute the same tables as the direct forms
 for _name in ("daily_metrics", "top_products", "top_categories", "top_brands", "funnel_stats",
               "category_events", "brand_revenue"):

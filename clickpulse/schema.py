@@ -40,7 +40,7 @@ def _num(p: int, s: int) -> DecimalType:
     return DecimalType(p, s)
 
 
-# Column types of the ten serving tables (the result-store DDL).
+# Column types of the ten serving tables, as the result store declares them.
 SERVING_TYPES: dict[str, dict[str, DataType]] = {
     "daily_metrics": {
         "date": DateType(),
@@ -50,7 +50,7 @@ SERVING_TYPES: dict[str, dict[str, DataType]] = {
         "total_carts": LongType(),
         "total_purchases": LongType(),
         "total_revenue": _num(14, 2),
-        "conversion_rate": _num(8, 4),
+        "conversion_rate": _num(6, 4),
         "avg_order_value": _num(10, 2),
     },
     "funnel_stats": {
@@ -97,12 +97,12 @@ SERVING_TYPES: dict[str, dict[str, DataType]] = {
         "product_a": LongType(),
         "product_b": LongType(),
         "co_occurrences": LongType(),
-        "lift": _num(10, 4),
+        "lift": _num(8, 4),
     },
     "category_events": {
         "category": StringType(),
         "event_type": StringType(),
-        "event_count": IntegerType(),
+        "event_count": LongType(),
     },
     "brand_revenue": {
         "brand": StringType(),
@@ -113,7 +113,7 @@ SERVING_TYPES: dict[str, dict[str, DataType]] = {
         "session_id": StringType(),
         "user_id": LongType(),
         "last_event_time": TimestampType(),
-        "event_count": LongType(),
+        "event_count": IntegerType(),
         "has_cart": BooleanType(),
         "has_purchase": BooleanType(),
         "last_product_id": LongType(),
@@ -123,15 +123,37 @@ SERVING_TYPES: dict[str, dict[str, DataType]] = {
 }
 
 
+# Wider types where a valid result can exceed the declared one, so that no cast fails:
+# a rate counts events per user or per view and has no upper bound of 99; a pair seen
+# once has a lift of as many as there are sessions; sums and single prices have no
+# bound either; a bot's session can exceed 2**31 events.
+WIDER_TYPES: dict[str, dict[str, DataType]] = {
+    "daily_metrics": {"total_revenue": _num(38, 2), "conversion_rate": _num(24, 4), "avg_order_value": _num(28, 2)},
+    "funnel_stats": {"view_to_cart_rate": _num(24, 4), "cart_to_purchase_rate": _num(24, 4)},
+    "top_products": {"price": _num(28, 2), "revenue": _num(38, 2)},
+    "top_categories": {"revenue": _num(38, 2)},
+    "top_brands": {"revenue": _num(38, 2)},
+    "product_affinity": {"lift": _num(24, 4)},
+    "brand_revenue": {"total_revenue": _num(38, 2)},
+    "live_sessions": {"event_count": LongType()},
+}
+
+
+def serving_types(table: str) -> dict[str, DataType]:
+    """Types that ``conform`` casts to: as declared, or wider where a result can exceed that."""
+    return SERVING_TYPES[table] | WIDER_TYPES.get(table, {})
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Cast a result to its serving types (e.g. rates to NUMERIC(6,4)).
+    """Cast a result to its serving types (rates to four decimals, money to cents).
 
-    Columns the table does not declare are kept unchanged, in order.
+    Columns the table does not declare are kept unchanged, in order. A price
+    that is no amount (NaN, infinite) becomes null.
     """
-    types = SERVING_TYPES[table]
+    types = serving_types(table)
     return df.select(
         *[
-            F.col(name).cast(types[name]).alias(name) if name in types else F.col(name)
+            F.col(name).try_cast(types[name]).alias(name) if name in types else F.col(name)
             for name in df.columns
         ]
     )

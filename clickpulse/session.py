@@ -2,7 +2,8 @@
 
 Operators never build a session; callers pass one in. ``build_session`` is the
 one place that picks defaults for local runs (tests, bench). On a cluster the
-submitter's configuration wins: values already set are left alone.
+submitter's configuration wins: a default is set only where the submitter set
+nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import tempfile
 import threading
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 _SHARED_DIR_LOCK = threading.Lock()
@@ -44,12 +46,13 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    wanted = dict(extra_conf or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra_conf or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    submitted = submitted_conf(wanted)
+    for key, value in (DEFAULT_CONF | wanted).items():
+        if key in wanted or not submitted.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     # the session zone is part of the semantics; enforce it even on a reused session
@@ -57,6 +60,36 @@ def build_session(
     return spark
 
 
+def submitted_conf(launch: dict[str, str] | None = None) -> SparkConf:
+    """What the submitter set (spark-submit, spark-defaults, environment).
+
+    Starts the JVM if none runs yet, with ``launch`` (memory can only be set then).
+    """
+    first = SparkConf(loadDefaults=False)
+    for key, value in (launch or {}).items():
+        first.set(key, value)
+    SparkContext._ensure_initialized(conf=first)
+    found = SparkConf(loadDefaults=True)
+    active = SparkSession.getActiveSession()
+    if active is not None:  # a session of the caller's: its settings are the submitter's
+        for key, value in active.sparkContext.getConf().getAll():
+            found.set(key, value)
+    return found
+
+
+def apply_scale(spark: SparkSession, path: str) -> dict[str, str]:
+    """Set ``scale_conf`` for the files of ``path`` (a glob), where the submitter set nothing."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(fs_path) or []
+    size = sum(fs.getContentSummary(s.getPath()).getLength() for s in found)
+    submitted = spark.sparkContext.getConf()
+    chosen = {k: v for k, v in scale_conf(size).items() if not submitted.contains(k)}
+    for key, value in chosen.items():
+        spark.conf.set(key, value)
+    return chosen
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Shuffle sizing for a given input size (pass as ``extra_conf``).
 

@@ -41,10 +41,19 @@ def write_table(
 
 
 def read_table(
-    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict[str, str] | None = None,
+    column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    num_partitions: int = 16,
 ) -> DataFrame:
+    """A stored table. With ``column`` (a number) and its ``bounds``, ``num_partitions`` tasks read a range each."""
     props = dict(properties or {})
     driver = _driver_for(url)
     if driver and "driver" not in props:
         props["driver"] = driver
-    return spark.read.jdbc(url, table, properties=props)
+    if column is None or bounds is None:
+        return spark.read.jdbc(url, table, properties=props)
+    return spark.read.jdbc(url, table, column, bounds[0], bounds[1], num_partitions, properties=props)

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickpulse.sources.events import coerce_defaults
+
 
 def encode_events(rows: DataFrame, key_col: str | None = "user_session") -> DataFrame:
     """One JSON object per event in ``value`` (null fields omitted), keyed by
@@ -18,9 +20,9 @@ def encode_events(rows: DataFrame, key_col: str | None = "user_session") -> Data
 
 
 def write_kafka(rows: DataFrame, servers: str, topic: str, extra: dict[str, str] | None = None) -> None:
-    """Batch publish with ``acks=all``."""
+    """Batch publish with ``acks=all``; nulls are sent as the producer's defaults."""
     writer = (
-        encode_events(rows)
+        encode_events(coerce_defaults(rows))
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)

@@ -62,12 +62,12 @@ def test_daily_metrics_values_and_zero_denominators(make_events):
     assert (r1.total_events, r1.unique_users, r1.total_views, r1.total_carts, r1.total_purchases) == (
         5, 3, 1, 1, 2,
     )
-    assert str(r1.total_revenue) == "0.30"  # exact decimal, not 0.30000000000000004
+    assert str(r1.total_revenue) == "0.300000"  # exact decimal, not 0.30000000000000004
     assert r1.conversion_rate == 2 / 3
     assert r1.avg_order_value == 0.3 / 2
     r2 = rows[dt.date(2019, 10, 2)]
     assert (r2.total_purchases, r2.conversion_rate, r2.avg_order_value) == (0, 0.0, 0.0)
-    assert str(r2.total_revenue) == "0.00"
+    assert str(r2.total_revenue) == "0.000000"
 
 
 def test_funnel_zero_views(make_events):
@@ -88,7 +88,7 @@ def test_price_change_and_null_brand(make_events):
     products = metrics.product_stats(en).collect()
     assert sorted((r.product_id, r.price) for r in products) == [(7, 10.0), (7, 12.0), (8, 5.0)]
     brands = metrics.brand_stats(en).collect()
-    assert [(r.brand, str(r.revenue)) for r in brands] == [("acme", "22.00")]
+    assert [(r.brand, str(r.revenue)) for r in brands] == [("acme", "22.000000")]
     cats = metrics.category_stats(en).collect()
     assert [(r.category, r.views, r.purchases) for r in cats] == [("a", 1, 2)]
 

@@ -43,7 +43,7 @@ def test_text_counts_skip_trim_reject(spark, tmp_dir):
         fh.write("acme,10.10\n acme ,0.20\nacme,abc\nacme,nan\nacme,inf\nzed,\n,5\nzed,1\n")
     rows = read_pair_text(spark, br, ("brand", "price"))
     got = {r.brand: (str(r.total_revenue), r.purchase_count) for r in metrics.brand_revenue(rows).collect()}
-    assert got == {"acme": ("10.30", 2), "zed": ("1.00", 1)}
+    assert got == {"acme": ("10.300000", 2), "zed": ("1.000000", 1)}
 
 
 def test_tsv_export_sorted_two_decimals(spark, tmp_dir):
@@ -81,11 +81,30 @@ def test_conform_serving_types(spark, make_events):
     ev = make_events([("2019-10-01 10:00:00 UTC", "purchase", 1, "a.b", "x", 3.333, 1, "s1")])
     daily = conform(metrics.daily_metrics(enrich(ev)), "daily_metrics")
     types = {f.name: f.dataType for f in daily.schema.fields}
-    assert types["conversion_rate"] == DecimalType(8, 4) and types["avg_order_value"] == DecimalType(10, 2)
+    assert types["conversion_rate"] == DecimalType(24, 4) and types["avg_order_value"] == DecimalType(28, 2)
     (row,) = daily.collect()
     assert row.total_revenue == decimal.Decimal("3.33") and row.conversion_rate == decimal.Decimal("1.0000")
 
 
+def test_conform_holds_every_valid_result(spark):
+    from clickpulse.schema import SERVING_TYPES
+
+    assert SERVING_TYPES["category_events"]["event_count"].simpleString() == "bigint"
+    assert SERVING_TYPES["product_affinity"]["lift"] == DecimalType(8, 4)
+    (row,) = conform(spark.sql("SELECT 'a' category, 'view' event_type, 3000000000L event_count"), "category_events").collect()
+    assert row.event_count == 3_000_000_000
+    (row,) = conform(spark.sql("SELECT 1L product_a, 2L product_b, 1L co_occurrences, 2000000D lift"), "product_affinity").collect()
+    assert row.lift == 2_000_000
+    (row,) = conform(spark.sql("SELECT 150D conversion_rate, 123456789012345.678BD total_revenue"), "daily_metrics").collect()
+    assert row.conversion_rate == 150 and row.total_revenue == decimal.Decimal("123456789012345.68")
+
+
+def test_money_keeps_the_source_digits(spark, make_events):
+    ev = make_events([(f"2019-10-01 10:00:0{i} UTC", "purchase", 1, "a.b", "x", p, 1, "s1") for i, p in enumerate((3.333, 3.333, 3.334, float("nan")))])
+    (row,) = metrics.daily_metrics(enrich(ev)).collect()
+    assert row.total_revenue == decimal.Decimal("10.000000") and row.total_purchases == 4
+
+
 def test_batch_job_writes_all_outputs(spark, tmp_dir, make_events):
     from clickpulse.plans.batch_job import run_batch
 
@@ -117,7 +136,7 @@ def test_batch_cli_on_csv(spark, tmp_dir):
         fh.write("2019-10-01 00:01:00 UTC,purchase,1,2,a.b,x,1.5,7,s1\n")
     assert jobs.run(["batch", "--events", src, "--out", f"{tmp_dir}/out"]) == 0
     (row,) = spark.read.parquet(f"{tmp_dir}/out/daily_metrics").collect()
-    assert (row.total_events, row.total_purchases, str(row.total_revenue)) == (2, 1, "1.50")
+    assert (row.total_events, row.total_purchases, str(row.total_revenue)) == (2, 1, "1.500000")
 
 
 def test_batch_job_cube_equals_direct(spark, tmp_dir, make_events):
@@ -132,8 +151,8 @@ def test_batch_job_cube_equals_direct(spark, tmp_dir, make_events):
              f"b{i % 2}" if i % 6 else None, [1.5, 2.25, float("nan")][i % 3], i % 9, f"s{i % 11}")
         )
     ev = make_events(rows)
-    direct = run_batch(spark, ev, f"{tmp_dir}/direct", export_text=False)
-    cubed = run_batch(spark, ev, f"{tmp_dir}/cube", export_text=False, use_cube=True)
+    direct = run_batch(spark, ev, f"{tmp_dir}/direct", export_text=False, use_cube=False)
+    cubed = run_batch(spark, ev, f"{tmp_dir}/cube", export_text=False)
     assert "base_cube" in cubed.outputs
     for name in ("daily_metrics", "top_products", "top_categories", "top_brands", "funnel_stats",
                  "category_events", "brand_revenue"):
