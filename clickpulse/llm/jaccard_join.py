@@ -174,6 +174,7 @@ def _postings(docs: DataFrame, excess: np.ndarray, words: int, num: int, den: in
 def _listed(postings: DataFrame) -> DataFrame:
     """Postings of tokens that two classes have, each once, as columns."""
     shared = postings.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("token")
+    shared = staged(shared, "shared")  # so that the join has a shuffle on either side and a hot token's rows can be split
     own = postings.join(shared, "token").dropDuplicates(["token", "class"])
     field = lambda shift, mask: F.shiftright("packed", shift).bitwiseAND(F.lit(mask))
     return own.select("token", "class", F.shiftright("packed", 8).alias("n"), field(4, 15).alias("level"), field(0, 15).alias("matches"))

@@ -99,7 +99,9 @@ def repeated_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows (doc_id, places array<long>) for documents that lose sentences: every occurrence of a span but its first."""
     ship(docs.sparkSession)
     found = staged(_span_rows(docs, min_words), "spans")
+    # written, so that the join has a shuffle on either side and a hot span's rows can be split
     repeated = found.groupBy("span").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("n")).where("n > 1").select("span", "home")
+    repeated = staged(repeated, "repeated")
     again = F.col("place").bitwiseAND(F.lit(1)) == 1
     gone = found.join(repeated, "span").where((F.col("doc_id") != F.col("home")) | again).select("doc_id", "place")
     return gone.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
