@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.llm.common import table
+from clickpulse.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 END_ID = 1
 WINDOW = 2048
@@ -106,5 +109,3 @@ QUERIES: dict[str, Query] = {
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_sentencepiece_codec": op10_sentencepiece_codec,
 }
-
-SQL: dict[str, str] = {}
