@@ -3,7 +3,9 @@
 A text is cut where no token of the file's tokenizer can reach across: before
 a space that stands between two other characters (byte-level BPE, whose tokens
 take a space in front) or at white space (word BPE, which drops it). Equal
-chunks have equal ids, so each worker encodes a chunk once and keeps its ids.
+chunks have equal ids, so each worker encodes a chunk once and keeps its ids. A
+new chunk of plain ASCII is cut further, as the tokenizer itself cuts it before
+merging, so that a word is encoded once whatever sign follows it.
 """
 
 from __future__ import annotations
@@ -11,9 +13,12 @@ from __future__ import annotations
 import re
 from array import array
 
-KEEP = 1_000_000  # chunks in the table before it is emptied
+KEEP = 800_000  # chunks in the table before it is emptied
 KEEP_CHARS = 48  # longer chunks are not kept
 SLICE_CHARS = 1 << 20
+# the tokenizers' own cutting of a text before merging, for ASCII: words, digits, other signs, white space
+_BYTE_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\r\x0b\x0cA-Za-z0-9]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
+_WORD_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
 _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 _ODD = ["  ", *[c + " " for c in _OTHER_SPACE], *[" " + c for c in _OTHER_SPACE]]
 _GAP = re.compile(r"(?<=\S)(?= \S)")
@@ -46,7 +51,7 @@ class ChunkedTokenizer:
         spec = json.loads(self.tokenizer.to_str())
         self.size = self.tokenizer.get_vocab_size()
         self.drops_space = spec["model"].get("end_of_word_suffix") == "</w>"
-        self.table = _Table()
+        self.table, self.parts = _Table(), _Table()
 
     def chunks(self, text: str) -> list[str]:
         if self.drops_space:
@@ -72,20 +77,36 @@ class ChunkedTokenizer:
         look = table.__getitem__
         found = [list(map(look, self.chunks(t))) for t in texts]
         asked, table.asked = table.asked, []
-        for at in range(0, len(asked), 4096):
-            part = asked[at : at + 4096]
-            for chunk, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                value = table[chunk]
+        known, cut = self.parts.__getitem__, (self._cut(c) for c in asked)
+        made = [list(map(known, c)) for c in cut]
+        new, self.parts.asked = self.parts.asked, []
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                value = self.parts[text]
                 value += array("I", got.ids).tobytes()
-                if len(chunk) > KEEP_CHARS:
-                    del table[chunk]
-                else:
-                    table[chunk] = bytes(value)
+        for chunk, values in zip(asked, made, strict=True):
+            value = table[chunk]
+            value += b"".join(values)
+            if len(chunk) > KEEP_CHARS:
+                del table[chunk]
+            else:
+                table[chunk] = bytes(value)
+        for text in new:
+            value = self.parts.pop(text)
+            if len(text) <= KEEP_CHARS:
+                self.parts[text] = bytes(value)
         out = [b"".join(x) for x in found]
-        if len(table) > KEEP:
-            table.clear()
+        for kept in (table, self.parts):
+            if len(kept) > KEEP:
+                kept.clear()
         return out
 
+    def _cut(self, chunk: str) -> list[str]:
+        if not chunk.isascii() or "<|" in chunk:
+            return [chunk]
+        return _WORD_PARTS.findall(chunk.lower()) if self.drops_space else _BYTE_PARTS.findall(chunk)
+
 
 _LOADED: dict[str, ChunkedTokenizer] = {}
 
