@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 # many rows; above it the join stays a shuffle join that AQE may still convert
 # (measured shuffle sizes) or split (skew join) at run time.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# ... and takes at most this many bytes (rows x measured width). Below
+# WIDTH_ROWS rows the width is not measured: only rows of over a kilobyte
+# could then reach the bound.
+DEFAULT_BROADCAST_BYTES = 256 * 1024**2
+WIDTH_ROWS = 200_000
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -24,13 +29,31 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows of bounded size in all.
 
     Call it on a plain table scan (Parquet answers ``count()`` from file
     footers, no data is read) or on a frame already materialized with
     :func:`cut_lineage`; see :func:`small_side`.
     """
-    return df.count() <= max_rows
+    n = df.count()
+    if n > max_rows:
+        return False
+    return n <= WIDTH_ROWS or row_bytes(df) <= DEFAULT_BROADCAST_BYTES
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of all rows: eight for each number, the measured length of text and arrays."""
+    fixed, sizes = 8, []
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        if kind in ("string", "binary"):
+            sizes.append(F.octet_length(c))
+        elif kind == "array":
+            sizes.append(F.size(c) * 8)
+        else:
+            fixed += 8
+    width = sum((F.coalesce(s, F.lit(0)) for s in sizes), F.lit(fixed + 8 * len(sizes)))
+    return int(df.agg(F.sum(width)).first()[0] or 0)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
