@@ -58,7 +58,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def cut_rows(batches, max_bytes: int = 8 << 20):
+def cut_rows(batches, max_bytes: int = 2 << 20):
     """Slices of Arrow batches holding about ``max_bytes`` at most (one row at least)."""
     for batch in batches:
         rows = max(1, batch.num_rows * max_bytes // max(1, batch.nbytes))
