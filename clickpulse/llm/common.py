@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import threading
 import zipfile
 
@@ -19,19 +19,30 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application.
+
+    The archive lies in the shared folder; workers import it by name, so what
+    they keep (tokenizers, tables of chunks) lasts from task to task.
+    """
+    from clickpulse.session import scratch_path
+
     sc = spark.sparkContext
     with _SHIP_LOCK:
         if sc.applicationId in _SHIPPED:
             return
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        target = os.path.join(tempfile.mkdtemp(prefix="clickpulse-ship-"), "clickpulse.zip")
-        with zipfile.ZipFile(target, "w") as z:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
             for folder, _, names in os.walk(root):
                 for name in sorted(names):
                     if name.endswith(".py"):
                         path = os.path.join(folder, name)
                         z.write(path, os.path.relpath(path, os.path.dirname(root)))
+        target = f"{scratch_path(spark, 'package')}/clickpulse.zip"
+        path = sc._jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(packed.getvalue())
+        out.close()
         sc.addPyFile(target)
         _SHIPPED.add(sc.applicationId)
 

@@ -19,8 +19,8 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,24 +120,26 @@ def pack(pieces: DataFrame, capacity: int, key: str = "doc_id", shard_pieces: in
 
     ``pieces`` must give the same rows each time it is read. Full pieces are
     windows by themselves: even sequence ids, from the task that holds them;
-    windows of shards have odd ones.
+    windows of shards have odd ones. Other columns pass through; earlier places
+    are replaced.
     """
     ship(pieces.sparkSession)
-    names = pieces.columns
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    pieces = pieces.select(*[F.col(f"`{c}`") for c in names])
+    shard = next(x for x in (f"shard{i}" for i in range(len(names) + 1)) if x not in names)
     full = pieces.where(F.col("length") == capacity)
     rests = pieces.where(F.col("length") < capacity)
     shards = max(1, -(-rests.count() // shard_pieces))
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", key, "start"], ascending=[False, True, True], kind="stable")
-        window, offset = best_fit_decreasing(group["length"].tolist(), capacity)
-        base = int(group["shard"].iloc[0]) << LOCAL_BITS if len(group) else 0
-        return group[names].assign(sequence_id=2 * (base + window) + 1, offset=offset)
+    def place(group: pa.Table) -> pa.Table:
+        group = group.take(pc.sort_indices(group, sort_keys=[("length", "descending"), (key, "ascending"), ("start", "ascending")]))
+        window, offset = best_fit_decreasing(group.column("length").to_pylist(), capacity)
+        first = group.column(shard)[0].as_py() << LOCAL_BITS
+        return group.select(names).append_column("sequence_id", pa.array(2 * (first + window) + 1)).append_column("offset", pa.array(offset))
 
-    schema = rests.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    shard = F.pmod(F.xxhash64(key, "start"), F.lit(shards))
-    placed = rests.withColumn("shard", shard).groupBy("shard").applyInPandas(place, schema)
-    alone = full.select(*names, (2 * F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    schema = rests.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
+    placed = rests.withColumn(shard, F.pmod(F.xxhash64(key, "start"), F.lit(shards))).groupBy(shard).applyInArrow(place, schema)
+    alone = full.select("*", (2 * F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return alone.unionByName(placed)
 
 

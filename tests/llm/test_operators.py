@@ -70,7 +70,7 @@ def test_packing_shards_are_whole(spark):
     from clickpulse.llm.packing import pack
 
     rows = [(i, 0, 1 + (i * 7919) % 99, i) for i in range(500)] + [(i, 0, 100, i) for i in range(500, 520)]
-    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, extra long").repartition(3)
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, shard0 long").repartition(3)
     placed = pack(pieces, 100, shard_pieces=60).collect()
     assert sorted(r["doc_id"] for r in placed) == list(range(520))
     used: dict = {}
