@@ -224,6 +224,18 @@ def test_pieces_table_stays_small_and_archives(spark, tmp_dir):
     assert read_live_pieces(spark, table).count() <= whole.count()
 
 
+def test_complete_mode_rewrites_the_table_each_epoch(spark, tmp_dir):
+    src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    for i in range(2):
+        _write_json(src, f"{i}.json", [_event(f"2019-10-01T10:0{i}:00Z", "view", i, "a.x", f"s{i}", user=i)])
+        events = stream_live.event_stream_files(spark, src, "json", max_files_per_trigger=1)
+        sessions = stream_live.live_session_stream(events)
+        stream_live.start_live_sessions(sessions, table, ckpt, {"availableNow": True}, "complete").awaitTermination()
+    counts = {r["epoch"]: r["count"] for r in spark.read.parquet(table).groupBy("epoch").count().collect()}
+    assert counts == {0: 1, 1: 2}
+    assert _rows(stream_live.read_live_table(spark, table)) == _rows(_batch(spark, src))
+
+
 def test_each_micro_batch_is_evaluated_once(spark, tmp_dir):
     src, table, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
     _write_json(src, "1.json", [_event(f"2019-10-01T10:0{i}:00Z", "view", i, "a.x", f"s{i}") for i in range(5)])
