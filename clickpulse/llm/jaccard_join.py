@@ -19,11 +19,11 @@ fetched, a pair's signatures (how often each of ``PARITY`` hash values occurs in
 a set, modulo 2) must differ in no more bits than linked sets can differ in
 tokens, which drops no link.
 
-Skew: documents with equal sets form one class. For a few rounds, each list has
-a pivot and each class is compared with the one pivot that it shares most lists
-with; whom that joins is one component, and only pairs across components are
-then enumerated, in full. This leaves the
-components as they are, since a pair inside one cannot change them.
+Skew: documents with equal sets form one class. For a few rounds, each large
+list has a pivot and each class is compared with the one pivot that it shares
+most lists with; whom that joins is one component, and only pairs across
+components are then enumerated, in full. This leaves the components as they
+are, since a pair inside one cannot change them.
 
 Null text and text without words have the empty set and link with nothing.
 Repeated rows share a class. A null doc_id links nothing and stays its own
@@ -47,6 +47,7 @@ PARITY = 2048  # bits of a set's signature
 BLOCK = 64  # sets of a candidate component in one block
 MATCHES = 4
 VERIFY_COST = 16.0  # of one candidate, against one listed document
+LARGE_LIST = 32
 STAR_ROUNDS = 4
 STAR_GAIN = 0.8  # a further round of pivots follows while one leaves less than this of the pairs across components
 
@@ -265,12 +266,12 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
         groups = now.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
         sizes = groups.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
         sizes = staged(sizes, "lists")
-        across = sizes.agg(F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()[0] or 0
+        across = sizes.where(F.col("c") >= LARGE_LIST).agg(F.sum((F.col("c") * F.col("c") - F.col("same")) / 2)).first()[0] or 0
         if turn == STAR_ROUNDS or not across or before is not None and across > STAR_GAIN * before:
             break
         before = across
-        # a pivot for each list; every member of another component meets the pivot it has most tokens in common with
-        large = now.join(sizes.select("token"), "token", "left_semi")
+        # a pivot for each large list; every member of another component meets the pivot it has most tokens in common with
+        large = now.join(sizes.where(F.col("c") >= LARGE_LIST).select("token"), "token", "left_semi")
         rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), F.col("class").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
         star = large.join(pivots, "token").where(fits & (F.col("root") != F.col("p_root")))
