@@ -20,10 +20,10 @@ a set, modulo 2) must differ in no more bits than linked sets can differ in
 tokens, which drops no link.
 
 Skew: documents with equal sets form one class. For a few rounds, each large
-list has a pivot and each class is compared with the one pivot that it shares
-most lists with; whom that joins is one component, and only pairs across
-components are then enumerated, in full. This leaves the components as they
-are, since a pair inside one cannot change them.
+list has a pivot of its own and each class is compared with the pivots of its
+lists; whom that joins is one component, and only pairs across components are
+then enumerated, in full. This leaves the components as they are, since a pair
+inside one cannot change them.
 
 Null text and text without words have the empty set and link with nothing.
 Repeated rows share a class. A null doc_id links nothing and stays its own
@@ -270,13 +270,12 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
         if turn == STAR_ROUNDS or not across or before is not None and across > STAR_GAIN * before:
             break
         before = across
-        # a pivot for each large list; every member of another component meets the pivot it has most tokens in common with
+        # a pivot for each large list, another one for each list and round; every member of another component meets it
         large = now.join(sizes.where(F.col("c") >= LARGE_LIST).select("token"), "token", "left_semi")
-        rank = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), F.col("class").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
+        rank = F.struct(F.xxhash64("class", "token", F.lit(turn)).alias("h"), F.col("class").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
         star = large.join(pivots, "token").where(fits & (F.col("root") != F.col("p_root")))
-        best = star.groupBy("class", "p").agg(F.count(F.lit(1)).alias("hits")).groupBy("class").agg(F.max_by("p", "hits").alias("p"))
-        pairs = best.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
+        pairs = star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
         joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
         links = joined if links is None else staged(links.unionByName(joined), "links")
     # every pair across components that shares enough tokens
