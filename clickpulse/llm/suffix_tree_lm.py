@@ -1,22 +1,27 @@
 """Scores of texts by a probabilistic suffix tree of words.
 
-Method: the tree's states are contexts of one or two words. A context is a
-candidate if its share of the training tokens is ``MIN_STATE`` at least (so
-there are ``1 / MIN_STATE`` at most of each length), and becomes a state if its
-next words diverge from those of its suffix: its count times the
-Kullback-Leibler divergence must exceed the cost of describing its entries
-(half the logarithm of all tokens, for each). An entry is a next word whose
-share together with the context is ``MIN_ENTRY`` at least. A state's
-distribution is its entries' counts less a discount; what that leaves goes to
-the distribution of its longest suffix that is a state, down to the single
-tokens' add-``ALPHA`` distribution. A token's probability is that of the
-longest state that its preceding words end with.
+Method: the tree's states are contexts of one word and more. A context becomes
+a state if its next words diverge from those of its suffix, a state itself: its
+count times the Kullback-Leibler divergence must exceed the cost of describing
+its entries (half the logarithm of all tokens, for each). An entry is a next
+word seen ``LEAST_COUNT`` times at least after the context. Contexts lengthen
+for as long as this finds states. A state's distribution is its entries' counts
+less a discount; what that leaves goes to the distribution of its suffix, down
+to the single tokens' add-``ALPHA`` distribution. A token's probability is that
+of the longest state that its preceding words end with.
+
+As sums: a text's score is that of its single tokens, plus the logarithm of the
+left mass of every state that a token stands after, plus a gain for every entry
+met. So states and entries are one table of (key, value), with 64-bit hashes as
+keys, and scoring is a join by key. It is built depth by depth with grouped
+sums and joins; its size follows the input. Only what has a share of ``SHARED``
+of the training tokens is broadcast (``1 / SHARED`` words, states of a length
+and entries of a length at most); the rest is joined. Filters of a fixed size
+that may say yes wrongly, never no, keep what can't be found from the shuffles.
 
 Training: rows whose ``crc32(doc_id as text) mod FOLDS`` is not 0 (null reads
 as the empty text). Counts cover all of these texts. Single tokens and runs are
-counted in each task first and then summed by hash; frequent words (share
-``MIN_ENTRY`` at least, ``1 / MIN_ENTRY`` at most) and the tree are broadcast,
-and the counts of all other words reach the texts by a join.
+counted in each task first and then summed by hash.
 
 Tokens: words with A-Z lower-cased, then one end for each text. Null text
 counts as empty: the end alone. Repeated rows count and are scored each. With
@@ -25,6 +30,7 @@ no training rows, all counts are 0.
 
 from __future__ import annotations
 
+import gc
 import zlib
 
 import numpy as np
@@ -37,13 +43,16 @@ from clickpulse.llm.common import cut_rows, first_of_each, mix64, ship, signed,
 
 ALPHA = 0.1
 FOLDS = 10
-MIN_STATE = 5e-5
-MIN_ENTRY = 1e-6
+SHARED = 1e-6
 DISCOUNT = 0.75
 LEAST_COUNT = 2
-WORD_BITS = 21  # frequent words' numbers: 1 / MIN_ENTRY at most
+WORD_BITS = 21  # words' numbers in the tree of arrays
 END = np.uint64(0x0E4D0F7E87C0DE01)
 FLUSH = 3_000_000  # distinct keys held by a counting task
+FLUSH_RUNS = 1_000_000  # distinct runs held by a counting task
+FILTER_BITS = 28
+FIRST_BITS = 36
+_LONGER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(doc_id) -> bool:
@@ -144,7 +153,7 @@ class Frequent:
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
         order = np.argsort(words)
         self.words, self.counts, self.total = words[order], counts[order], total
-        self.context = self.counts >= max(LEAST_COUNT, MIN_STATE * total)
+        self.context = self.counts >= LEAST_COUNT
 
     def numbers(self, tokens: np.ndarray) -> np.ndarray:
         """Each token's place among the words; -1 if it is not frequent."""
@@ -176,7 +185,7 @@ def _runs(numbers: np.ndarray, at: np.ndarray, context: np.ndarray) -> tuple[np.
 def run_counts(docs: DataFrame, frequent, buckets: int) -> DataFrame:
     """Rows (depth, context, word, n): next words after candidate contexts of one and two words.
 
-    Only runs of share ``MIN_ENTRY`` at least, counted over all training texts.
+    Only runs seen ``LEAST_COUNT`` times at least in all training texts.
     """
 
     def count(batches):
@@ -192,9 +201,8 @@ def run_counts(docs: DataFrame, frequent, buckets: int) -> DataFrame:
         yield from counter.rows()
 
     def merge(key, table):
-        known = frequent.value
         runs, n = _merge(table)
-        keep = n >= max(LEAST_COUNT, MIN_ENTRY * known.total)
+        keep = n >= LEAST_COUNT
         runs, n = runs[keep], n[keep]
         bits, top = np.uint64(WORD_BITS), np.uint64(1 << 63)
         depth = (runs >> np.uint64(63)).astype(np.int32) + 1
@@ -209,7 +217,7 @@ def _pairs(runs):
     return (one_key, two_key), (two, three)
 
 
-# --- the tree ----------------------------------------------------------------
+# --- the tree of arrays: depth 2 at most, in one process ----------------------------------------------------------------
 
 
 class Tree:
@@ -265,7 +273,7 @@ class Tree:
 
 
 def build_tree(runs: DataFrame, frequent: Frequent, vocabulary: int) -> Tree:
-    """The tree from counted runs, of which there are ``1 / MIN_ENTRY`` at most for each depth."""
+    """The tree of one and two words from counted runs; all of them reach this process."""
     found = runs.toArrow()
     columns = {c: found.column(c).to_numpy() for c in ("depth", "context", "word", "n")}
     tree = Tree(frequent, vocabulary)
@@ -279,41 +287,215 @@ def build_tree(runs: DataFrame, frequent: Frequent, vocabulary: int) -> Tree:
             counted = ((context << np.uint64(WORD_BITS)) | word.astype(np.uint64), n)
         else:
             of_context = tree._find(counted, context)
-            keep = of_context >= max(LEAST_COUNT, MIN_STATE * frequent.total)
+            keep = of_context >= LEAST_COUNT
             context, word, n, of_context = context[keep], word[keep], n[keep], of_context[keep]
         tree.grow(depth, context, word, n, of_context)
     return tree
 
 
+# --- the tree as a table ------------------------------------------------------
+
+
+class Filter:
+    """Bits of a set of spread 64-bit keys: ``has`` is true for all of them and for few others."""
+
+    def __init__(self, bits: int, raw: np.ndarray):
+        self.bits, self.raw = bits, raw
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys >> np.uint64(64 - self.bits)
+        return (self.raw[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _filter(keys: DataFrame, n: int) -> Filter:
+    """The filter of ``n`` keys (column key): 2 ** FILTER_BITS bits at most, in parts of 2 ** 16."""
+    bits = min(FILTER_BITS, max(20, int(16 * n).bit_length()))
+
+    def part(key, table):
+        at = (table.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)) & np.uint64(0xFFFF)
+        marks = np.zeros(1 << 16, np.uint8)
+        marks[at] = 1
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "raw": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
+
+    parts = keys.select(F.shiftrightunsigned("key", 64 - (bits - 16)).alias("part"), "key").groupBy("part").applyInArrow(part, "part long, raw binary")
+    raw = np.zeros(1 << (bits - 3), np.uint8)
+    for r in parts.collect():  # 2 ** (FILTER_BITS - 16) rows at most
+        raw[r["part"] << 13 : (r["part"] + 1) << 13] = np.frombuffer(r["raw"], np.uint8)
+    return Filter(bits, raw)
+
+
+def _entry(context, up):
+    return context.bitwiseXOR(F.shiftleft(up, 17).bitwiseOR(F.shiftrightunsigned(up, 47)))
+
+
+def _deeper(tokens: np.ndarray, at: np.ndarray, filters: list):
+    """(position, context, entry, entry of the context's suffix) of tokens, one array each, for every depth.
+
+    Each depth has the tokens whose contexts up to this depth pass the filters; one depth more than there are filters.
+    """
+    place = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
+    where, context, entry = np.arange(len(tokens)), np.zeros(len(tokens), np.uint64), tokens
+    for depth in range(1, len(filters) + 2):
+        good = place[where] >= depth
+        where, context, up = where[good], context[good], entry[good]
+        context = mix64(context * _LONGER + tokens[where - depth])
+        if depth <= len(filters):
+            good = filters[depth - 1].has(context)
+            where, context, up = where[good], context[good], up[good]
+        entry = context ^ ((up << np.uint64(17)) | (up >> np.uint64(47)))  # as in _entry
+        yield where, context, entry, up
+
+
+def _summed_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows of equal first column as one, with the sum of the last."""
+    order = np.argsort(columns[0], kind="stable")
+    first = np.flatnonzero(first_of_each(columns[0][order]))
+    return [*[c[order[first]] for c in columns[:-1]], np.add.reduceat(columns[-1][order], first) if len(first) else columns[-1]]
+
+
+def _candidates(batch: pa.RecordBatch, filters: list, entries) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts of all training tokens one deeper than the filters; entry, context and suffix's entry where that may be one."""
+    tokens, at = _tokens(_training(batch))
+    *_, (_, context, entry, up) = _deeper(tokens, at, filters)
+    good = entries.has(up) if entries else np.ones(len(up), bool)
+    return context, entry[good], context[good], up[good]
+
+
+def repeated(docs: DataFrame, found, most: int, buckets: int) -> Filter:
+    """Filter of the runs and contexts that stand ``LEAST_COUNT`` times at least, counted by the first bits of their keys."""
+    cut = np.uint64(64 - FIRST_BITS)
+
+    def count(batches):
+        counter = _Counter(buckets)
+        for batch in cut_rows(batches):
+            context, entry, _, _ = _candidates(batch, *found.value)
+            yield from counter.add(np.concatenate([context, entry]) >> cut)
+        yield from counter.rows()
+
+    def merge(key, table):
+        keys, n = _merge(table)
+        return pa.table({"key": pa.array(signed(keys[n >= LEAST_COUNT] << cut), pa.int64())})
+
+    return _filter(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "key long"), most)
+
+
+def deeper_runs(docs: DataFrame, found, again) -> DataFrame:
+    """Rows (context, up, n): runs one deeper than the filters, and with up = 0 the contexts themselves.
+
+    What stands ``LEAST_COUNT`` times at least in all training texts; ``up`` is the key of the run without its first word;
+    ``_entry`` makes the run's own key.
+    """
+
+    def count(batches):
+        held, size = [], 0
+
+        def rows():
+            columns = _summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])
+            for i in range(0, len(columns[0]), 50_000):
+                arrays = [signed(np.ascontiguousarray(x[i : i + 50_000])) for x in columns[1:]]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["context", "up", "n"])
+
+        for batch in cut_rows(batches):
+            contexts, entry, context, up = _candidates(batch, *found.value)
+            contexts = contexts[again.value.has(contexts)]
+            good = again.value.has(entry)
+            columns = [np.concatenate(x) for x in ((contexts, entry[good]), (contexts, context[good]), (np.zeros(len(contexts), np.uint64), up[good]))]
+            held.append(_summed_rows([*columns, np.ones(len(columns[0]), np.int64)]))
+            size += len(held[-1][0])
+            if size > FLUSH_RUNS:
+                held = [_summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])]
+                size = len(held[0][0])
+                if size > FLUSH_RUNS // 2:
+                    yield from rows()
+                    held, size = [], 0
+        if held:
+            yield from rows()
+
+    each = docs.mapInArrow(count, "context long, up long, n long").groupBy("context", "up")
+    return each.agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+
+
+def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, buckets: int) -> tuple[list[DataFrame], list[Filter]]:
+    """The tree: for each depth rows (key, value, n) of its states and entries, and the filter of its states.
+
+    ``value`` is what a token's logarithm gains after the state, or by the entry.
+    """
+    sc = docs.sparkSession.sparkContext
+    below = counts.select(F.col("word").alias("up"), ((F.col("n") + F.lit(ALPHA)) / F.lit(total + ALPHA * (vocabulary + 1))).alias("below"))
+    cost = 0.5 * float(np.log(max(2, total)))
+    tables, filters, met = [], [], None
+    while True:
+        known = sc.broadcast((list(filters), met))
+        found = staged(deeper_runs(docs, known, sc.broadcast(repeated(docs, known, total, buckets))), "runs")
+        gc.collect()
+        sc._jvm.System.gc()  # shuffle files of what is written go
+        runs = found.where("up <> 0").join(below, "up")
+        n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
+        sums = runs.groupBy("context").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("gain"), F.sum("n").alias("n"), F.sum("below").alias("below"))
+        sums = sums.join(found.where("up = 0").select("context", F.col("n").alias("total")), "context")
+        gain = F.col("gain") - n * F.log(total_n) + F.when((left > 0) & (left_below > 0), left * F.log(left / total_n / left_below)).otherwise(0.0)
+        rest = 1 - (n - F.lit(DISCOUNT) * F.col("size")) / total_n
+        states = staged(sums.where(gain > F.col("size") * F.lit(cost)).select("context", "total", rest.alias("rest")), "states")
+        size = states.count()
+        if not size:
+            return tables, filters
+        passed = F.col("rest") * F.col("below")
+        p = (F.col("n") - F.lit(DISCOUNT)) / F.col("total") + passed
+        entries = staged(found.where("up <> 0").join(states, "context").join(below, "up").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value")), "entries")
+        tables.append(states.select(F.col("context").alias("key"), F.log10("rest").alias("value"), F.col("total").alias("n")).unionByName(entries.select("key", "value", "n")))
+        filters.append(_filter(states.select(F.col("context").alias("key")), size))
+        met = _filter(entries.select("key"), entries.count())
+        below = entries.select(F.col("key").alias("up"), F.col("p").alias("below"))
+
+
 # --- scoring -----------------------------------------------------------------
 
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
 
 
-def _scored(docs: DataFrame, tree) -> DataFrame:
-    """Rows with the part of the scores that frequent words make, and the other words with their times."""
+class Model:
+    """The frequent part of words and tree, and filters of the states and of what is not here."""
+
+    def __init__(self, frequent: Frequent, norm: float, keys: np.ndarray, values: np.ndarray, filters: list[Filter], others: Filter):
+        order = np.argsort(keys)
+        self.frequent, self.keys, self.values, self.filters, self.others = frequent, keys[order], values[order], filters, others
+        self.logs, self.unseen = np.log10((frequent.counts + ALPHA) / norm), np.log10(ALPHA / norm)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of keys, 0 for others, and which keys the joined part may have."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), self.others.has(keys)
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        here = self.keys[at] == keys
+        return np.where(here, self.values[at], 0.0), ~here & self.others.has(keys)
+
+
+def _scored(docs: DataFrame, model) -> DataFrame:
+    """Rows with the part of the scores that the broadcast makes, and the keys that are to be joined with their times."""
 
     def run(batches):
-        model = tree.value
-        known, serial = model.frequent, TaskContext.get().partitionId() << 33
+        known, serial = model.value, TaskContext.get().partitionId() << 33
         for batch in cut_rows(batches):
             tokens, at = _tokens(batch)
-            numbers = known.numbers(tokens)
+            numbers = known.frequent.numbers(tokens)
             seen = numbers >= 0
-            root = np.where(seen, model.base[np.where(seen, numbers, 0)], 1.0) if len(known.words) else np.ones(len(tokens))
-            # a rare word's own probability is a factor that the join adds: here it counts as 1
-            p = root.copy()
-            one_key, two, two_key, three = _runs(numbers, at, known.context if len(known.words) else np.zeros(1, bool))
-            p[two] = model.probability(1, one_key, numbers[two], root[two])
-            p[three] = model.probability(2, two_key, numbers[three], root[three])
-            docs_in = batch.column("doc_id").to_pylist()
-            rare, times = [], []
-            for i in range(batch.num_rows):
-                own = tokens[at[i] : at[i + 1]][~seen[at[i] : at[i + 1]]]
-                words, n = np.unique(own, return_counts=True)
-                rare.append(signed(words))
-                times.append(n.astype(np.int32))
-            n_rows = batch.num_rows
+            # other words count as unseen; the join adds what their counts change
+            root = np.where(seen, known.logs[np.where(seen, numbers, 0)], known.unseen) if len(known.logs) else np.full(len(tokens), known.unseen)
+            p, row = root.copy(), np.repeat(np.arange(batch.num_rows), np.diff(at))
+            keys, rows = [tokens[~seen]], [row[~seen]]
+            for _, (where, context, entry, _) in zip(known.filters, _deeper(tokens, at, known.filters), strict=False):
+                for key in (context, entry):
+                    value, open_ = known.find(key)
+                    p[where] += value
+                    keys.append(key[open_])
+                    rows.append(row[where[open_]])
+            key, of = np.concatenate(keys), np.concatenate(rows)
+            order = np.lexsort((key, of))
+            key, of = key[order], of[order]
+            first = np.flatnonzero(first_of_each(key) | first_of_each(of))
+            offsets = pa.array(np.searchsorted(of[first], np.arange(batch.num_rows + 1)), pa.int32())
+            docs_in, n_rows = batch.column("doc_id").to_pylist(), batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(serial + np.arange(n_rows)),
@@ -321,10 +503,10 @@ def _scored(docs: DataFrame, tree) -> DataFrame:
                     pa.array([held_out(d) for d in docs_in], pa.bool_()),
                     pa.array(np.diff(at)),
                     pa.array(np.add.reduceat(seen, at[:-1], dtype=np.int64) if n_rows else np.zeros(0, np.int64)),
-                    pa.array(_row_sums(np.log10(root), at)),
-                    pa.array(_row_sums(np.log10(p), at)),
-                    pa.array(rare, pa.list_(pa.int64())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(_row_sums(root, at)),
+                    pa.array(_row_sums(p, at)),
+                    pa.ListArray.from_arrays(offsets, pa.array(signed(key[first]), pa.int64())),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(key)), pa.int32())),
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
             )
@@ -346,26 +528,31 @@ def score_texts(docs: DataFrame) -> DataFrame:
     counts = staged(word_counts(docs, buckets), "word-counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, vocabulary = int(totals["n"]), int(totals["v"])
-    least = F.lit(MIN_ENTRY * total)
-    top = counts.where(F.col("n") >= least).toArrow()  # 1 / MIN_ENTRY rows at most
-    frequent = Frequent(top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(np.int64), total)
-    sc = spark.sparkContext
-    runs = run_counts(docs, sc.broadcast(frequent), buckets)
-    tree = build_tree(runs, frequent, vocabulary)
-    rows = staged(_scored(docs, sc.broadcast(tree)), "scored")
-
     norm = total + ALPHA * (vocabulary + 1)
-    asked = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("m"))
-    others = counts.where(F.col("n") < least)
-    met = asked.join(others, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    extra = met.groupBy("row").agg(F.sum(F.col("m") * F.log10((F.col("n") + F.lit(ALPHA)) / F.lit(norm))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("also"))
-    more = F.coalesce("more", F.lit(0.0))
+    tables, filters = grow(docs, counts, total, vocabulary, buckets)
+
+    least = F.lit(SHARED * total)
+    top = counts.where(F.col("n") >= least).toArrow()  # 1 / SHARED rows at most
+    frequent = Frequent(top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy().astype(np.int64), total)
+    shared = [t.where(F.col("n") >= least).select("key", "value").toArrow() for t in tables]  # 1 / SHARED states and as many entries of a depth at most
+    keys = np.concatenate([np.zeros(0, np.uint64), *[t.column("key").to_numpy().view(np.uint64) for t in shared]])
+    values = np.concatenate([np.zeros(0), *[t.column("value").to_numpy() for t in shared]])
+    others = counts.where(F.col("n") < least).select(F.col("word").alias("key"), F.log10((F.col("n") + F.lit(ALPHA)) / F.lit(ALPHA)).alias("value"), F.lit(1).alias("word"))
+    rest = counts.select(F.col("word").alias("key"), F.lit(0.0).alias("value")).limit(0)
+    for t in tables:
+        rest = rest.unionByName(t.where(F.col("n") < least).select("key", "value"))
+    model = Model(frequent, norm, keys, values, filters, _filter(rest.select("key"), rest.count()))
+    rows = staged(_scored(docs, spark.sparkContext.broadcast(model)), "scored")
+
+    asked = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("m"))
+    met = asked.join(others.unionByName(rest.withColumn("word", F.lit(0))), "key")
+    extra = met.groupBy("row").agg(F.sum(F.col("m") * F.col("value")).alias("more"), F.sum(F.col("m") * F.col("value") * F.col("word")).alias("base_more"), F.sum(F.col("m") * F.col("word")).alias("also"))
     return rows.drop("rare", "times").join(extra, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        (F.col("base") + F.coalesce("base_more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )

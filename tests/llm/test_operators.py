@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -287,6 +288,65 @@ def test_tree_distributions_sum_to_one(spark):
             assert math.isclose(p.sum() + unseen, 1, rel_tol=1e-9) and 0 < rest <= 1
 
 
+def plain_tree_scores(rows) -> dict:
+    """Scores by a suffix tree of any depth, kept in dictionaries."""
+    from clickpulse.llm import suffix_tree_lm as lm
+
+    texts = {d: [*t.split(), None] for d, t in rows}
+    training = [t for d, t in texts.items() if not lm.held_out(d)]
+    ones = Counter(w for t in training for w in t)
+    total = sum(ones.values())
+    base = lambda w: (ones[w] + lm.ALPHA) / (total + lm.ALPHA * (len(ones) + 1))
+    states = {}
+
+    def p(word, context):
+        if not context:
+            return base(word)
+        shorter = p(word, context[1:])
+        rest, own = states[context] if context in states else (1.0, {})
+        return own.get(word, 0.0) + rest * shorter
+
+    depth, grown = 0, True
+    while grown:
+        depth, grown, after = depth + 1, False, {}
+        for t in training:
+            for i in range(depth, len(t)):
+                context = tuple(t[i - depth : i])
+                if depth == 1 or context[1:] in states:
+                    after.setdefault(context, Counter())[t[i]] += 1
+        for context, words in after.items():
+            n, some = sum(words.values()), {w: c for w, c in words.items() if c >= lm.LEAST_COUNT}
+            below = {w: p(w, context[1:]) for w in some}
+            gain = sum(c * math.log(c / n / below[w]) for w, c in some.items())
+            left, left_below = n - sum(some.values()), 1 - sum(below.values())
+            gain += left * math.log(left / n / left_below) if left > 0 and left_below > 0 else 0
+            if some and gain > len(some) * 0.5 * math.log(total):
+                own = {w: (c - lm.DISCOUNT) / n for w, c in some.items()}
+                states[context], grown = (1 - sum(own.values()), own), True
+    longest = lambda t, i: next((tuple(t[i - k : i]) for k in range(min(i, depth), 0, -1) if tuple(t[i - k : i]) in states), ())
+    return {d: sum(math.log10(p(w, longest(t, i))) for i, w in enumerate(t)) for d, t in texts.items()} | {"depth": max(map(len, states), default=0), "states": states}
+
+
+@pytest.mark.parametrize("share", [1e-6, 2.0])
+def test_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
+    from clickpulse.llm import suffix_tree_lm as lm
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(400))) for i in range(150)]
+    weights: dict = {}
+    for i in range(60):  # each word depends on the three before it
+        words = ["a", "b", "c"]
+        while len(words) < 120:
+            words += rng.choices("abc", weights.setdefault(tuple(words[-3:]), [rng.random() ** 4 for _ in "abc"]))
+        rows.append((1000 + i, " ".join(words)))
+    rows += [(2000 + i, "rare pair") for i in range(3)]  # a share below 5e-5
+    want = plain_tree_scores(rows)
+    assert want["depth"] >= 3 and ("rare",) in want["states"]
+    monkeypatch.setattr(lm, "SHARED", share)  # 2: all by joins
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(math.isclose(got[d], want[d], rel_tol=1e-9) for d, _ in rows)
+
+
 # --- neighbours ------------------------------------------------------------------
 
 
