@@ -10,9 +10,12 @@ keeps the error of the whole walk at the level of one test). That level is
 least, no stratum's rules together reject more than ``max_false_rejection`` of
 its good documents. A stratum with too few labels to show anything keeps all.
 
-Strata are the listed languages and ``other``, so the table of cutoffs has a
-fixed size. Null text counts as empty: no words, rejected by the base rule.
-Null languages belong to ``other``. A document labelled more than once is good
+Strata are languages (primary subtag, lower-cased), and ``other`` for documents
+without a readable one. They are rows of the table of cutoffs: those that have
+a good document, and in any case the listed ones and ``other``; their counted
+number is that of the correction. A language without any label has no cutoffs
+and keeps all. Null text counts as empty: no words, rejected by the base rule.
+A document labelled more than once is good
 if any of its labels says so; null labels say nothing. Repeated rows are judged
 alike. Without labels only the base rule rejects.
 """
@@ -25,10 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import staged
+from clickpulse.plans.tuning import broadcast_if_small
 
 SPACE = r"[\x20\x09-\x0D]+"
 TRIM = " \t\n\x0b\f\r"
-STRATA = ("de", "en", "es", "fr")
+STRATA = ("de", "en", "es", "fr")  # always among the strata, labelled or not
 MAX_FALSE_REJECTION = 0.02
 ERROR = 0.05
 LEVELS = 20
@@ -141,7 +145,8 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 
 def stratum(lang: Column) -> Column:
-    return F.when(lang.isin(*STRATA), lang).otherwise(F.lit("other"))
+    primary = F.lower(F.regexp_extract(F.trim(lang), "^([A-Za-z]{2,8})(?:[-_]|$)", 1))
+    return F.when(primary != "", primary).otherwise(F.lit("other"))
 
 
 def cutoffs(held_out: DataFrame, max_false_rejection: float = MAX_FALSE_REJECTION, error: float = ERROR) -> DataFrame:
@@ -150,14 +155,15 @@ def cutoffs(held_out: DataFrame, max_false_rejection: float = MAX_FALSE_REJECTIO
     ``held_out``: stratum, levels (array<int>, one for each rule), of good documents.
     """
     spark = held_out.sparkSession
-    rules, strata = len(RULES), len(STRATA) + 1
-    share, level = max_false_rejection / rules, error / (rules * strata)
+    rules = len(RULES)
+    share = max_false_rejection / rules
     found = held_out.select("stratum", F.posexplode("levels").alias("rule", "level")).groupBy("stratum", "rule", "level").agg(F.count(F.lit(1)).alias("n"))
-    each = spark.range(strata * rules * (LEVELS + 1), numPartitions=1).select(
-        F.element_at(F.array(*map(F.lit, [*STRATA, "other"])), (F.col("id") % strata + 1).cast("int")).alias("stratum"),
-        (F.floor(F.col("id") / strata) % rules).cast("int").alias("rule"),
-        F.floor(F.col("id") / (strata * rules)).cast("int").alias("level"),
-    )
+    found = staged(found, "levels")  # a row for each stratum, rule and level at most
+    listed = spark.range(1).select(F.explode(F.array(*map(F.lit, [*STRATA, "other"]))).alias("stratum"))
+    strata = found.select("stratum").union(listed).distinct()
+    level = error / (rules * strata.count())
+    steps = spark.range(rules * (LEVELS + 1)).select((F.col("id") % rules).cast("int").alias("rule"), F.floor(F.col("id") / rules).cast("int").alias("level"))
+    each = strata.crossJoin(F.broadcast(steps))  # a fixed number of steps
     counts = each.join(found, ["stratum", "rule", "level"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     walk = Window.partitionBy("stratum", "rule").orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
     all_rows = Window.partitionBy("stratum", "rule")
@@ -180,7 +186,7 @@ def judge(docs: DataFrame, labels: DataFrame, max_false_rejection: float = MAX_F
     rows = staged(measured, "quality").withColumn("levels", F.array(*rule_levels(F.col("quality")))).withColumn("base_failed", base_failed(F.col("quality")))
     good = labels.groupBy("doc_id").agg(F.max("quality").alias("good")).where(F.col("good") == 1).select("doc_id")
     held_out = rows.where(~F.col("base_failed")).select("doc_id", "stratum", "levels").join(good, "doc_id", "left_semi")
-    cut = F.broadcast(cutoffs(held_out, max_false_rejection, error))  # one row a stratum, len(STRATA) + 1 at most
+    cut = broadcast_if_small(staged(cutoffs(held_out, max_false_rejection, error), "cutoffs"))  # one row a stratum
     above = F.forall(F.arrays_zip(F.col("levels"), F.col("cut")), lambda x: x["levels"] > x["cut"])
     return rows.join(cut, "stratum", "left").select("row.*", "quality", "base_failed", (~F.col("base_failed") & F.coalesce(above, F.lit(True))).alias("kept"))
 

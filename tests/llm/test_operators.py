@@ -408,6 +408,22 @@ def test_cutoffs_hold_their_promise(spark):
     assert set(cut) == {*quality.STRATA, "other"}
 
 
+def test_each_language_is_a_stratum(spark):
+    from pyspark.sql import functions as F
+
+    from clickpulse.llm import quality
+
+    # the second rule's strict end rejects 3% of good Italian documents, and none of the many Portuguese ones
+    good = F.array_repeat(F.lit(quality.LEVELS), len(quality.RULES))
+    bad = F.array(*[F.lit(quality.LEVELS - (i == 1)) for i in range(len(quality.RULES))])
+    rows = spark.range(30000).select(F.when(F.col("id") % 2 == 0, "pt-BR").otherwise(" PT").alias("lang"), good.alias("levels"))
+    rows = rows.union(spark.range(2000).select(F.lit("it"), F.when(F.col("id") < 60, bad).otherwise(good)))
+    rows = rows.union(spark.range(3000).select(F.lit("EN-us"), good)).union(spark.range(3).select(F.lit(None).cast("string"), good))
+    cut = {r["stratum"]: r["cut"] for r in quality.cutoffs(rows.select(quality.stratum(F.col("lang")).alias("stratum"), "levels")).collect()}
+    assert set(cut) == {*quality.STRATA, "other", "pt", "it"}
+    assert cut["pt"] == cut["en"] == [19] * 5 and cut["it"] == [19, 18, 19, 19, 19] and cut["other"] == [-1] * 5
+
+
 def test_quality_plan_has_no_python(spark):
     from clickpulse.llm.queries import QUERIES
 
