@@ -1,6 +1,11 @@
 """Removal of passages that repeat, by sliding spans of sentences.
 
-Method: a text is cut into sentences; every shortest run of consecutive
+Method: a text is cut into sentences, and those of more than ``MOST_WORDS``
+words further: before the word whose hash with the word before it is the least
+of ``WINDOW`` neighbours (the last of equal ones). So cuts follow the words near
+them, wherever the sentence begins and ends, a piece has ``MOST_WORDS`` words at
+most, and any 50 words that two texts share hold a whole span. Pieces count as
+sentences in what follows. Every shortest run of consecutive
 sentences of at least ``MIN_WORDS`` words, read forward from each sentence and
 backward from each, is a span and gets a hash. All spans are joined by hash
 over all documents. The first occurrence of a span (least doc_id, then least
@@ -33,13 +38,31 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from clickpulse.llm.common import cut_rows, ship, staged, texts
 
 MIN_WORDS = 20
+MOST_WORDS = 15
+WINDOW = 10
 _CUT = re.compile(r"(?<=[.!?])(?=[\x20\x09-\x0D])|(?<=\n)")
 _AFTER = re.compile(r"[\x20\x09-\x0D]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _pieces(sentence: str) -> list[str]:
+    """A sentence of more than ``MOST_WORDS`` words cut at places that depend on the words near them."""
+    if len(sentence) <= 2 * MOST_WORDS:
+        return [sentence]
+    found = list(_WORD.finditer(sentence))
+    if len(found) <= MOST_WORDS:
+        return [sentence]
+    words = [m.group().translate(_LOWER) for m in found]
+    marks = np.array([xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:], strict=False)], "<u8")
+    near = np.lib.stride_tricks.sliding_window_view(marks, WINDOW)[:, ::-1]
+    cuts = np.unique(np.arange(len(near)) + WINDOW - near.argmin(axis=1))  # numbers of the words that begin a piece
+    ends = [0, *(found[c].start() for c in cuts.tolist()), len(sentence)]
+    return [sentence[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def sentences(text: str) -> list[str]:
-    """The text cut into sentences that join to it again."""
+    """The text cut into sentences, long ones into pieces, that join to it again."""
     out: list[str] = []
     for part in _CUT.split(text):
         lead = _AFTER.match(part)
@@ -51,7 +74,7 @@ def sentences(text: str) -> list[str]:
                 out[-1] += part
             else:
                 out.append(part)
-    return out
+    return [piece for s in out for piece in _pieces(s)]
 
 
 def spans(text: str, min_words: int = MIN_WORDS) -> tuple[list[int], list[int], list[int]]:

@@ -265,6 +265,34 @@ def test_repeated_passage_goes_and_the_rest_stays(spark):
         assert got[i]["text"] == f"{own[i][0]}\n{own[i][1]}" and got[i]["lost"] == "x"
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_fifty_shared_words_hold_a_span(seed):
+    from clickpulse.llm.substring_dedup import MIN_WORDS, MOST_WORDS, sentences, spans
+
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(500)}" + "." * (rng.random() < (0, 0.03, 0.1)[seed % 3])
+    some = lambda n: [word() for _ in range(n)]
+    passage = some(50)
+    one, two = (" ".join(some(rng.randrange(60)) + passage + some(rng.randrange(60))) for _ in range(2))
+    assert max(len(p.split()) for p in sentences(one)) <= MOST_WORDS
+    assert set(spans(one, MIN_WORDS)[0]) & set(spans(two, MIN_WORDS)[0])
+
+
+def test_passage_within_long_sentences_goes(spark):
+    from clickpulse.llm.substring_dedup import drop_repeats
+
+    rng = random.Random(2)
+    some = lambda n: [f"w{rng.randrange(9999)}" for _ in range(n)]
+    passage = some(60)
+    own = [(some(31 + 7 * i), some(40)) for i in range(4)]
+    rows = [(i, " ".join(a + passage + b)) for i, (a, b) in enumerate(own)]
+    got = {r["doc_id"]: r["text"].split() for r in drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1].split()
+    for i, (a, b) in enumerate(own[1:], 1):
+        kept = got[i][len(a) : -len(b)]
+        assert got[i][: len(a)] == a and got[i][-len(b) :] == b and len(kept) <= 20 and set(kept) <= set(passage)
+
+
 # --- suffix tree -----------------------------------------------------------------
 
 
