@@ -15,8 +15,11 @@ first, then, with the language that the text alone suggests, declarations,
 suffixes and hosts. ``und`` is a language too, under which all trigrams are
 equally likely; it wins where no language explains the text.
 
-Languages are the declared ones (primary subtag, lower-cased) that
-``MIN_SHARE`` of all rows declare, so there are ``1 / MIN_SHARE`` at most.
+Languages are the declared ones (primary subtag, lower-cased) whose rows have
+``MIN_BYTES`` of text together, however few of all rows they are: as much as the
+smoothing of their table weighs. In small inputs, those that ``MIN_SHARE`` of
+all rows declare are languages too. Each has a table of ``BUCKETS`` numbers in
+every task, so their number should stay in the hundreds.
 
 A row is kept if its text has letters, its language is not ``und`` and the
 posterior is ``MIN_POSTERIOR`` at least. Null text counts as empty: the other
@@ -39,6 +42,7 @@ BUCKETS = 1 << 14
 MIN_SHARE = 0.005
 TEXT_WEIGHT = 300.0
 SMOOTH = 0.5
+MIN_BYTES = int(SMOOTH * BUCKETS)
 HOST_WEIGHT = 20.0
 MIN_POSTERIOR = 0.5
 UND = "und"
@@ -67,9 +71,9 @@ def _trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _languages(rows: DataFrame) -> list[str]:
-    each = rows.where("declared is not null and declared != 'und'").groupBy("declared").count()
+    each = rows.where("declared is not null and declared != 'und'").groupBy("declared").agg(F.count(F.lit(1)).alias("count"), F.sum(F.octet_length("text")).alias("bytes"))
     total = rows.count()
-    found = each.where(F.col("count") >= F.lit(MIN_SHARE) * F.lit(total)).select("declared").collect()  # 1 / MIN_SHARE at most
+    found = each.where((F.col("bytes") >= MIN_BYTES) | (F.col("count") >= F.lit(MIN_SHARE) * F.lit(total))).select("declared").collect()  # a row for each language
     return sorted(r["declared"] for r in found)
 
 

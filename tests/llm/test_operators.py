@@ -476,6 +476,18 @@ def test_other_evidence_decides_where_text_says_little(spark):
     assert not got[500]["kept"] and not got[504]["kept"] and got[504]["language"] == "und"
 
 
+def test_language_of_few_rows_is_one(spark):
+    from clickpulse.llm.language_id import identify
+
+    english, german = "the house of the brother and the water of that with this ", "der hund und die katze mit dem haus nicht ein zu auch "
+    greek = "το σπίτι του αδελφού και το νερό της θάλασσας δεν είναι εδώ με αυτό που από εκεί "
+    rows = [(i, (english, german)[i % 2], ("en", "de")[i % 2], f"h{i % 2}", None) for i in range(3000)]
+    rows += [(5000 + i, greek * 8, "el", "h2", None) for i in range(12)]  # a share of 0.4%
+    got = {r["doc_id"]: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string, declared string, host string, suffix string"), ["doc_id"]).collect()}
+    assert all(got[5000 + i]["language"] == "el" and got[5000 + i]["kept"] for i in range(12))
+    assert all(got[i]["language"] == ("en", "de")[i % 2] for i in range(3000))
+
+
 def test_page_evidence(spark):
     from clickpulse.llm.language_id import page_rows
 
