@@ -96,6 +96,24 @@ def op10_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.quality_fm import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.token_alignment import align_documents
+
+    return align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_va_file_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.va_clustering import cluster
+
+    return cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed="3:")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "page_language_id": page_language_id,
@@ -108,4 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_rans_token_files": op8_rans_token_files,
     "op9_prefix_token_counts": op9_prefix_token_counts,
     "op10_sentencepiece_codec": op10_sentencepiece_codec,
+    "op11_factorisation_quality": op11_factorisation_quality,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_va_file_clustering": op13_va_file_clustering,
 }

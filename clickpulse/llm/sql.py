@@ -1,8 +1,9 @@
 """DuckDB SQL equal to the registered queries that SQL can express.
 
-Not among them: queries on tokenizers' ids (2, 8, 9, 10), the suffix tree's
-scores (5), approximate neighbours (6), language identification (1) and
-sentence spans by hash (4); tests hold these against plain versions.
+Not among them: queries on tokenizers' ids (2, 8, 9, 10, 12), the suffix tree's
+scores (5), approximate neighbours (6), language identification (1), sentence
+spans by hash (4) and the fitted classifier (11); tests hold these against
+plain versions.
 """
 
 from __future__ import annotations
@@ -109,7 +110,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdicts USING (stratum)"""
 
 
+
+def k_means(k: int, rounds: int, dims: int, scale: int, seed: str) -> str:
+    """Plain k-means on integers, a pair of tables a round."""
+    steps = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}
+)""", f"""parts AS MATERIALIZED (SELECT r, unnest(v) AS x, unnest(range({dims})) AS d FROM kept)""", f"""c0 AS MATERIALIZED (
+  SELECT n AS c, unnest(v) AS y, unnest(range({dims})) AS d
+  FROM (SELECT v, row_number() OVER (ORDER BY sha256('{seed}' || vec_id) NULLS LAST, v) - 1 AS n FROM kept) WHERE n < {k}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, c, s FROM (
+    SELECT r, c, s, row_number() OVER (PARTITION BY r ORDER BY s, c) AS n
+    FROM (SELECT r, c, CAST(SUM((x - y) * (x - y)) AS BIGINT) AS s FROM parts JOIN c{i} USING (d) GROUP BY r, c)
+  ) WHERE n = 1
+)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, d, COALESCE((t - ((t % n) + n) % n) // n, y) AS y
+  FROM c{i} LEFT JOIN (SELECT c, d, CAST(SUM(x) AS BIGINT) AS t, COUNT(*) AS n FROM parts JOIN a{i} USING (r) GROUP BY c, d) USING (c, d)
+)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, a.s AS distance,
+       CAST(SUM(a.s) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(SUM(a.s) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN kept k USING (r)
+JOIN (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c) h ON a.c = h.c"""
+
+
 SQL: dict[str, str] = {
     "op3_ngram_jaccard_join": jaccard_components(3, 90, 100),
     "op7_risk_controlled_quality": quality(),
+    "op13_va_file_clustering": k_means(k=8, rounds=10, dims=64, scale=1024, seed="3:"),
 }

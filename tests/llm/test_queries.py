@@ -12,7 +12,7 @@ from tests.llm import brute
 from tests.llm.conftest import read
 
 SF = "/root/testdata/sf0.001"
-KEYED = ("op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10")
+KEYED = ("op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op12", "op13")
 
 
 def query(name):
