@@ -78,3 +78,13 @@ class ByteTokenizer:
         for t, i in self.vocabulary.items():
             out[i] = t.encode() if i in self.added else bytes(alphabet[c] for c in t)
         return out
+
+
+_LOADED: dict[str, ByteTokenizer] = {}
+
+
+def byte_tokenizer(path: str) -> ByteTokenizer:
+    """The tokenizer as the library reads it (special strings in texts are special), loaded once in each Python worker."""
+    if path not in _LOADED:
+        _LOADED[path] = ByteTokenizer(path, plain_special=False)
+    return _LOADED[path]

@@ -6,12 +6,13 @@ window with the least room that still holds it, found with a segment tree
 indexed by remaining room.
 
 Placing needs only lengths. Full windows need none. The rests are dealt out by
-a hash of their document into shards of bounded size, so that no task or group
-holds them all; within a shard the order is longest first, then by id and
-start. Shards of many thousand rests leave next to no padding.
+a hash of their row's number into shards of bounded size, so that no task or
+group holds them all, whatever ids repeat; within a shard the order is longest
+first, then by id and start. Shards of many thousand rests leave next to no
+padding.
 
 A document without ids gives no piece. Repeated rows are packed as often as
-they stand, each under its own key (``row``), which need only tell rows apart.
+they stand; null and repeated ids are ids like others.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.byte_ids import chunked
+from clickpulse.llm.byte_bpe import byte_tokenizer
 from clickpulse.llm.common import cut_rows, ship, staged, texts
 
 SHARD_PIECES = 50_000  # mean number of rests in a shard
@@ -100,12 +101,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: in
     ship(docs.sparkSession)
 
     def run(batches):
-        tokenizer = chunked(tokenizer_path)
+        tokenizer = byte_tokenizer(tokenizer_path)
         end, step = int(end_id).to_bytes(4, "little"), 4 * capacity
         for batch in cut_rows(batches):
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.ids(texts(batch, "text")), strict=True):
-                ids += end
+            for doc, own in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(texts(batch, "text")), strict=True):
+                ids = np.array(own, "<u4").tobytes() + end
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
                     for column, value in zip(out, (doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4), strict=True):
@@ -138,7 +139,7 @@ def pack(pieces: DataFrame, capacity: int, key: str = "doc_id", shard_pieces: in
         return group.select(names).append_column("sequence_id", pa.array(2 * (first + window) + 1)).append_column("offset", pa.array(offset))
 
     schema = rests.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    placed = rests.withColumn(shard, F.pmod(F.xxhash64(key, "start"), F.lit(shards))).groupBy(shard).applyInArrow(place, schema)
+    placed = rests.withColumn(shard, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))).groupBy(shard).applyInArrow(place, schema)
     alone = full.select("*", (2 * F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return alone.unionByName(placed)
 
