@@ -10,7 +10,6 @@ import zipfile
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
 
@@ -61,7 +60,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames, once all that reads them has been written."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -105,13 +114,8 @@ def _powers(n: int) -> np.ndarray:
 _MULT = _powers(64)
 
 
-def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words ``[^\\x20\\x09-\\x0D]+`` of a string column.
-
-    Returns (hash of each word in order, offsets of each row's words). Null
-    counts as empty. Works on the column's bytes as a whole, without a Python
-    object for each word. Two words get one hash with a chance near 2**-56.
-    """
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of a string column's texts one after the other, offsets of each text). Null counts as empty."""
     if not pa.types.is_large_string(column.type):
         column = column.cast(pa.large_string())
     if column.null_count:
@@ -119,9 +123,13 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
     rows = len(column)
     at = np.frombuffer(column.buffers()[1], dtype=np.int64, count=rows + 1 + column.offset)[column.offset :]
     if not rows or at[-1] == at[0]:
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
-    data = np.frombuffer(column.buffers()[2], dtype=np.uint8)[at[0] : at[-1]]
-    at = at - at[0]
+        return np.zeros(0, np.uint8), np.zeros(rows + 1, np.int64)
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def word_places(data: np.ndarray, at: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, offsets of each row's words, where each word begins, where it ends) of texts' bytes."""
+    none = np.zeros(0, np.int64)
     inside = ~_SPACE[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
@@ -129,7 +137,7 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
     starts[cuts] = inside[cuts]  # a row begins a word of its own
     begin = np.flatnonzero(starts)
     if not len(begin):
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64), none, none
     where = np.flatnonzero(inside)
     word = np.cumsum(starts)[where] - 1
     place = where - begin[word]
@@ -138,7 +146,18 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
     codes = _LOWER[data[where]] if lower else data[where]
     part = (codes.astype(np.uint64) + np.uint64(1)) * mult[place]
     first = np.searchsorted(where, begin)
-    return mix64(np.add.reduceat(part, first)), np.searchsorted(begin, at)
+    sizes = np.diff(first, append=len(where))
+    return mix64(np.add.reduceat(part, first)), np.searchsorted(begin, at), begin, begin + sizes
+
+
+def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words ``[^\\x20\\x09-\\x0D]+`` of a string column.
+
+    Returns (hash of each word in order, offsets of each row's words). Null
+    counts as empty. Works on the column's bytes as a whole, without a Python
+    object for each word. Two words get one hash with a chance near 2**-56.
+    """
+    return word_places(*text_bytes(column), lower)[:2]
 
 
 def window_hashes(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +193,16 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def null_safe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the named columns, whatever else the frame carries."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def spread(values: list[bytes], kind: str, index: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays of numbers of dictionary-coded items, put one after the other as ``index`` says.
+
+    ``values``: each distinct item's numbers, packed as ``kind``; ``at``: where
+    each row's items begin in ``index``. Returns the numbers and the rows' offsets.
+    """
+    size = np.dtype(kind).itemsize
+    lengths = np.array([len(v) // size for v in values], np.int64)
+    flat = np.frombuffer(b"".join(values), kind)
+    begin = np.cumsum(lengths) - lengths
+    counts = lengths[index]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return flat[np.repeat(begin[index] - ends[:-1], counts) + np.arange(ends[-1])], ends[at]

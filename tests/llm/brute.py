@@ -72,3 +72,76 @@ def unigram_scores(rows):
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- sentence spans, word by word ----------------------------------------------
+
+FULL = (1 << 64) - 1
+
+
+def mixed(x: int) -> int:
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & FULL
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & FULL
+    return x ^ x >> 31
+
+
+def word_hash(word: str) -> int:
+    total = 0
+    for i, b in enumerate(word.translate(LOWER).encode()):
+        total += (b + 1) * (mixed((i + 1) * 0x9E3779B97F4A7C15 & FULL) | 1)
+    return mixed(total & FULL)
+
+
+def pieces(text: str) -> list[tuple[int, int, tuple]]:
+    """(first byte, end, words) of each sentence, long ones cut further."""
+    found = list(WORD.finditer(text))
+    groups: list[list] = []
+    for i, m in enumerate(found):
+        if i and not (found[i - 1].group()[-1] in ".!?" or "\n" in text[found[i - 1].end() : m.start()]):
+            groups[-1].append(m)
+        else:
+            groups.append([m])
+    cut = []
+    for g in groups:
+        if len(g) > 15:
+            names = [word_hash(m.group()) for m in g]
+            marks = [mixed((a * 0x9E3779B97F4A7C15 + b) & FULL) for a, b in zip(names, names[1:], strict=False)]
+            places = sorted({min(range(i, i + 10), key=lambda k: (marks[k], -k)) + 1 for i in range(len(marks) - 9)})
+            cut += [g[a:b] for a, b in zip([0, *places], [*places, len(g)], strict=True)]
+        else:
+            cut.append(g)
+    at = [0, *(len(text[: g[0].start()].encode()) for g in cut[1:]), len(text.encode())]
+    return [(at[i], at[i + 1], tuple(m.group().translate(LOWER) for m in g)) for i, g in enumerate(cut)]
+
+
+def shortest_runs(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    out = set()
+    for i in range(len(sizes)):
+        for way in (range(i + 1, len(sizes) + 1), range(i, -1, -1)):
+            for j in way:
+                a, b = (i, j) if way.step > 0 else (j, i + 1)
+                if sum(sizes[a:b]) >= least:
+                    out.add((a, b))
+                    break
+    return sorted(out)
+
+
+def without_repeats(rows: list[tuple], least: int) -> list[tuple]:
+    """(text, dropped sentences) of each row (doc_id, text); of equal ids the order of unlike texts is left to their first span."""
+    cut = {t: pieces(t) for _, t in rows if t}
+    runs = {t: shortest_runs([len(p[2]) for p in c], least) for t, c in cut.items()}
+    words = {t: {r: tuple(w for p in cut[t][r[0] : r[1]] for w in p[2]) for r in runs[t]} for t in cut}
+    first: dict = {}
+    for doc, t in sorted({(d, t) for d, t in rows if d is not None and t}):
+        for r in runs[t]:
+            first.setdefault(words[t][r], (doc, t, r[0]))
+    out = []
+    for doc, t in rows:
+        gone = set()
+        if doc is not None and t:
+            for r in runs[t]:
+                if first[words[t][r]] != (doc, t, r[0]):
+                    gone.update(range(*r))
+        raw = (t or "").encode()
+        out.append((t if not gone else b"".join(raw[a:b] for i, (a, b, _) in enumerate(cut[t]) if i not in gone).decode(), len(gone)))
+    return out
