@@ -23,23 +23,28 @@ Skew: documents with equal sets form one class. For a few rounds, each large
 list has a pivot of its own and each class is compared with the pivots of its
 lists; whom that joins is one component, and only pairs across components are
 then enumerated, in full. This leaves the components as they are, since a pair
-inside one cannot change them.
+inside one cannot change them. In large lists the signatures come along, so that
+only pairs that may link leave the join, however many meet in a list.
 
 Null text and text without words have the empty set and link with nothing.
-Repeated rows share a class. A null doc_id links nothing and stays its own
-(null) component. Extra columns take no part.
+Repeated rows share a class. Unlike texts of one id are documents of their own,
+of which each row is linked by its own text. A null doc_id links nothing and
+stays its own (null) component. Extra columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import cut_rows, ship, signed, staged, window_hashes, word_hashes
+from clickpulse.llm.common import cut_rows, release, ship, signed, staged, window_hashes, word_hashes
 from clickpulse.llm.components import components
-from clickpulse.plans.tuning import broadcast_if_small
+from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits
 
 BUCKETS = 1 << 22  # counters of the token order: 16 MB
 SLICES = 256
@@ -72,7 +77,8 @@ def _class_of(own: np.ndarray) -> int:
 
 
 def _text_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
 
 
 def _signature(own: np.ndarray) -> list[int]:
@@ -80,11 +86,11 @@ def _signature(own: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-FIRST = "doc_id long, n long, class long, signature array<long>, slice int, counts binary"
+FIRST = "doc_id long, h long, n long, class long, signature array<long>, slice int, counts binary"
 
 
 def _first_pass(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (doc_id, n, class, signature) and of counters (slice, counts)."""
+    """Rows of documents (doc_id, h, n, class, signature) and of counters (slice, counts)."""
     names = [x.split()[0] for x in FIRST.split(", ")]
 
     def run(batches):
@@ -98,11 +104,11 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
                     seen.add(classes[row])
                     np.add.at(counts, own & np.uint64(BUCKETS - 1), 1)
             none = [None] * rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
         if counts.any():
             parts = [p.astype("<i4").tobytes() for p in counts.reshape(SLICES, -1)]
             none = pa.array([None] * SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
 
     return docs.mapInArrow(run, FIRST)
 
@@ -183,6 +189,8 @@ def _listed(postings: DataFrame) -> DataFrame:
 
 def _class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Rows (class, tokens as binary) of the wanted classes (class, doc_id of one member)."""
+    if fits(wanted, DEFAULT_BROADCAST_ROWS):  # then other texts need not be read as words
+        docs = docs.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
 
     def run(batches):
         for batch in cut_rows(batches):
@@ -198,12 +206,17 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return sets.join(broadcast_if_small(wanted), ["class", "doc_id"], "left_semi").select("class", "tokens")
 
 
+def _may_link(num: int, den: int) -> Column:
+    """Whether the signatures ``s`` and ``t`` of sets of ``n`` and ``m`` tokens leave a link possible."""
+    differ = reduce(operator.add, [F.bit_count(F.get("s", F.lit(i)).bitwiseXOR(F.get("t", F.lit(i)))) for i in range(PARITY // 64)])
+    return (den + num) * differ <= (den - num) * (F.col("n") + F.col("m"))
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that link. ``members``: class, n, signature, and the doc_id of one of its documents."""
     of = lambda end, n, sig: members.select(F.col("class").alias(end), F.col("n").alias(n), F.col("signature").alias(sig))
     both = pairs.join(of("a", "n", "s"), "a").join(of("b", "m", "t"), "b")
-    differ = F.aggregate(F.zip_with("s", "t", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda u, v: u + v)
-    near = staged(both.where((den + num) * differ <= (den - num) * (F.col("n") + F.col("m"))).select("a", "b"), "pairs")
+    near = staged(both.where(_may_link(num, den)).select("a", "b"), "pairs")
     # classes of one candidate component meet in blocks of BLOCK: a set travels once for each of its component's blocks
     found = components(near).select(F.col("node").alias("class"), "root")
     sizes = found.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
@@ -240,7 +253,7 @@ def _with_roots(listed: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(document rows (doc_id, n, class), components (class, root) of the classes that link).
+    """(document rows (doc_id, h, n, class), components (class, root) of the classes that link).
 
     Rows without doc_id have no part in links: their class counts only if another row has it.
     """
@@ -248,17 +261,19 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
     ship(spark)
     docs = _text_rows(docs)
     first = staged(_first_pass(docs, words), "sets")
-    rows = first.where("slice is null").select("doc_id", "n", "class")
+    rows = first.where("slice is null").select("doc_id", "h", "n", "class")
     members = first.where("class is not null and doc_id is not null").select("doc_id", "class", "n", "signature")
     least = members.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     members = staged(members.join(least, ["class", "doc_id"]).dropDuplicates(["class"]), "members")
     excess = _excess(_token_counts(first.where("slice is not null").select("slice", "counts")))
-    listed = staged(_listed(_postings(docs, excess, words, num, den)), "postings")
+    prefixes = staged(_postings(docs, excess, words, num, den), "prefixes")
+    listed = staged(_listed(prefixes), "postings")
+    release(prefixes)
     n_listed = listed.count()
     if not n_listed:
         return rows, spark.createDataFrame([], "class long, root long")
 
-    fits = den * F.least("n", "m") >= num * F.greatest("n", "m")
+    alike = den * F.least("n", "m") >= num * F.greatest("n", "m")
     links: DataFrame | None = None
     before: float | None = None
     for turn in range(STAR_ROUNDS + 1):
@@ -274,16 +289,23 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
         large = now.join(sizes.where(F.col("c") >= LARGE_LIST).select("token"), "token", "left_semi")
         rank = F.struct(F.xxhash64("class", "token", F.lit(turn)).alias("h"), F.col("class").alias("p"), F.col("n").alias("m"), F.col("root").alias("p_root"))
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
-        star = large.join(pivots, "token").where(fits & (F.col("root") != F.col("p_root")))
+        star = large.join(pivots, "token").where(alike & (F.col("root") != F.col("p_root")))
         pairs = star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
         joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
         links = joined if links is None else staged(links.unionByName(joined), "links")
     # every pair across components that shares enough tokens
-    open_lists = now.join(sizes.select("token"), "token", "left_semi").select("token", "class", "n", "level", "matches", "root")
-    other = open_lists.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("level").alias("level_b"), F.col("matches").alias("matches_b"), F.col("root").alias("root_b"))
-    met = open_lists.join(other, "token").where((F.col("class") < F.col("b")) & (F.col("root") != F.col("root_b")) & fits)
+    open_lists = now.select("token", "class", "n", "level", "matches", "root")
+    other = lambda df, *more: df.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("level").alias("level_b"), F.col("matches").alias("matches_b"), F.col("root").alias("root_b"), *more)
     need = F.greatest("matches", "matches_b")
-    counted = met.where(F.greatest("level", "level_b") <= need).groupBy(F.col("class").alias("a"), "b").agg(F.count(F.lit(1)).alias("hits"), F.first(need).alias("need"))
+    across = (F.col("class") < F.col("b")) & (F.col("root") != F.col("root_b")) & alike & (F.greatest("level", "level_b") <= need)
+    hit = [F.col("class").alias("a"), "b", need.alias("need")]
+    short = open_lists.join(sizes.where(F.col("c") < LARGE_LIST).select("token"), "token", "left_semi")
+    met = short.join(other(short), "token").where(across).select(*hit)
+    if not sizes.where(F.col("c") >= LARGE_LIST).isEmpty():
+        signed_rows = open_lists.join(sizes.where(F.col("c") >= LARGE_LIST).select("token"), "token", "left_semi").join(members.select("class", F.col("signature").alias("s")), "class")
+        signed_rows = staged(signed_rows, "signed")
+        met = met.unionByName(signed_rows.join(other(signed_rows, F.col("s").alias("t")), "token").where(across & _may_link(num, den)).select(*hit))
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
     rest = staged(_verify(counted.where("hits >= need").select("a", "b"), docs, members, words, num, den), "joined")
     links = rest if links is None else links.unionByName(rest)
     return rows, components(links).select(F.col("node").alias("class"), "root")
@@ -301,10 +323,28 @@ def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int
 
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the least doc_id, once; documents without an id stay."""
-    found = staged(jaccard_components(docs), "components")
-    drop = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(broadcast_if_small(staged(drop, "copies")), "doc_id", "left_anti").select(docs.columns)
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    """One row of each component: that of the least doc_id (of its texts in the component, the one with the least hash).
+
+    Rows are told apart by id and text, so unlike texts of one id go or stay by
+    themselves. Of rows that agree in both, one stays (which, if other columns
+    differ, is open). Rows without an id, and texts without words, all stay.
+    """
+    rows, roots = class_links(docs, 5, 80, 100)
+    named = rows.where("class is not null and doc_id is not null")
+    own = F.struct("doc_id", "h")
+    firsts = named.groupBy("class").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n"))
+    joined = firsts.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    several = joined.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
+    of_class = staged(joined.join(several, "root").select("class", "keep"), "classes")
+    copies = staged(named.join(of_class, "class").select("doc_id", "h", (own == F.col("keep")).alias("kept")), "copies")
+    drop = staged(copies.where(~F.col("kept")).select("doc_id", "h").distinct(), "drop")
+    twice = staged(copies.where("kept").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h"), "twice")
+    at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}  # numbers for names, so that none clashes
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(at))])
+    numbered = numbered.withColumns({"doc_id": at["doc_id"].cast("long"), "h": F.xxhash64(at["text"].cast("string"))})
+    key = ["doc_id", "h"]
+    kept = numbered.join(broadcast_if_small(drop), key, "left_anti")
+    if not twice.isEmpty():
+        again = broadcast_if_small(twice)
+        kept = kept.join(again, key, "left_anti").unionByName(kept.join(again, key, "left_semi").dropDuplicates(key))
+    return kept.select(*[x.alias(c) for c, x in at.items()])

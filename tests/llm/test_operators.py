@@ -84,6 +84,20 @@ def test_packing_shards_are_whole(spark):
 # --- token files -----------------------------------------------------------------
 
 
+def test_null_ids_are_dealt_to_many_shards(spark):
+    """Rests of one id do not meet in one group; nothing is lost."""
+    from pyspark.sql import functions as F
+
+    from clickpulse.llm.packing import pack
+
+    rests = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(3).cast("long").alias("length"))
+    placed = pack(rests, 10, shard_pieces=1000).collect()
+    shards = {}
+    for r in placed:
+        shards[r["sequence_id"] >> 34] = shards.get(r["sequence_id"] >> 34, 0) + 1
+    assert len(placed) == 4000 and len(shards) == 4 and max(shards.values()) < 1300
+
+
 @given(st.integers(1, 5000), st.integers(1, 300), st.randoms(use_true_random=False))
 @settings(max_examples=40, deadline=None)
 def test_rans_round_trip_and_ranges(n, symbols, rng):
@@ -216,6 +230,31 @@ def test_jaccard_components_of_near_copies(spark, seed, words, num):
     assert len({c for _, c in got.values()}) < len(rows)
 
 
+def test_near_duplicate_stage_keeps_unlike_texts_of_one_id(spark):
+    from clickpulse.llm.jaccard_join import near_duplicate_stage
+
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(99999)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, d), (7, c), (9, d + " tail"), (None, a), (None, a), (3, ""), (3, ""), (4, None)]
+    frame = spark.createDataFrame([(*r, i, "h") for i, r in enumerate(rows)], "doc_id long, text string, `a.b` int, h string").repartition(3)
+    got = near_duplicate_stage(spark, frame, "")
+    assert got.columns == ["doc_id", "text", "a.b", "h"]
+    found = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert found == sorted([(1, a), (5, b), (7, c), (7, d), (None, a), (None, a), (3, ""), (3, ""), (4, None)], key=str)
+
+
+@pytest.mark.parametrize("large", [2, 8])
+def test_large_lists_sift_by_signature(spark, monkeypatch, large):
+    from clickpulse.llm import jaccard_join as jj
+
+    monkeypatch.setattr(jj, "LARGE_LIST", large)
+    monkeypatch.setattr(jj, "STAR_ROUNDS", 0)  # all pairs are left to the lists
+    rows = near_copies(11)
+    frame = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jj.jaccard_components(frame, 3, 90, 100).collect()}
+    assert got == {r["doc_id"]: w for r, w in zip(rows, brute.jaccard_components(rows, 3, 90, 100), strict=True)}
+
+
 def test_prefixes_share_enough_tokens():
     """Two linked sets have the larger number of matches in common, whatever the order says."""
     from clickpulse.llm.jaccard_join import BUCKETS, _prefix
@@ -278,6 +317,34 @@ def test_fifty_shared_words_hold_a_span(seed):
     assert set(spans(one, MIN_WORDS)[0]) & set(spans(two, MIN_WORDS)[0])
 
 
+def test_unlike_texts_of_one_id_and_odd_columns(spark):
+    """A text is not cut by another text's places, and columns of any name pass through."""
+    from clickpulse.llm.substring_dedup import drop_repeats, substring_stage
+
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(99999)}" for _ in range(n))
+    shared, own, alone = text(60), text(200), text(300)
+    rows = [(1, shared), (5, own + " " + shared), (5, alone), (5, alone)]
+    frame = spark.createDataFrame([(*r, 7, "p") for r in rows], "doc_id long, text string, dropped_sentences long, `a.b` string")
+    got = sorted((r["doc_id"], r["text"], r["dropped_sentences"], r["a.b"]) for r in substring_stage(spark, frame, "").collect())
+    kept = next(t for d, t, _, _ in got if d == 5 and t != alone)
+    assert [g[:2] for g in got if g[1] == alone] == [(5, alone)] * 2 and (1, shared, 7, "p") in got and {g[2:] for g in got} == {(7, "p")}
+    assert kept.split()[:190] == own.split()[:190] and len(kept.split()) < 215
+    counted = {(r["doc_id"], r["text"]): r["dropped_sentences"] for r in drop_repeats(frame).collect()}
+    assert counted[5, alone] == 0 and counted[1, shared] == 0 and counted[5, kept] > 2
+
+
+@pytest.mark.parametrize("slots", [64, 1 << 20])
+def test_bitmap_only_sifts(spark, monkeypatch, slots):
+    """A full bitmap and a sparse one give the same result."""
+    from clickpulse.llm import substring_dedup as sd
+
+    monkeypatch.setattr(sd, "SLOTS", slots)
+    rows = [(r["doc_id"], (r["text"] or "") * 2) for r in near_copies(3)][:60]
+    got = sorted((r["doc_id"], r["text"], r["dropped_sentences"]) for r in sd.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(d, *w) for (d, _), w in sorted(zip(rows, brute.without_repeats(rows, 20), strict=True))] and any(n for _, _, n in got)
+
+
 def test_passage_within_long_sentences_goes(spark):
     from clickpulse.llm.substring_dedup import drop_repeats
 
