@@ -13,9 +13,15 @@ from __future__ import annotations
 import re
 from array import array
 
-KEEP = 800_000  # chunks in the table before it is emptied
-KEEP_CHARS = 48  # longer chunks are not kept
-SLICE_CHARS = 1 << 20
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from clickpulse.llm.common import spread
+
+KEEP = 1_000_000  # chunks and parts in the tables before they are emptied
+KEEP_CHARS = 16  # or so many characters for each
+LOT = 512  # words that are encoded together
 # the tokenizers' own cutting of a text before merging, for ASCII: words, digits, other signs, white space
 _BYTE_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\r\x0b\x0cA-Za-z0-9]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 _WORD_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\x0b\x0ca-z0-9]+")
@@ -23,22 +29,10 @@ _OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 _ODD = ["  ", *[c + " " for c in _OTHER_SPACE], *[" " + c for c in _OTHER_SPACE]]
 _GAP = re.compile(r"(?<=\S)(?= \S)")
 _NOT_SPACE = re.compile("[\x1c-\x1f]")  # white space to Python alone
+_RARE_SPACE = r"[\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _SPACES = re.compile(r"[^\S\x1c-\x1f]+")
 
 
-class _Table(dict):
-    """Ids of chunks; one that is asked for in vain gets an empty value, filled in afterwards."""
-
-    def __init__(self):
-        super().__init__()
-        self.asked: list[str] = []
-
-    def __missing__(self, chunk: str) -> bytearray:
-        self.asked.append(chunk)
-        value = self[chunk] = bytearray()
-        return value
-
-
 class ChunkedTokenizer:
     """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit numbers."""
 
@@ -51,7 +45,13 @@ class ChunkedTokenizer:
         spec = json.loads(self.tokenizer.to_str())
         self.size = self.tokenizer.get_vocab_size()
         self.drops_space = spec["model"].get("end_of_word_suffix") == "</w>"
-        self.table, self.parts = _Table(), _Table()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = bytearray(max(vocabulary.values()) + 1)  # whether an id ends a word
+        for token, i in vocabulary.items():
+            self.last[i] = self.drops_space and token.endswith("</w>")
+        self.table: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.held = 0
 
     def chunks(self, text: str) -> list[str]:
         if self.drops_space:
@@ -61,46 +61,62 @@ class ChunkedTokenizer:
         return text.replace(" ", "\0 ").split("\0") if text else []
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):  # some texts at a time, so that few chunks are held
-            size, end = 0, at
-            while end < len(texts) and size < SLICE_CHARS:
-                size += len(texts[end])
-                end += 1
-            out += self._some(texts[at:end])
-            at = end
+        ids, at = self.column_ids(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
+
+    def column_ids(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, offsets of each text's). Null counts as empty."""
+        column = column.cast(pa.large_string()).fill_null("")
+        simple = self.drops_space and not pc.any(pc.match_substring_regex(column, _RARE_SPACE)).as_py()
+        if simple:
+            for space in "\n\t\r":
+                column = pc.replace_substring(column, space, " ")
+            parts = pc.split_pattern(column, " ")
+            row = np.repeat(np.arange(len(column)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+            chunks = parts.flatten()
+            full = pc.not_equal(chunks, "")
+            chunks, row = chunks.filter(full), row[full.to_numpy(zero_copy_only=False)]
+            at = np.searchsorted(row, np.arange(len(column) + 1))
+        else:
+            cuts = [self.chunks(t) for t in column.to_pylist()]
+            chunks = pa.array([x for c in cuts for x in c], pa.large_string())
+            at = np.concatenate([[0], np.cumsum([len(c) for c in cuts], dtype=np.int64)])
+        coded = chunks.dictionary_encode()
+        return spread(self._values(coded.dictionary.to_pylist()), "<u4", coded.indices.to_numpy(), at)
+
+    def _values(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        get = self.table.get
+        fresh = [c for c in chunks if get(c) is None]
+        cut = [self._cut(c) for c in fresh]
+        known = self.parts
+        new = list({p for c in cut for p in c if p not in known})
+        for lo in range(0, len(new), 8192):
+            part = new[lo : lo + 8192]
+            known.update(zip(part, self._encoded(part), strict=True))
+        self.table.update((c, b"".join([known[p] for p in parts])) for c, parts in zip(fresh, cut, strict=True))
+        out = [self.table[c] for c in chunks]
+        self.held += sum(map(len, fresh)) + sum(map(len, new))
+        if len(self.table) + len(known) > KEEP or self.held > KEEP_CHARS * KEEP:
+            self.table.clear()
+            known.clear()
+            self.held = 0
         return out
 
-    def _some(self, texts: list[str]) -> list[bytes]:
-        table = self.table
-        look = table.__getitem__
-        found = [list(map(look, self.chunks(t))) for t in texts]
-        asked, table.asked = table.asked, []
-        known, cut = self.parts.__getitem__, (self._cut(c) for c in asked)
-        made = [list(map(known, c)) for c in cut]
-        new, self.parts.asked = self.parts.asked, []
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for text, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                value = self.parts[text]
-                value += array("I", got.ids).tobytes()
-        for chunk, values in zip(asked, made, strict=True):
-            value = table[chunk]
-            value += b"".join(values)
-            if len(chunk) > KEEP_CHARS:
-                del table[chunk]
-            else:
-                table[chunk] = bytes(value)
-        for text in new:
-            value = self.parts.pop(text)
-            if len(text) <= KEEP_CHARS:
-                self.parts[text] = bytes(value)
-        out = [b"".join(x) for x in found]
-        for kept in (table, self.parts):
-            if len(kept) > KEEP:
-                kept.clear()
-        return out
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part. Single words go many at a time: each ends with an id that ends a word."""
+        words = [p for p in parts if p.isascii() and "<|" not in p] if self.drops_space else []
+        found: dict[str, bytes] = {}
+        lots = [words[at : at + LOT] for at in range(0, len(words), LOT)]
+        for lot, got in zip(lots, self.tokenizer.encode_batch_fast([" ".join(x) for x in lots], add_special_tokens=False), strict=True):
+            ids = array("I", got.ids)
+            ends = [i + 1 for i, x in enumerate(ids) if self.last[x]]
+            if len(ends) == len(lot) and ends[-1] == len(ids):
+                raw = ids.tobytes()
+                found.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(lot, [0, *ends], ends, strict=False))
+        rest = [p for p in parts if p not in found]
+        found.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        return [found[p] for p in parts]
 
     def _cut(self, chunk: str) -> list[str]:
         if not chunk.isascii() or "<|" in chunk:

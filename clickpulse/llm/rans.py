@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickpulse.llm.byte_ids import chunked
-from clickpulse.llm.common import cut_rows, ship, texts
+from clickpulse.llm.common import cut_rows, ship
 
 MAGIC = b"RANS"
 HEAD = "<4sBBHIIQ"
@@ -40,6 +40,7 @@ WORD, WORD_MASK = np.uint64(32), np.uint64(0xFFFFFFFF)
 BLOCK_TOKENS = 1 << 18
 CHECK_STEPS = 256
 SEGMENT_TOKENS = 1 << 22
+SLICE = 8 << 20  # bytes of texts that are cut and coded together
 FILES = "part int, segment int, doc_ids array<long>, lengths array<long>, body binary"
 
 
@@ -199,8 +200,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
     """Encode each document's ids, with ``end_id`` after them, into files in ascending doc_id order.
 
     ``docs``: doc_id, text; null text counts as empty. Rows with equal ids
-    stand next to each other. Range partitioning by doc_id gives each task a
-    run of documents; it holds one segment's ids at a time.
+    stand next to each other, null ids first. Range partitioning by doc_id, then
+    a hash of the text and the row's number, gives each task a run of documents,
+    however many rows one id has; it holds one segment's ids at a time.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -216,11 +218,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["part", "segment", "doc_ids", "lengths", "body"])
 
-        for batch in cut_rows(batches):
-            for doc, got in zip(batch.column("doc_id").to_pylist(), tokenizer.ids(texts(batch, "text")), strict=True):
+        for batch in cut_rows(batches, SLICE):
+            found, at = tokenizer.column_ids(batch.column("text"))
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), at.tolist(), at[1:].tolist(), strict=False):
                 docs_in.append(doc)
-                ids.append(got + end)
-                sizes.append(len(got) // 4 + 1)
+                ids.append(found[a:b].tobytes() + end)
+                sizes.append(b - a + 1)
                 total += sizes[-1]
                 if total >= SEGMENT_TOKENS:
                     yield done()
@@ -231,7 +234,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
 
     rows = docs.select("doc_id", "text")
     n = partitions or max(1, rows.rdd.getNumPartitions())
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
+    ordered = keyed.repartitionByRange(n, "doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "row").select("doc_id", "text")
     ordered.mapInArrow(run, FILES).write.parquet(out)
 
 
