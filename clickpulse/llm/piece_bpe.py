@@ -18,7 +18,12 @@ what follows it), and each unit's result is kept in a bounded table.
 
 from __future__ import annotations
 
+import re
+
 import ahocorasick
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MARK = "▁"
 KEEP = 1_000_000  # units in the table before it is emptied
@@ -48,6 +53,14 @@ class PieceModel:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.ids)
+        self.numbered = ahocorasick.Automaton()  # piece -> (size, id)
+        for p, i in self.ids.items():
+            self.numbered.add_word(p, (len(p), i))
+        self.numbered.make_automaton()
+        self.names = {i: p for p, i in self.ids.items()}
+        self.letters = frozenset(p for p in self.ids if len(p) == 1)
+        self.odd = re.compile(f"([^{re.escape(''.join(sorted(self.letters)))}])")  # a character that no piece holds
+        self._id_fits: dict[int, bool] = {}
         self._fits: dict[tuple[str, str], bool] = {}
         self._shorter: dict[str, int] = {}
         self._units: dict[str, object] = {}
@@ -70,6 +83,26 @@ class PieceModel:
                 run = ""
         return out + [run] if run else out
 
+    def fine_units(self, normals: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(units of all normalized texts in a row, offsets of each text's), cut further around each character that no piece holds."""
+        rows = [self._marked(n) for n in normals]
+        parts = pc.split_pattern(pa.array(rows, pa.large_string()), "\0")
+        row = np.repeat(np.arange(len(rows)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        units = parts.flatten()
+        full = pc.not_equal(units, "")
+        return units.filter(full), np.searchsorted(row[full.to_numpy(zero_copy_only=False)], np.arange(len(rows) + 1))
+
+    def _marked(self, normal: str) -> str:
+        """The normalized text with a zero character wherever units meet (a zero of its own is a unit, written as U+0001)."""
+        if "\0" in normal or "\1" in normal or not self.splits:
+            odd = [part for i, part in enumerate(self.odd.split(normal)) if part]
+            return "\0".join("\1" if x == "\0" else x for part in odd for x in ([part] if part in ("\0", "\1") else self.units(part)))
+        if not self.letters.issuperset(normal):
+            normal = self.odd.sub("\0\\1\0", normal) if not self.letters.issuperset(normal.replace("\n", "")) else normal.replace("\n", "\0\n\0")
+        if MARK + MARK in normal:
+            return "\0".join(u for part in normal.split("\0") for u in self.units(part))
+        return normal.replace(MARK, "\0" + MARK)
+
     def merged(self, text: str) -> list[str]:
         """Pieces by merging: the best-scored neighbours first, the leftmost of equals."""
         parts, score = list(text), self.score
@@ -164,6 +197,47 @@ class PieceModel:
                 raise ValueError(f"no encoding of {unit[:i]!r}")
         return counts
 
+    def prefix_steps(self, units: list[str]) -> list[list[int]]:
+        """For each unit, by how much its token count changes with each character.
+
+        The units are those of ``fine_units``, sorted: what the dynamic programme
+        knows of a prefix that a unit shares with the one before is used again.
+        """
+        out, before_unit, counts, last, fits = [], "", [0], [0], self._id_fits.get
+        for unit in units:
+            if len(unit) == 1 and unit not in self.letters:
+                out.append([self.width(unit)])
+                continue
+            shared = 0
+            for a, b in zip(before_unit, unit, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            before_unit = unit
+            del counts[shared + 1 :], last[shared + 1 :]
+            known = shared  # characters whose prefix is done
+            # every character is a piece, so a piece that fits ends at each: the first found, longest first
+            for end, (size, piece) in self.numbered.iter(unit):
+                if end < known:
+                    continue
+                start = end + 1 - size
+                if start:
+                    pair = last[start] << 32 | piece
+                    good = fits(pair)
+                    if good is None:
+                        if len(self._id_fits) > KEEP_PAIRS:
+                            self._id_fits.clear()
+                        good = self._id_fits[pair] = self.fit(self.names[last[start]], self.names[piece])
+                    if not good:
+                        continue
+                counts.append(counts[start] + 1)
+                last.append(piece)
+                known += 1
+            if known != len(unit):
+                raise ValueError(f"no encoding of a prefix of {unit!r}")
+            out.append([b - a for a, b in zip(counts, counts[1:], strict=False)])
+        return out
+
     def width(self, piece: str) -> int:
         return 1 if piece in self.ids or not self.fallback else len(piece.encode())
 
