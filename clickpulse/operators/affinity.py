@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.exprs import lift
+from clickpulse.operators.topk import tree_top
 from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, cut_lineage, small_side
 
 DEFAULT_BLOCK_SIZE = 4096
@@ -75,7 +76,7 @@ def distinct_sessions(events: DataFrame, session: str = "user_session") -> DataF
 
 
 def _session_blocks(
-    sp: DataFrame, block_size: int, max_broadcast_rows: int
+    sp: DataFrame, block_size: int, max_broadcast_rows: int, carried: list[str]
 ) -> DataFrame:
     """(session, product_id, blk, nb) with nb = number of blocks of the session.
 
@@ -94,6 +95,7 @@ def _session_blocks(
     return tagged.select(
         "session",
         "product_id",
+        *carried,
         F.pmod(F.xxhash64("product_id"), nb).cast("int").alias("_blk"),
         nb.alias("_nb"),
     )
@@ -103,15 +105,22 @@ def co_occurrence(
     sp: DataFrame,
     block_size: int = DEFAULT_BLOCK_SIZE,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    fresh: str | None = None,
 ) -> DataFrame:
-    """Sessions shared by each unordered product pair a < b."""
+    """Sessions shared by each unordered product pair a < b.
+
+    ``fresh``: a boolean column of ``sp``; pairs of two rows that are not fresh
+    are then left out (the delta self-join of :mod:`clickpulse.plans.incremental`).
+    """
     clean = sp.filter(F.col("session").isNotNull() & F.col("product_id").isNotNull())
-    blocks = _session_blocks(clean, block_size, max_broadcast_rows)
+    carried = [fresh] if fresh else []
+    blocks = _session_blocks(clean, block_size, max_broadcast_rows, carried)
     # each row goes to every block pair that contains its block: nb keys
     other = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    keyed = blocks.select("session", "product_id", "_blk", other.alias("_other")).select(
+    keyed = blocks.select("session", "product_id", *carried, "_blk", other.alias("_other")).select(
         "session",
         "product_id",
+        *carried,
         "_blk",
         F.least("_blk", "_other").alias("_lo"),
         F.greatest("_blk", "_other").alias("_hi"),
@@ -129,6 +138,8 @@ def co_occurrence(
         & (F.least("a._blk", "b._blk") == F.col("a._lo"))
         & (F.greatest("a._blk", "b._blk") == F.col("a._hi"))
     )
+    if fresh:
+        cond = cond & (F.col(f"a.{fresh}") | F.col(f"b.{fresh}"))
     pairs = a.join(b, cond, "inner").select(
         F.col("a.product_id").alias("product_a"), F.col("b.product_id").alias("product_b")
     )
@@ -165,13 +176,13 @@ def affinity_scores(
 def top_pairs(scored: DataFrame, n: int | None = DEFAULT_TOP_PAIRS) -> DataFrame:
     """Best ``n`` pairs by lift; ties broken by (product_a, product_b) (L1).
 
-    ``orderBy + limit`` plans as TakeOrderedAndProject: each task keeps its
-    own top n, one final task merges n x tasks rows.
+    Each task keeps its own top n, and tasks merge in a tree
+    (:func:`clickpulse.operators.topk.tree_top`), so the last one reads a
+    bounded number of rows.
     """
-    ordered = scored.select("product_a", "product_b", "co_occurrences", "lift").orderBy(
-        F.col("lift").desc(), F.col("product_a"), F.col("product_b")
-    )
-    return ordered.limit(n) if n is not None else ordered
+    order = [F.col("lift").desc(), F.col("product_a"), F.col("product_b")]
+    pairs = scored.select("product_a", "product_b", "co_occurrences", "lift")
+    return tree_top(pairs, order, n) if n is not None else pairs.orderBy(*order)
 
 
 def product_affinity(
@@ -195,3 +206,65 @@ def product_affinity(
     total = distinct_sessions(events, session)
     co = co_occurrence(sp, block_size, max_broadcast_rows)
     return top_pairs(affinity_scores(co, counts, total, max_broadcast_rows), n)
+
+
+def first_cutoff(counts: DataFrame, n: int) -> tuple[int, int]:
+    """(least session count whose products, with all rarer ones, have ``4 * n`` rows; greatest session count).
+
+    ``counts``: product_id, session_count. One row for each power of two of the
+    count reaches the driver.
+    """
+    level = F.ceil(F.log2("session_count")).cast("int")
+    rows = counts.groupBy(level.alias("level")).agg(F.sum("session_count").alias("rows"), F.max("session_count").alias("most")).orderBy("level").collect()
+    held = 0
+    for r in rows:
+        held += r["rows"]
+        if held >= 4 * n:
+            return r["most"], rows[-1]["most"]
+    return (rows[-1]["most"], rows[-1]["most"]) if rows else (0, 0)
+
+
+def pruned_affinity(
+    events: DataFrame,
+    session: str = "user_session",
+    product: str = "product_id",
+    types: tuple[str, ...] | None = AFFINITY_TYPES,
+    n: int = DEFAULT_TOP_PAIRS,
+    block_size: int = DEFAULT_BLOCK_SIZE,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """``product_affinity`` without listing the pairs of products that are too frequent to matter.
+
+    A pair shares at most the rarer product's sessions, so
+    ``lift = co * N / (count_a * count_b) <= N / max(count_a, count_b)``. The
+    pairs of rare products alone are scored first. If there are ``n``, the
+    least of the best ``n`` lifts is a threshold ``T`` that the result can only
+    exceed, and products with more than ``N / T`` sessions are in no pair of it
+    (pairs that tie with ``T`` are kept, so ids break ties as ever). The
+    self-join then runs without them: each session loses its most frequent
+    products, which are in most pairs. While fewer than ``n`` pairs are found,
+    the cutoff grows four times; at the greatest count it is the whole join.
+    """
+    sp = cut_lineage(session_products(events, session, product, types))
+    counts = cut_lineage(product_session_counts(sp.where(F.col("session").isNotNull() & F.col("product_id").isNotNull())))
+    every = cut_lineage(product_session_counts(sp))  # sessions without an id count for a product, as in the whole job
+    total = cut_lineage(distinct_sessions(events, session))
+    sessions = total.first()["total_sessions"]
+    cutoff, most = first_cutoff(counts, n)
+    while True:
+        kept = sp
+        if cutoff < most:
+            rare = counts.where(F.col("session_count") <= cutoff).select("product_id")
+            kept = sp.join(small_side(rare, max_broadcast_rows), "product_id", "left_semi")
+        best = cut_lineage(top_pairs(affinity_scores(co_occurrence(kept, block_size, max_broadcast_rows), every, total, max_broadcast_rows), n))
+        if cutoff >= most:
+            break
+        found = best.agg(F.count(F.lit(1)).alias("n"), F.min("lift").alias("least")).first()
+        if found["n"] < n:
+            cutoff = min(most, 4 * max(1, cutoff))
+            continue
+        bound = int(sessions / found["least"] * (1 + 1e-9)) + 1
+        if bound <= cutoff:
+            break
+        cutoff = min(bound, most)
+    return best.orderBy(F.col("lift").desc(), "product_a", "product_b")

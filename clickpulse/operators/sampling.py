@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickpulse.operators.topk import tree_top
+
 DEFAULT_FRACTION = 0.1
 DEFAULT_SEED = 42
 
@@ -32,3 +34,20 @@ def session_sample(
     """
     key = F.md5(F.coalesce(F.col(session).cast("string"), F.lit("")))
     return df.filter(F.substring(key, 1, 8) < F.lit(session_threshold(fraction)))
+
+
+def sample_order(key: str, seed: int = DEFAULT_SEED) -> list[Column]:
+    """A random but fixed order of rows: md5 of the seed and the key, then the key."""
+    return [F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))), F.col(key)]
+
+
+def bottom_k(df: DataFrame, n: int, key: str = "event_id", seed: int = DEFAULT_SEED) -> DataFrame:
+    """Exactly ``n`` rows (all, if there are fewer), those whose keys hash least.
+
+    The same rows for any partitioning, run or engine, unlike a Bernoulli
+    sample. Samples merge: the bottom-k of several days' bottom-k is that of all
+    their rows.
+    """
+    if n < 1:
+        raise ValueError("n must be positive")
+    return tree_top(df, sample_order(key, seed), n)

@@ -18,7 +18,7 @@ from clickpulse.functions.exprs import BATCH_TIME_FORMAT, STREAM_TIME_FORMAT, pa
 from clickpulse.operators import abandonment, affinity, cube, metrics, sampling, serving
 from clickpulse.operators.enrich import enrich
 from clickpulse.operators.live import session_state, session_window_state
-from clickpulse.sources.tables import baskets_from_lineitem, events_from_tables, load_table
+from clickpulse.sources.tables import baskets_from_lineitem, baskets_with_attributes, events_from_tables, load_table
 
 # Parameters of the range reads (the data covers 2024-01-01 .. 2024-01-30).
 RANGE_START = "2024-01-05"
@@ -31,6 +31,8 @@ TOP_ABANDONMENT = 10
 LIVE_TOP = 50
 LIVE_SHOWN = 20
 SESSION_GAP = "30 minutes"
+USER_RANGES = [("2024-01-01", "2024-01-01"), ("2024-01-05", "2024-01-24"), ("2024-01-10", "2024-02-10"), ("2023-01-01", "2023-12-31")]
+SAMPLE_ROWS = 500
 RATE_DIGITS = 9  # a mean of doubles is order-dependent in its last bits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -440,6 +442,112 @@ def q_csv_roundtrip(spark, sf):
     return edge(back.drop("event_time", "category_id"))
 
 
+def q_product_affinity_pruned(spark, sf):
+    return edge(affinity.pruned_affinity(enriched(spark, sf)))
+
+
+def q_basket_affinity_pruned(spark, sf):
+    baskets = baskets_from_lineitem(load_table(spark, sf, "lineitem"))
+    return edge(affinity.pruned_affinity(baskets, session="basket_id", types=None))
+
+
+def q_attribute_affinity_pruned(spark, sf):
+    """Parts and attributes of their lines as items: the frequent ones never reach the self-join."""
+    baskets = baskets_with_attributes(load_table(spark, sf, "lineitem"))
+    return edge(affinity.pruned_affinity(baskets, session="basket_id", types=None))
+
+
+def _batches(spark, sf):
+    """All events in three batches: most of the days up to a date; all later days; what came late for the first."""
+    events = enriched(spark, sf)
+    early, late = F.col("date") <= F.lit(RANGE_END).cast("date"), F.col("event_type") == "purchase"
+    return [events.where(early & ~late), events.where(~F.coalesce(early, F.lit(False))), events.where(early & late)]
+
+
+def q_affinity_incremental(spark, sf):
+    """Products of a user over all days, added batch by batch: users come back in each."""
+    from clickpulse.plans.incremental import advance_affinity, stored_affinity
+    from clickpulse.session import scratch_path
+
+    path = scratch_path(spark, "affinity-state")
+    for epoch, events in enumerate(_batches(spark, sf)):
+        advance_affinity(events, path, epoch, session="user_id")
+    return edge(stored_affinity(spark, path))
+
+
+def _refreshed(spark, sf, name):
+    from clickpulse.plans.incremental import read_dated, refresh_dates
+    from clickpulse.session import scratch_path
+
+    out = scratch_path(spark, "dated")
+    for batch, events in enumerate(_batches(spark, sf)):
+        refresh_dates(events, out, batch, [name])
+    return read_dated(spark, out, name)
+
+
+def q_daily_metrics_incremental(spark, sf):
+    return edge(_refreshed(spark, sf, "daily_metrics"))
+
+
+def q_funnel_stats_incremental(spark, sf):
+    return edge(_refreshed(spark, sf, "funnel_stats"))
+
+
+def q_cart_abandonment_incremental(spark, sf):
+    return edge(_refreshed(spark, sf, "cart_abandonment"))
+
+
+def q_range_distinct_users_stored(spark, sf):
+    from clickpulse.operators.users import range_users
+
+    return edge(range_users(_refreshed(spark, sf, "user_sets"), RANGE_START, RANGE_END))
+
+
+def q_distinct_users_ranges(spark, sf):
+    from clickpulse.operators.users import daily_user_sets, users_of_ranges
+    from clickpulse.plans.tuning import cut_lineage
+
+    return edge(users_of_ranges(cut_lineage(daily_user_sets(enriched(spark, sf))), USER_RANGES))
+
+
+def q_numbered_users(spark, sf):
+    from clickpulse.operators.users import number_users
+
+    return edge(number_users(enriched(spark, sf)))
+
+
+def q_event_bottom_k(spark, sf):
+    return edge(sampling.bottom_k(enriched(spark, sf).select(*ENRICHED_COLUMNS), SAMPLE_ROWS))
+
+
+def q_category_events_ranked(spark, sf):
+    """The order of the written text as a column."""
+    from clickpulse.operators.topk import global_row_number
+
+    counts = metrics.category_events(metrics.category_event_rows(enriched(spark, sf)))
+    return edge(global_row_number(counts, [F.col("category"), F.col("event_type")], "rank"))
+
+
+def q_csv_rejects(spark, sf):
+    """Counts of an ingest of the events as CSV, some lines of which are cut short, misspelt or without a time."""
+    from clickpulse.session import scratch_path
+    from clickpulse.sources.events import ingest_csv
+
+    rows = enriched(spark, sf)
+    broken = lambda n: F.col("event_id") % n == 0
+    time = F.when(broken(83), F.lit("some day")).otherwise(F.date_format("event_ts", BATCH_TIME_FORMAT))
+    price = F.when(broken(97), F.lit("abc")).otherwise(F.col("price").cast("string"))
+    rest = [F.lit(""), F.lit("a.b"), F.lit("x"), price, F.col("user_id").cast("string"), "user_session"]
+    start = [time, "event_type", F.col("product_id").cast("string")]
+    line = F.when(broken(89), F.concat_ws(",", *start)).otherwise(F.concat_ws(",", *start, *rest))
+    path = scratch_path(spark, "broken-csv")
+    rows.select(line.alias("event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session")).write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\t").csv(path)
+    got = ingest_csv(spark, path, scratch_path(spark, "ingested"))
+    kept = spark.read.parquet(got.path).groupBy("status").count().collect()
+    stored = {r["status"]: r["count"] for r in kept}
+    return spark.createDataFrame([(got.read, got.accepted, got.rejected, got.null_times, stored.get("accepted", 0), stored.get("rejected", 0))], "rows_read long, accepted long, rejected long, null_times long, stored_accepted long, stored_rejected long")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -16,12 +16,14 @@ from clickpulse.plans.catalog import (
     RANGE_START,
     RATE_DIGITS,
     SAMPLE_FRACTION,
+    SAMPLE_ROWS,
     TOP_ABANDONMENT,
     TOP_BRANDS,
     TOP_PRODUCTS,
+    USER_RANGES,
 )
 from clickpulse.operators.affinity import DEFAULT_TOP_PAIRS
-from clickpulse.operators.sampling import session_threshold
+from clickpulse.operators.sampling import DEFAULT_SEED, session_threshold
 
 ENRICHED = """
 clicks AS (
@@ -445,3 +447,36 @@ FROM enriched"""
 for _name in ("daily_metrics", "top_products", "top_categories", "top_brands", "funnel_stats",
               "category_events", "brand_revenue"):
     SQL[f"{_name}_cube"] = SQL[_name]
+
+# other ways to the same tables: without frequent products, or batch by batch
+SQL["product_affinity_pruned"] = SQL["product_affinity"]
+SQL["basket_affinity_pruned"] = SQL["basket_affinity"]
+SQL["attribute_affinity_pruned"] = """WITH baskets AS (
+  SELECT l_orderkey AS basket_id, unnest([CAST(l_partkey AS BIGINT), -1000 - ascii(l_returnflag), -2000 - ascii(l_linestatus),
+         -3000 - l_linenumber, -4000 - CAST(l_quantity AS BIGINT)]) AS product_id
+  FROM lineitem
+),
+""" + _affinity("baskets", "basket_id", "", DEFAULT_TOP_PAIRS)
+SQL["affinity_incremental"] = _with(_affinity("enriched", "user_id", "WHERE event_type IN ('view', 'cart')", DEFAULT_TOP_PAIRS))
+for _name in ("daily_metrics", "funnel_stats", "cart_abandonment"):
+    SQL[f"{_name}_incremental"] = SQL[_name]
+SQL["range_distinct_users_stored"] = SQL["range_distinct_users"]
+SQL["distinct_users_ranges"] = _with(
+    "ranges(start_date, end_date) AS (VALUES " + ", ".join(f"(DATE '{a}', DATE '{b}')" for a, b in USER_RANGES) + ")"
+) + """SELECT start_date, end_date, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS distinct_users
+FROM ranges LEFT JOIN enriched ON date >= start_date AND date <= end_date
+GROUP BY start_date, end_date"""
+SQL["numbered_users"] = _with() + """SELECT user_id AS "user", row_number() OVER (ORDER BY user_id) AS user_number
+FROM (SELECT DISTINCT user_id FROM enriched WHERE user_id IS NOT NULL)"""
+SQL["event_bottom_k"] = SQL["enriched_events"] + f" ORDER BY md5('{DEFAULT_SEED}:' || event_id), event_id LIMIT {SAMPLE_ROWS}"
+SQL["category_events_ranked"] = _with(f"counts AS ({CATEGORY_EVENTS})") + """SELECT category, event_type, event_count,
+       row_number() OVER (ORDER BY category, event_type) AS rank
+FROM counts"""
+SQL["csv_rejects"] = """SELECT rows_read, rows_read - rejected AS accepted, rejected, null_times,
+       rows_read - rejected AS stored_accepted, rejected AS stored_rejected
+FROM (
+  SELECT COUNT(*) AS rows_read,
+         COUNT(*) FILTER (event_id % 97 = 0 OR event_id % 89 = 0) AS rejected,
+         COUNT(*) FILTER (event_id % 83 = 0 AND event_id % 97 <> 0 AND event_id % 89 <> 0) AS null_times
+  FROM events
+) counted"""

@@ -27,6 +27,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # in a stream, events of a session window are merged within a task before the
+    # shuffle, so a hot session ships a row for each window and task
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     # stream state off the JVM heap, checkpointed incrementally (millions of sessions)
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

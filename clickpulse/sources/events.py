@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from clickpulse.schema import EVENT_SCHEMA
 
@@ -24,6 +26,59 @@ def read_events_csv(spark: SparkSession, path: str, schema=EVENT_SCHEMA) -> Data
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_events_csv_checked(spark: SparkSession, path: str, schema=EVENT_SCHEMA) -> DataFrame:
+    """``read_events_csv`` with the text of each line that does not fit the schema in ``_corrupt_record``.
+
+    A line is corrupt if a cell does not parse as its type, or if it has too few
+    or too many cells.
+    """
+    with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return (
+        spark.read.schema(with_corrupt)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path)
+    )
+
+
+@dataclass(frozen=True)
+class IngestReport:
+    """Counts of one ingest: ``read == accepted + rejected``."""
+
+    read: int
+    accepted: int
+    rejected: int
+    null_times: int
+    path: str
+
+
+def ingest_csv(spark: SparkSession, path: str, out: str, schema=EVENT_SCHEMA) -> IngestReport:
+    """Enrich CSV events into ``out/status=accepted``, corrupt lines into ``out/status=rejected``.
+
+    One write job reads the input once; the counts are observed as it runs.
+    ``null_times``: accepted rows without a readable time. Without any row
+    nothing is written.
+    """
+    from clickpulse.operators.enrich import enrich
+
+    lines = enrich(read_events_csv_checked(spark, path, schema))
+    bad = F.col(CORRUPT).isNotNull()
+    seen = Observation()
+    watched = lines.withColumn("status", F.when(bad, F.lit("rejected")).otherwise(F.lit("accepted"))).observe(
+        seen,
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(bad).alias("rejected"),
+        F.count_if(~bad & F.col("event_ts").isNull()).alias("null_times"),
+    )
+    watched.write.mode("overwrite").partitionBy("status").parquet(out)
+    got = seen.get
+    return IngestReport(got["read"], got["read"] - got["rejected"], got["rejected"], got["null_times"], out)
+
+
 def read_events_json(spark: SparkSession, path: str, schema=EVENT_SCHEMA) -> DataFrame:
     """JSON lines with the event fields (the stream payload written to files)."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)

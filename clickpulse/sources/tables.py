@@ -85,3 +85,21 @@ def baskets_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").alias("product_id")
     )
+
+
+def baskets_with_attributes(lineitem: DataFrame) -> DataFrame:
+    """Baskets whose items are parts and, as items below zero, attributes of their lines.
+
+    Attributes (return flag, line status, line number, quantity) stand in many
+    baskets: frequent items beside rare ones, as categories or brands are beside
+    products.
+    """
+    kinds = [
+        F.col("l_partkey"),
+        -1000 - F.ascii("l_returnflag"),
+        -2000 - F.ascii("l_linestatus"),
+        -3000 - F.col("l_linenumber"),
+        -4000 - F.col("l_quantity"),
+    ]
+    items = F.explode(F.array(*[k.cast(LongType()) for k in kinds]))
+    return lineitem.select(F.col("l_orderkey").alias("basket_id"), items.alias("product_id"))
