@@ -274,6 +274,29 @@ def test_prefixes_share_enough_tokens():
         assert sum(max(mine[t], theirs[t]) <= need for t in mine.keys() & theirs.keys()) >= need
 
 
+@given(st.lists(st.text(alphabet="abcdefghijklmnopqrstuvwxyzT' \n.9\u00e9", max_size=25), max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_word_ids_equal_the_library(texts):
+    from clickpulse.llm.byte_ids import chunked
+    from clickpulse.llm.queries import vocabulary
+
+    own = chunked(vocabulary("word_bpe_49k.json"))
+    want = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.letters is not None and [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == want
+
+
+def test_ids_of_all_words_of_a_table():
+    import pyarrow.parquet as pq
+
+    from clickpulse.llm.byte_ids import chunked
+    from clickpulse.llm.queries import vocabulary
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    own = chunked(vocabulary("word_bpe_49k.json"))
+    want = [e.ids for e in own.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids([t or "" for t in texts])] == want
+
+
 # --- spans -----------------------------------------------------------------------
 
 
