@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import threading
@@ -13,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
 
+#: whole texts travel in Arrow batches; 10,000 rows of them, the default, can be many megabytes
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
 _SHIP_LOCK = threading.Lock()
 _SHIPPED: set[str] = set()
 
@@ -26,6 +30,8 @@ def ship(spark: SparkSession) -> None:
     from clickpulse.session import scratch_path
 
     sc = spark.sparkContext
+    if not sc.getConf().contains(BATCH_BYTES[0]):  # the submitter's value wins
+        spark.conf.set(*BATCH_BYTES)
     with _SHIP_LOCK:
         if sc.applicationId in _SHIPPED:
             return
@@ -78,12 +84,25 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def cut_rows(batches, max_bytes: int = 2 << 20):
-    """Slices of Arrow batches holding about ``max_bytes`` at most (one row at least)."""
+def cut_rows(batches, max_bytes: int = 1 << 20):
+    """Slices of Arrow batches holding about ``max_bytes`` at most (one row at least).
+
+    When the batches end, the worker gives freed memory back: it stays for later tasks.
+    """
     for batch in batches:
         rows = max(1, batch.num_rows * max_bytes // max(1, batch.nbytes))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library hold unused to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 # --- words as 64-bit numbers -------------------------------------------------
