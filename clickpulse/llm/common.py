@@ -84,7 +84,7 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def cut_rows(batches, max_bytes: int = 1 << 20):
+def cut_rows(batches, max_bytes: int = 1 << 19):
     """Slices of Arrow batches holding about ``max_bytes`` at most (one row at least).
 
     When the batches end, the worker gives freed memory back: it stays for later tasks.

@@ -95,7 +95,7 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         counts, seen = np.zeros(BUCKETS, np.int32), set()
-        for batch in cut_rows(batches):
+        for batch in cut_rows(batches, 1 << 18):
             rows = batch.num_rows
             sizes, classes, signatures = np.zeros(rows, np.int64), [None] * rows, [None] * rows
             for row, own in _sets(batch, words):
@@ -160,7 +160,7 @@ def _postings(docs: DataFrame, excess: np.ndarray, words: int, num: int, den: in
 
     def run(batches):
         seen, excess = set(), shared.value
-        for batch in cut_rows(batches):
+        for batch in cut_rows(batches, 1 << 18):
             columns: tuple[list, ...] = ([], [], [])
             for _, own in _sets(batch, words):
                 name = _class_of(own)
@@ -193,7 +193,7 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         docs = docs.join(F.broadcast(wanted.select("doc_id").distinct()), "doc_id", "left_semi")
 
     def run(batches):
-        for batch in cut_rows(batches):
+        for batch in cut_rows(batches, 1 << 18):
             rows, names, sets = [], [], []
             for row, own in _sets(batch, words):
                 rows.append(row)

@@ -83,7 +83,7 @@ def _trigram_counts(rows: DataFrame, languages: list[str]) -> np.ndarray:
 
     def count(batches):
         total = np.zeros((len(languages), BUCKETS), np.int64)
-        for batch in cut_rows(batches, 1 << 20):
+        for batch in cut_rows(batches, 1 << 18):
             bucket, row = _trigrams(batch.column("text"))
             own = np.array([number.get(d, -1) for d in batch.column("declared").to_pylist()], np.int64)
             which = own[row] if len(row) else row
@@ -112,7 +112,7 @@ def _log_likelihoods(rows: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def score(batches):
         table = shared.value
-        for batch in cut_rows(batches, 1 << 20):
+        for batch in cut_rows(batches, 1 << 18):
             bucket, row = _trigrams(batch.column("text"))
             grams = np.bincount(row, minlength=batch.num_rows)
             sums = np.stack([np.bincount(row, weights=t[bucket], minlength=batch.num_rows) for t in table], axis=1)
