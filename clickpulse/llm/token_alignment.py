@@ -44,6 +44,7 @@ from clickpulse.llm.common import cut_rows, first_of_each, ship, staged
 
 HEAD = 1_000_000  # pairs whose counts are broadcast at most: 16 MB
 LOT = 512  # chunks that are encoded together
+SLICE = 2 << 20  # bytes of texts whose chunks are coded together
 KEEP_BYTES = 96 << 20  # of chunks and their alignments in a worker's table before it is emptied
 FLUSH = 400_000  # distinct pairs that a task sums before it passes them on
 MARK = "\u2581"
@@ -265,7 +266,7 @@ def align_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         model, serial = aligner(a_path, b_path), TaskContext.get().partitionId() << 33
         keys, times, size = [], [], 0
-        for batch in cut_rows(batches):
+        for batch in cut_rows(batches, SLICE):
             record, key, n = _document_rows(model, batch, serial)
             serial += batch.num_rows
             yield record
