@@ -8,7 +8,7 @@ plain versions.
 
 from __future__ import annotations
 
-from clickpulse.llm.quality import ERROR, LEVELS, MAX_FALSE_REJECTION, MIN_WORDS, RULES, STRATA
+from clickpulse.llm.quality import ERROR, LEVELS, MAX_FALSE_REJECTION, MIN_WORDS, RULES
 
 WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
 
@@ -52,8 +52,7 @@ def quality() -> str:
         step = repr((lenient - strict) / (LEVELS - 1))
         return f"LEAST(GREATEST(FLOOR((CAST({lenient!r} AS DOUBLE) - {measure[name]}) / CAST('{step}' AS DOUBLE)) + 1, 0), {LEVELS})"
 
-    share, test = MAX_FALSE_REJECTION / len(names), ERROR / (len(names) * (len(STRATA) + 1))
-    strata = ", ".join(f"'{s}'" for s in STRATA)
+    share = MAX_FALSE_REJECTION / len(names)
     levels = ", ".join(f"CAST({level(n)} AS INTEGER)" for n in names)
     return rf"""WITH worded AS (
   SELECT doc_id, lang, t, {WORDS} AS w,
@@ -68,7 +67,7 @@ repeats AS (
   SELECT doc_id, COUNT(DISTINCT i + j) AS n FROM windows, (VALUES (0), (1), (2)) o(j) WHERE n > 1 GROUP BY doc_id
 ),
 counted AS (
-  SELECT d.doc_id, CASE WHEN lang IN ({strata}) THEN lang ELSE 'other' END AS stratum,
+  SELECT d.doc_id, COALESCE(NULLIF(lower(regexp_extract(trim(lang), '^([A-Za-z]{{2,8}})(?:[-_]|$)', 1)), ''), 'other') AS stratum,
          CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
@@ -86,9 +85,10 @@ held AS (
   SELECT stratum, rule, levels[rule] AS level
   FROM judged JOIN good USING (doc_id), range(1, {len(names) + 1}) x(rule) WHERE NOT base_failed
 ),
+strata AS (SELECT stratum FROM held UNION SELECT 'other'),
 tried AS (
   SELECT s.stratum, r.rule, v.level, COUNT(*) FILTER (WHERE h.level <= v.level) AS k, COUNT(h.level) AS n
-  FROM (SELECT unnest([{strata}, 'other']) AS stratum) s, range(1, {len(names) + 1}) r(rule), range(0, {LEVELS}) v(level)
+  FROM strata s, range(1, {len(names) + 1}) r(rule), range(0, {LEVELS}) v(level)
   LEFT JOIN held h ON h.stratum = s.stratum AND h.rule = r.rule
   GROUP BY s.stratum, r.rule, v.level
 ),
@@ -100,14 +100,14 @@ tails AS (
   FROM tried
 ),
 cuts AS (
-  SELECT stratum, rule, COALESCE(MIN(level) FILTER (WHERE p > {test!r}), {LEVELS}) - 1 AS cut FROM tails GROUP BY stratum, rule
+  SELECT stratum, rule, COALESCE(MIN(level) FILTER (WHERE p > CAST({ERROR!r} AS DOUBLE) / ({len(names)} * (SELECT COUNT(*) FROM strata))), {LEVELS}) - 1 AS cut FROM tails GROUP BY stratum, rule
 ),
 verdicts AS (
   SELECT stratum, list(cut ORDER BY rule) AS cut FROM cuts GROUP BY stratum
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND {" AND ".join(f"levels[{i + 1}] > cut[{i + 1}]" for i in range(len(names)))} AS kept
-FROM judged JOIN verdicts USING (stratum)"""
+       NOT base_failed AND COALESCE({" AND ".join(f"levels[{i + 1}] > cut[{i + 1}]" for i in range(len(names)))}, true) AS kept
+FROM judged LEFT JOIN verdicts USING (stratum)"""
 
 
 
