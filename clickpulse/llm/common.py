@@ -56,11 +56,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OPEN = threading.local()  # the scratch scopes that this thread is in
+
+
+class scratch:  # noqa: N801
+    """Scope whose staged folders are deleted at its end, but for those of the frames it keeps.
+
+    What a frame that leaves the scope still reads has to be kept, or written
+    before the end. Kept folders belong to the scope around this one, if any.
+    """
+
+    def __init__(self) -> None:
+        self.folders: dict[str, DataFrame] = {}
+
+    def __enter__(self) -> scratch:
+        _OPEN.scopes = [*getattr(_OPEN, "scopes", []), self]
+        self.kept: set[str] = set()
+        return self
+
+    def keep(self, *frames: DataFrame) -> None:
+        self.kept.update(df.staged_path for df in frames)
+
+    def __exit__(self, *_) -> None:
+        _OPEN.scopes = _OPEN.scopes[:-1]
+        for path in [x for x in self.folders if x not in self.kept]:
+            release(self.folders.pop(path))
+        if _OPEN.scopes:
+            _OPEN.scopes[-1].folders.update(self.folders)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame into the shared folder and read it back.
 
     The folder outlives a lost executor, and what reads it does not recompute
-    what stands above it.
+    what stands above it. Inside a ``scratch`` scope it is deleted with the scope.
     """
     from clickpulse.session import scratch_path
 
@@ -68,6 +97,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path
+    if scopes := getattr(_OPEN, "scopes", []):
+        scopes[-1].folders[path] = out
     return out
 
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import cut_rows, release, ship, signed, staged, window_hashes, word_hashes
+from clickpulse.llm.common import cut_rows, release, scratch, ship, signed, staged, window_hashes, word_hashes
 from clickpulse.llm.components import components
 from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small, fits
 
@@ -261,7 +261,15 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
     ship(spark)
     docs = _text_rows(docs)
     first = staged(_first_pass(docs, words), "sets")
-    rows = first.where("slice is null").select("doc_id", "h", "n", "class")
+    with scratch() as own:
+        roots = staged(_linked_classes(docs, first, words, num, den), "components")
+        own.keep(roots)
+    return first.where("slice is null").select("doc_id", "h", "n", "class"), roots
+
+
+def _linked_classes(docs: DataFrame, first: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Components (class, root) of the classes that link; it reads folders staged here."""
+    spark = docs.sparkSession
     members = first.where("class is not null and doc_id is not null").select("doc_id", "class", "n", "signature")
     least = members.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     members = staged(members.join(least, ["class", "doc_id"]).dropDuplicates(["class"]), "members")
@@ -271,7 +279,7 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
     release(prefixes)
     n_listed = listed.count()
     if not n_listed:
-        return rows, spark.createDataFrame([], "class long, root long")
+        return spark.createDataFrame([], "class long, root long")
 
     alike = den * F.least("n", "m") >= num * F.greatest("n", "m")
     links: DataFrame | None = None
@@ -291,8 +299,11 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
         pivots = large.groupBy("token").agg(F.min(rank).alias("pivot")).select("token", "pivot.p", "pivot.m", "pivot.p_root")
         star = large.join(pivots, "token").where(alike & (F.col("root") != F.col("p_root")))
         pairs = star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
-        joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
+        with scratch() as own:
+            joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
+            own.keep(joined)
         links = joined if links is None else staged(links.unionByName(joined), "links")
+        release(now, sizes)
     # every pair across components that shares enough tokens
     open_lists = now.select("token", "class", "n", "level", "matches", "root")
     other = lambda df, *more: df.select("token", F.col("class").alias("b"), F.col("n").alias("m"), F.col("level").alias("level_b"), F.col("matches").alias("matches_b"), F.col("root").alias("root_b"), *more)
@@ -308,7 +319,7 @@ def class_links(docs: DataFrame, words: int, num: int, den: int) -> tuple[DataFr
     counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
     rest = staged(_verify(counted.where("hits >= need").select("a", "b"), docs, members, words, num, den), "joined")
     links = rest if links is None else links.unionByName(rest)
-    return rows, components(links).select(F.col("node").alias("class"), "root")
+    return components(links).select(F.col("node").alias("class"), "root")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -329,16 +340,18 @@ def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     themselves. Of rows that agree in both, one stays (which, if other columns
     differ, is open). Rows without an id, and texts without words, all stay.
     """
-    rows, roots = class_links(docs, 5, 80, 100)
-    named = rows.where("class is not null and doc_id is not null")
-    own = F.struct("doc_id", "h")
-    firsts = named.groupBy("class").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n"))
-    joined = firsts.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    several = joined.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
-    of_class = staged(joined.join(several, "root").select("class", "keep"), "classes")
-    copies = staged(named.join(of_class, "class").select("doc_id", "h", (own == F.col("keep")).alias("kept")), "copies")
-    drop = staged(copies.where(~F.col("kept")).select("doc_id", "h").distinct(), "drop")
-    twice = staged(copies.where("kept").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h"), "twice")
+    with scratch() as scope:
+        rows, roots = class_links(docs, 5, 80, 100)
+        named = rows.where("class is not null and doc_id is not null")
+        own = F.struct("doc_id", "h")
+        firsts = named.groupBy("class").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n"))
+        joined = firsts.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        several = joined.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
+        of_class = staged(joined.join(several, "root").select("class", "keep"), "classes")
+        copies = staged(named.join(of_class, "class").select("doc_id", "h", (own == F.col("keep")).alias("kept")), "copies")
+        drop = staged(copies.where(~F.col("kept")).select("doc_id", "h").distinct(), "drop")
+        twice = staged(copies.where("kept").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h"), "twice")
+        scope.keep(drop, twice)
     at = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}  # numbers for names, so that none clashes
     numbered = docs.toDF(*[f"c{i}" for i in range(len(at))])
     numbered = numbered.withColumns({"doc_id": at["doc_id"].cast("long"), "h": F.xxhash64(at["text"].cast("string"))})

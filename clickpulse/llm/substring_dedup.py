@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from clickpulse.llm.common import cut_rows, mix64, ship, signed, staged, text_bytes, word_places
+from clickpulse.llm.common import cut_rows, mix64, scratch, ship, signed, staged, text_bytes, word_places
 
 MIN_WORDS = 20
 MOST_WORDS = 15
@@ -229,6 +229,13 @@ def repeated_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     byte and their end, each once.
     """
     ship(docs.sparkSession)
+    with scratch() as own:
+        lost = staged(_repeated_places(docs, min_words), "lost")
+        own.keep(lost)
+    return lost
+
+
+def _repeated_places(docs: DataFrame, min_words: int) -> DataFrame:
     repeated = staged(_repeated(docs, min_words), "repeated")
     found = staged(_places(docs, _bitmap(repeated), min_words), "places")
     where = F.struct("doc_id", "h", "first")
