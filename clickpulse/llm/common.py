@@ -56,6 +56,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark deletes the shuffle files of an execution at its end: what is written needs them no longer
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _OPEN = threading.local()  # the scratch scopes that this thread is in
 
 
@@ -93,8 +96,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     from clickpulse.session import scratch_path
 
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.staged_path = path
     if scopes := getattr(_OPEN, "scopes", []):

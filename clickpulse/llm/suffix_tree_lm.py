@@ -14,7 +14,10 @@ As sums: a text's score is that of its single tokens, plus the logarithm of the
 left mass of every state that a token stands after, plus a gain for every entry
 met. So states and entries are one table of (key, value), with 64-bit hashes as
 keys, and scoring is a join by key. It is built depth by depth with grouped
-sums and joins; its size follows the input. Only what has a share of ``SHARED``
+sums and joins; its size follows the input. Deep contexts concern few tokens:
+once there are less runs than a ``FEW``-th of the tokens, those tokens are cut
+out with the ``WINDOW`` tokens before them, equal ones as one row, and further
+depths read these rows instead of the texts. Only what has a share of ``SHARED``
 of the training tokens is broadcast (``1 / SHARED`` words, states of a length
 and entries of a length at most); the rest is joined. Filters of a fixed size
 that may say yes wrongly, never no, keep what can't be found from the shuffles.
@@ -30,8 +33,8 @@ no training rows, all counts are 0.
 
 from __future__ import annotations
 
-import gc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +42,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import cut_rows, first_of_each, mix64, ship, signed, staged, word_hashes
+from clickpulse.llm.common import cut_rows, first_of_each, mix64, release, scratch, ship, signed, staged, word_hashes
 
 ALPHA = 0.1
 FOLDS = 10
 SHARED = 1e-6
 DISCOUNT = 0.75
 LEAST_COUNT = 2
-WORD_BITS = 21  # words' numbers in the tree of arrays
 END = np.uint64(0x0E4D0F7E87C0DE01)
 FLUSH = 3_000_000  # distinct keys held by a counting task
 FLUSH_RUNS = 1_000_000  # distinct runs held by a counting task
+FEW = 64  # training tokens for each run of a depth, from which on windows take the texts' place
+WINDOW = 64  # depths for which one cutting of windows serves
 FILTER_BITS = 28
 FIRST_BITS = 36
 _LONGER = np.uint64(0x9E3779B97F4A7C15)
@@ -92,11 +96,12 @@ class _Counter:
     def __init__(self, buckets: int):
         self.buckets, self.held = buckets, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def add(self, keys: np.ndarray):
-        keys = np.sort(keys)
-        first = np.flatnonzero(first_of_each(keys)) if len(keys) else np.zeros(0, np.int64)
-        counts = np.diff(first, append=len(keys))
-        self.held = _summed(np.concatenate([self.held[0], keys[first]]), np.concatenate([self.held[1], counts]))
+    def add(self, keys: np.ndarray, times: np.ndarray | None = None):
+        if times is None:
+            keys = np.sort(keys)
+            first = np.flatnonzero(first_of_each(keys)) if len(keys) else np.zeros(0, np.int64)
+            keys, times = keys[first], np.diff(first, append=len(keys))
+        self.held = _summed(np.concatenate([self.held[0], keys]), np.concatenate([self.held[1], times]))
         if len(self.held[0]) > FLUSH:
             yield from self.rows()
 
@@ -148,12 +153,11 @@ def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 class Frequent:
-    """Frequent words by hash, their counts, and their numbers among the candidate contexts (-1: none)."""
+    """Frequent words by hash, and their counts."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
         order = np.argsort(words)
         self.words, self.counts, self.total = words[order], counts[order], total
-        self.context = self.counts >= LEAST_COUNT
 
     def numbers(self, tokens: np.ndarray) -> np.ndarray:
         """Each token's place among the words; -1 if it is not frequent."""
@@ -164,135 +168,6 @@ class Frequent:
         return np.where(self.words[at] == tokens, at, -1)
 
 
-def _runs(numbers: np.ndarray, at: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, index) of runs of two and of three: candidate contexts and the token after them."""
-    n = len(numbers)
-    is_context = (numbers >= 0) & context[numbers] if n else np.zeros(0, bool)
-    place = np.arange(n) - np.repeat(at[:-1], np.diff(at))
-    number = numbers.astype(np.uint64)
-    bits = np.uint64(WORD_BITS)
-    before = np.zeros(n, bool)
-    before[1:] = is_context[:-1]
-    two = np.flatnonzero(before & (place >= 1))
-    before2 = np.zeros(n, bool)
-    before2[2:] = is_context[:-2] & is_context[1:-1]
-    three = np.flatnonzero(before2 & (place >= 2))
-    one_key = number[two - 1]
-    two_key = (number[three - 2] << bits) | number[three - 1]
-    return one_key, two, two_key, three
-
-
-def run_counts(docs: DataFrame, frequent, buckets: int) -> DataFrame:
-    """Rows (depth, context, word, n): next words after candidate contexts of one and two words.
-
-    Only runs seen ``LEAST_COUNT`` times at least in all training texts.
-    """
-
-    def count(batches):
-        known = frequent.value
-        counter, bits = _Counter(buckets), np.uint64(WORD_BITS)
-        for batch in cut_rows(batches):
-            tokens, at = _tokens(_training(batch))
-            numbers = known.numbers(tokens)
-            for depth, context, where in zip((1, 2), *[iter(x) for x in _pairs(_runs(numbers, at, known.context))], strict=True):
-                good = numbers[where] >= 0
-                key = (context[good] << bits) | numbers[where[good]].astype(np.uint64)
-                yield from counter.add(key | (np.uint64(depth - 1) << np.uint64(63)))
-        yield from counter.rows()
-
-    def merge(key, table):
-        runs, n = _merge(table)
-        keep = n >= LEAST_COUNT
-        runs, n = runs[keep], n[keep]
-        bits, top = np.uint64(WORD_BITS), np.uint64(1 << 63)
-        depth = (runs >> np.uint64(63)).astype(np.int32) + 1
-        rest = runs & (top - np.uint64(1))
-        return pa.table({"depth": pa.array(depth), "context": pa.array(signed(rest >> bits)), "word": pa.array((rest & np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)), "n": pa.array(n, pa.int64())})
-
-    return docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "depth int, context long, word long, n long")
-
-
-def _pairs(runs):
-    one_key, two, two_key, three = runs
-    return (one_key, two_key), (two, three)
-
-
-# --- the tree of arrays: depth 2 at most, in one process ----------------------------------------------------------------
-
-
-class Tree:
-    """States of depth 1 and 2 with their entries, as sorted arrays."""
-
-    def __init__(self, frequent: Frequent, vocabulary: int):
-        self.frequent = frequent
-        self.base = (frequent.counts + ALPHA) / (frequent.total + ALPHA * (vocabulary + 1))
-        none = (np.zeros(0, np.uint64), np.zeros(0))
-        self.states, self.entries = {1: none, 2: none}, {1: none, 2: none}
-
-    def _find(self, table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-        """Values of keys; nan where the table has none."""
-        if not len(table[0]):
-            return np.full(len(keys), np.nan)
-        at = np.searchsorted(table[0], keys)
-        at[at == len(table[0])] = 0
-        return np.where(table[0][at] == keys, table[1][at], np.nan)
-
-    def probability(self, depth: int, context: np.ndarray, word: np.ndarray, root: np.ndarray) -> np.ndarray:
-        """P(word | context) by the longest state; ``root``: the word's probability without context."""
-        if depth == 0:
-            return root
-        mask = np.uint64((1 << WORD_BITS) - 1)
-        shorter = self.probability(depth - 1, context & mask, word, root)
-        rest = self._find(self.states[depth], context)
-        own = self._find(self.entries[depth], (context << np.uint64(WORD_BITS)) | np.where(word < 0, 0, word).astype(np.uint64))
-        own = np.where(np.isnan(own) | (word < 0), 0.0, own)
-        return np.where(np.isnan(rest), shorter, own + rest * shorter)
-
-    def grow(self, depth: int, context: np.ndarray, word: np.ndarray, n: np.ndarray, of_context: np.ndarray) -> None:
-        """Keep the contexts whose next words diverge from their suffix's.
-
-        Rows sorted by (context, word); ``of_context``: the context's own count, by row.
-        """
-        if not len(context):
-            return
-        first = np.flatnonzero(first_of_each(context))
-        size = np.diff(first, append=len(context))
-        mask = np.uint64((1 << WORD_BITS) - 1)
-        suffix = self.probability(depth - 1, context & mask, word.astype(np.int64), self.base[word])
-        total = of_context[first]
-        gain = np.add.reduceat(n * np.log(n / of_context / suffix), first)
-        left, left_suffix = total - np.add.reduceat(n, first), 1 - np.add.reduceat(suffix, first)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain += np.where((left > 0) & (left_suffix > 0), left * np.log(left / total / left_suffix), 0.0)
-        keep = gain > size * 0.5 * np.log(max(2, self.frequent.total))
-        rows = np.repeat(keep, size)
-        mass = np.maximum(0, n - DISCOUNT) / of_context
-        rest = 1 - np.add.reduceat(mass, first)
-        self.states[depth] = (context[first][keep], rest[keep])
-        self.entries[depth] = ((context[rows] << np.uint64(WORD_BITS)) | word[rows].astype(np.uint64), mass[rows])
-
-
-def build_tree(runs: DataFrame, frequent: Frequent, vocabulary: int) -> Tree:
-    """The tree of one and two words from counted runs; all of them reach this process."""
-    found = runs.toArrow()
-    columns = {c: found.column(c).to_numpy() for c in ("depth", "context", "word", "n")}
-    tree = Tree(frequent, vocabulary)
-    counted = (np.zeros(0, np.uint64), np.zeros(0))
-    for depth in (1, 2):
-        own = np.flatnonzero(columns["depth"] == depth)
-        own = own[np.lexsort((columns["word"][own], columns["context"][own]))]
-        context, word, n = columns["context"][own].astype(np.uint64), columns["word"][own], columns["n"][own].astype(np.float64)
-        if depth == 1:
-            of_context = frequent.counts[context.astype(np.int64)].astype(np.float64) if len(context) else n
-            counted = ((context << np.uint64(WORD_BITS)) | word.astype(np.uint64), n)
-        else:
-            of_context = tree._find(counted, context)
-            keep = of_context >= LEAST_COUNT
-            context, word, n, of_context = context[keep], word[keep], n[keep], of_context[keep]
-        tree.grow(depth, context, word, n, of_context)
-    return tree
-
-
 # --- the tree as a table ------------------------------------------------------
 
 
@@ -328,13 +203,14 @@ def _entry(context, up):
     return context.bitwiseXOR(F.shiftleft(up, 17).bitwiseOR(F.shiftrightunsigned(up, 47)))
 
 
-def _deeper(tokens: np.ndarray, at: np.ndarray, filters: list):
+def _deeper(tokens: np.ndarray, at: np.ndarray, filters: list, where: np.ndarray | None = None):
     """(position, context, entry, entry of the context's suffix) of tokens, one array each, for every depth.
 
-    Each depth has the tokens whose contexts up to this depth pass the filters; one depth more than there are filters.
+    ``where``: the positions asked for, all if not given. Each depth has the tokens whose contexts up to this depth pass the filters; one depth more than there are filters.
     """
     place = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
-    where, context, entry = np.arange(len(tokens)), np.zeros(len(tokens), np.uint64), tokens
+    where = np.arange(len(tokens)) if where is None else where
+    context, entry = np.zeros(len(where), np.uint64), tokens[where]
     for depth in range(1, len(filters) + 2):
         good = place[where] >= depth
         where, context, up = where[good], context[good], entry[good]
@@ -353,30 +229,61 @@ def _summed_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
     return [*[c[order[first]] for c in columns[:-1]], np.add.reduceat(columns[-1][order], first) if len(first) else columns[-1]]
 
 
-def _candidates(batch: pa.RecordBatch, filters: list, entries) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts of all training tokens one deeper than the filters; entry, context and suffix's entry where that may be one."""
+def _source(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray]:
+    """(tokens, offsets of rows, positions that count or None for all, how often each position counts) of texts or windows."""
+    if "window" in batch.schema.names:
+        own = [x.as_buffer() for x in batch.column("window")]
+        at = np.concatenate([[0], np.cumsum([x.size // 8 for x in own])]).astype(np.int64)
+        tokens = np.frombuffer(b"".join(own), "<u8")
+        return tokens, at, at[1:] - 1, np.repeat(batch.column("n").to_numpy(), np.diff(at))
     tokens, at = _tokens(_training(batch))
-    *_, (_, context, entry, up) = _deeper(tokens, at, filters)
+    return tokens, at, None, np.ones(len(tokens), np.int64)
+
+
+def _candidates(batch: pa.RecordBatch, filters: list, entries) -> tuple:
+    """(context, times) of all training tokens one deeper than the filters; (entry, context, suffix's entry, times) where that may be one."""
+    tokens, at, where, times = _source(batch)
+    *_, (where, context, entry, up) = _deeper(tokens, at, filters, where)
     good = entries.has(up) if entries else np.ones(len(up), bool)
-    return context, entry[good], context[good], up[good]
+    return (context, times[where]), (entry[good], context[good], up[good], times[where[good]])
+
+
+def windows(docs: DataFrame, filters, left: int) -> DataFrame:
+    """Rows (window, n): each training token that stands after a state of the last filter's depth, with ``left`` tokens before it.
+
+    Equal windows are one row; ``n`` says how many there are. Their last tokens are all that deeper contexts can concern.
+    """
+
+    def cut(batches):
+        for batch in cut_rows(batches):
+            tokens, at = _tokens(_training(batch))
+            *_, (deep, _, _, _) = _deeper(tokens, at, filters.value)  # with one token more before them at least
+            first = np.maximum(np.repeat(at[:-1], np.diff(at))[deep], deep - left)
+            raw = Counter(tokens[a : b + 1].astype("<u8").tobytes() for a, b in zip(first.tolist(), deep.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(list(raw), pa.binary()), pa.array(list(raw.values()), pa.int64())], ["window", "n"])
+
+    return docs.mapInArrow(cut, "window binary, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
 
-def repeated(docs: DataFrame, found, most: int, buckets: int) -> Filter:
+def repeated(docs: DataFrame, found, buckets: int) -> Filter:
     """Filter of the runs and contexts that stand ``LEAST_COUNT`` times at least, counted by the first bits of their keys."""
     cut = np.uint64(64 - FIRST_BITS)
 
     def count(batches):
         counter = _Counter(buckets)
         for batch in cut_rows(batches):
-            context, entry, _, _ = _candidates(batch, *found.value)
-            yield from counter.add(np.concatenate([context, entry]) >> cut)
+            (context, times), (entry, _, _, entry_times) = _candidates(batch, *found.value)
+            yield from counter.add(*_summed(np.concatenate([context, entry]) >> cut, np.concatenate([times, entry_times])))
         yield from counter.rows()
 
     def merge(key, table):
         keys, n = _merge(table)
         return pa.table({"key": pa.array(signed(keys[n >= LEAST_COUNT] << cut), pa.int64())})
 
-    return _filter(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "key long"), most)
+    seen = staged(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "key long"), "repeated")
+    out = _filter(seen, seen.count())
+    release(seen)
+    return out
 
 
 def deeper_runs(docs: DataFrame, found, again) -> DataFrame:
@@ -396,11 +303,11 @@ def deeper_runs(docs: DataFrame, found, again) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["context", "up", "n"])
 
         for batch in cut_rows(batches):
-            contexts, entry, context, up = _candidates(batch, *found.value)
-            contexts = contexts[again.value.has(contexts)]
-            good = again.value.has(entry)
-            columns = [np.concatenate(x) for x in ((contexts, entry[good]), (contexts, context[good]), (np.zeros(len(contexts), np.uint64), up[good]))]
-            held.append(_summed_rows([*columns, np.ones(len(columns[0]), np.int64)]))
+            (contexts, times), (entry, context, up, entry_times) = _candidates(batch, *found.value)
+            held_too, good = again.value.has(contexts), again.value.has(entry)
+            contexts = contexts[held_too]
+            columns = ((contexts, entry[good]), (contexts, context[good]), (np.zeros(len(contexts), np.uint64), up[good]), (times[held_too], entry_times[good]))
+            held.append(_summed_rows([np.concatenate(x) for x in columns]))
             size += len(held[-1][0])
             if size > FLUSH_RUNS:
                 held = [_summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])]
@@ -424,11 +331,23 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
     below = counts.select(F.col("word").alias("up"), ((F.col("n") + F.lit(ALPHA)) / F.lit(total + ALPHA * (vocabulary + 1))).alias("below"))
     cost = 0.5 * float(np.log(max(2, total)))
     tables, filters, met = [], [], None
+    few, reach = None, 0  # once there are few runs: windows of the texts, and up to which depth they tell all
     while True:
+        if few is not None and len(filters) >= reach:
+            release(few)
+            few = None
+        if few is None and filters and size_of_runs * FEW < total:
+            reach = len(filters) + WINDOW
+            last = sc.broadcast(list(filters))
+            few = staged(windows(docs, last, reach), "windows")
+            last.destroy()
         known = sc.broadcast((list(filters), met))
-        found = staged(deeper_runs(docs, known, sc.broadcast(repeated(docs, known, total, buckets))), "runs")
-        gc.collect()
-        sc._jvm.System.gc()  # shuffle files of what is written go
+        source = docs if few is None else few
+        again = sc.broadcast(repeated(source, known, buckets))
+        found = staged(deeper_runs(source, known, again), "runs")
+        for shared in (known, again):
+            shared.destroy()
+        size_of_runs = found.count()
         runs = found.where("up <> 0").join(below, "up")
         n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
         sums = runs.groupBy("context").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("gain"), F.sum("n").alias("n"), F.sum("below").alias("below"))
@@ -438,10 +357,12 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
         states = staged(sums.where(gain > F.col("size") * F.lit(cost)).select("context", "total", rest.alias("rest")), "states")
         size = states.count()
         if not size:
+            release(found, states, *([] if few is None else [few]))
             return tables, filters
         passed = F.col("rest") * F.col("below")
         p = (F.col("n") - F.lit(DISCOUNT)) / F.col("total") + passed
         entries = staged(found.where("up <> 0").join(states, "context").join(below, "up").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value")), "entries")
+        release(found)
         tables.append(states.select(F.col("context").alias("key"), F.log10("rest").alias("value"), F.col("total").alias("n")).unionByName(entries.select("key", "value", "n")))
         filters.append(_filter(states.select(F.col("context").alias("key")), size))
         met = _filter(entries.select("key"), entries.count())
@@ -542,7 +463,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     for t in tables:
         rest = rest.unionByName(t.where(F.col("n") < least).select("key", "value"))
     model = Model(frequent, norm, keys, values, filters, _filter(rest.select("key"), rest.count()))
-    rows = staged(_scored(docs, spark.sparkContext.broadcast(model)), "scored")
+    shared_model = spark.sparkContext.broadcast(model)
+    rows = staged(_scored(docs, shared_model), "scored")
+    shared_model.destroy()
 
     asked = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("m"))
     met = asked.join(others.unionByName(rest.withColumn("word", F.lit(0))), "key")

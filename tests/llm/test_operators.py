@@ -391,19 +391,28 @@ def test_tree_distributions_sum_to_one(spark):
 
     rows = [(i, " ".join(random.Random(i % 7).choices(["a", "b", "c", "d", "e"], [5, 4, 3, 2, 1], k=60)) + " a b a b x") for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    counts = lm.word_counts(docs, 8).toPandas()
-    total = int(counts["n"].sum())
-    frequent = lm.Frequent(counts["word"].to_numpy().view(np.uint64), counts["n"].to_numpy(), total)
-    lm_runs = lm.run_counts(docs, spark.sparkContext.broadcast(frequent), 8)
-    tree = lm.build_tree(lm_runs, frequent, len(counts))
-    assert len(tree.states[1][0]) and len(tree.states[2][0])
-    words = np.arange(len(counts))
-    spare = lm.ALPHA / (total + lm.ALPHA * (len(counts) + 1))
-    for depth in (1, 2):
-        for context, rest in zip(*tree.states[depth], strict=True):
-            p = tree.probability(depth, np.full(len(words), context, np.uint64), words, tree.base)
-            unseen = tree.probability(depth, np.array([context], np.uint64), np.array([-1]), np.array([spare]))[0]
-            assert math.isclose(p.sum() + unseen, 1, rel_tol=1e-9) and 0 < rest <= 1
+    counts = lm.word_counts(docs, 8)
+    words, n = (np.array(x) for x in zip(*counts.collect(), strict=True))
+    words, total, vocabulary = words.astype(np.int64).view(np.uint64), int(n.sum()), len(n)
+    norm = total + lm.ALPHA * (vocabulary + 1)
+    base, unseen = (n + lm.ALPHA) / norm, lm.ALPHA / norm
+    tables, filters = lm.grow(docs, counts, total, vocabulary, 8)
+    assert len(tables) == len(filters) > 1
+    value = {r["key"] & (2**64 - 1): r["value"] for t in tables for r in t.collect()}
+    states = 0
+    for one in words:
+        for two in words:  # P(word | two, one) by the longest state
+            text = np.stack([np.full(len(words), two), np.full(len(words), one), words], 1).ravel()
+            p, rest = base.copy(), unseen
+            for (where, context, entry, _), _ in zip(lm._deeper(text, np.arange(0, len(text) + 1, 3), filters[:2], np.arange(2, len(text), 3)), range(2), strict=False):
+                state = value.get(int(context[0])) if len(context) else None
+                if state is None:
+                    break
+                states += 1
+                p *= 10.0 ** (state + np.array([value.get(int(e), 0.0) for e in entry]))
+                rest *= 10.0**state
+            assert math.isclose(p.sum() + rest, 1, rel_tol=1e-9)
+    assert states > len(words)
 
 
 def plain_tree_scores(rows) -> dict:
@@ -463,6 +472,11 @@ def test_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
     monkeypatch.setattr(lm, "SHARED", share)  # 2: all by joins
     got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(math.isclose(got[d], want[d], rel_tol=1e-9) for d, _ in rows)
+    # the tree from windows alone, cut again at every second depth
+    monkeypatch.setattr(lm, "FEW", 0)
+    monkeypatch.setattr(lm, "WINDOW", 2)
+    again = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(math.isclose(again[d], want[d], rel_tol=1e-9) for d, _ in rows)
 
 
 # --- neighbours ------------------------------------------------------------------
