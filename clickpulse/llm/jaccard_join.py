@@ -217,19 +217,18 @@ def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int, n
     of = lambda end, n, sig: members.select(F.col("class").alias(end), F.col("n").alias(n), F.col("signature").alias(sig))
     both = pairs.join(of("a", "n", "s"), "a").join(of("b", "m", "t"), "b")
     near = staged(both.where(_may_link(num, den)).select("a", "b"), "pairs")
-    # classes of one candidate component meet in blocks of BLOCK: a set travels once for each of its component's blocks
+    # classes of one candidate component meet in blocks of BLOCK: a set travels once for each block it has a pair with
     found = components(near).select(F.col("node").alias("class"), "root")
     sizes = found.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
     placed = staged(found.join(sizes, "root").withColumn("sub", F.pmod(F.xxhash64("class"), F.col("blocks"))), "placed")
     wanted = placed.join(members.select("class", "doc_id"), "class").select("class", "doc_id")
-    sets = _class_sets(docs, staged(wanted, "ends"), words).join(placed, "class")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    sets = sets.select("class", "tokens", "root", "sub", other)
     key = lambda x, y: [F.least(x, y).alias("lo"), F.greatest(x, y).alias("hi")]
-    sets = sets.select(F.col("root").alias("comp"), *key("sub", "other"), "class", "tokens")
     one = placed.select(F.col("class").alias("a"), "root", F.col("sub").alias("sub_a"))
     two = placed.select(F.col("class").alias("b"), F.col("sub").alias("sub_b"))
     asked = near.join(one, "a").join(two, "b").select(F.col("root").alias("comp"), *key("sub_a", "sub_b"), "a", "b")
+    # a set goes to the pairs of blocks in which it is asked for, not to all of its component
+    goes = staged(asked.select("comp", "lo", "hi", F.explode(F.array("a", "b")).alias("class")).distinct(), "goes")
+    sets = _class_sets(docs, staged(wanted, "ends"), words).join(goes, "class").select("comp", "lo", "hi", "class", "tokens")
 
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         own = dict(zip(left.column("class").to_pylist(), left.column("tokens"), strict=True))
