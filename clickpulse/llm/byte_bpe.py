@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 # fixed value: the pattern by which byte-level BPE cuts a text before merging
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -30,18 +31,25 @@ class ByteTokenizer:
     """``encode(texts)``: ids of each text; strings of special tokens inside texts are plain text if ``plain_special``."""
 
     def __init__(self, path: str, plain_special: bool = True):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = plain_special
-        spec = json.loads(self.slow.to_str())
-        self.added = {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.path, self.plain_special = path, plain_special
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.added = {t["id"]: t["content"] for t in spec.get("added_tokens") or []}
         self.special = [] if plain_special else list(self.added.values())
-        self.vocabulary: dict[str, int] = self.slow.get_vocab()
+        self.vocabulary: dict[str, int] = {**spec["model"]["vocab"], **{t: i for i, t in self.added.items()}}
         #: whether a text can be cut before a space between two other characters
-        self.cuts = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", False) and not spec.get("normalizer")
+        self.cuts = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", True) and not spec.get("normalizer")
         self.fast = self._fast(spec)
 
+    @cached_property
+    def slow(self):
+        """The other library's tokenizer: each worker holds it from the first text that asks for it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.encode_special_tokens = self.plain_special
+        return out
+
     def _fast(self, spec: dict):
         import tiktoken
 
@@ -51,7 +59,7 @@ class ByteTokenizer:
         if any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
             return None
         alphabet = byte_alphabet()
-        made = [self.vocabulary["".join(m)] for m in model["merges"]]
+        made = [self.vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         single = [i for t, i in self.vocabulary.items() if len(t) == 1]
         if made != sorted(set(made)) or len(single) != 256 or max(single) >= min(made, default=1 << 32):
             return None

@@ -214,6 +214,19 @@ def test_byte_bpe_equals_the_library():
     assert ByteTokenizer(vocabulary("word_bpe_49k.json")).fast is None
 
 
+def test_latin_texts_leave_the_second_tokenizer_unread():
+    from clickpulse.llm.byte_bpe import ByteTokenizer
+    from clickpulse.llm.queries import vocabulary
+
+    own, lib = ByteTokenizer(vocabulary("byte_bpe_50k.json"), plain_special=False), library("byte_bpe_50k.json")
+    assert own.vocabulary == lib.get_vocab()
+    ids = lambda t: lib.encode(t, add_special_tokens=False).ids
+    assert own.encode(["Plain words, 12\n", ""]) == [ids("Plain words, 12\n"), []]
+    assert "slow" not in vars(own)  # memory that a worker of the pipeline does not have to spare
+    assert own.encode(["Ωmega", "plain"]) == [ids("Ωmega"), ids("plain")]
+    assert "slow" in vars(own)
+
+
 def test_table_of_chunks_is_bounded(monkeypatch):
     from clickpulse.llm import token_alignment as ta
     from clickpulse.llm.queries import vocabulary
