@@ -127,6 +127,23 @@ def test_hot_session_is_spread_over_keys(spark):
     assert co.filter((F.col("product_a") == 1) & (F.col("product_b") == 2)).first().co_occurrences == 2
 
 
+def test_tasks_of_the_pairs_grow_with_the_rows(spark, monkeypatch):
+    from clickpulse.plans import tuning
+
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    baskets = spark.createDataFrame([(s, (s * k) % 50) for s in range(200) for k in (1, 3, 7)] + [(None, 4), (5, None)], "basket_id long, product_id long")
+    want = [tuple(r) for r in affinity.product_affinity(baskets, session="basket_id", types=None, n=40).collect()]
+    monkeypatch.setattr(tuning, "TASK_ROWS", 20)
+    seen = []
+    monkeypatch.setattr(affinity, "cut_lineage", lambda df: (seen.append([spark.conf.get(k) for k in keys[:2]]), tuning.cut_lineage(df))[1])
+    for run in (affinity.product_affinity, affinity.pruned_affinity):
+        seen.clear()
+        assert [tuple(r) for r in run(baskets, session="basket_id", types=None, n=40).collect()] == want
+        assert max(int(tasks) for tasks, merged in seen if merged == "false") >= 25  # about 590 rows
+        assert [spark.conf.get(k) for k in keys] == before
+
+
 def test_basket_affinity_without_event_type(spark):
     rows = [(1, 10), (1, 11), (2, 10), (2, 11), (3, 12)]
     baskets = spark.createDataFrame(rows, "basket_id long, product_id long")
