@@ -269,3 +269,15 @@ def test_stream_cli_expiring_from_files(spark, tmp_dir):
     runner.join(timeout=60)
     (row,) = stream_live.read_live_pieces(spark, f"{tmp_dir}/t").collect()
     assert (row.session_id, row.event_count, row.expired) == ("s1", 1, False)
+
+
+def test_large_dimension_is_not_sent_with_each_micro_batch(spark, monkeypatch, tmp_path):
+    from clickpulse.plans import tuning
+
+    dim = spark.range(30).select(F.col("id").alias("product_id"), F.format_string("a.%s", "id").alias("category_code"))
+    spark.range(40).select(F.col("id").alias("product_id")).write.parquet(str(tmp_path / "facts"))
+    facts = spark.readStream.schema("product_id long").parquet(str(tmp_path / "facts"))
+    plan = lambda: facts.join(tuning.dimension_side(dim, facts, "product_id"), "product_id", "left")._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan()
+    monkeypatch.setattr(tuning, "STREAM_BROADCAST_ROWS", 20)
+    assert "broadcast" not in plan() and "merge" in plan()
