@@ -297,6 +297,20 @@ def test_ids_of_all_words_of_a_table():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.ids([t or "" for t in texts])] == want
 
 
+def test_latin_words_are_merged_by_rank(monkeypatch):
+    from clickpulse.llm.byte_ids import ChunkedTokenizer
+    from clickpulse.llm.queries import vocabulary
+
+    own, sent = ChunkedTokenizer(vocabulary("word_bpe_49k.json")), []
+    encoded = own._encoded
+    monkeypatch.setattr(own, "_encoded", lambda parts: sent.extend(parts) or encoded(parts))
+    texts = ["Straße, élève.  ÉCOLE'S año", "Straße ½ <|ENDOFTEXT|> a<|endoftext|>É", ""]
+    want = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts[:1] + texts[2:])] == want[:1] + want[2:]
+    assert set(sent) == {",", ".", "'s"}  # the library sees signs alone
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == want
+
+
 # --- spans -----------------------------------------------------------------------
 
 
