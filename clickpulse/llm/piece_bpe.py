@@ -29,6 +29,10 @@ MARK = "▁"
 KEEP = 1_000_000  # units in the table before it is emptied
 KEEP_PAIRS = 1_000_000
 KEEP_CHARS = 64  # longer units are not kept
+_PARTS = re.compile(rf"{MARK}*[^\W\d_²³¹]+|[\W\d_²³¹]+")  # letters, with space marks in front, and what is between them
+_LETTER = re.compile(r"[^\W\d_²³¹]")
+ODD = 1 << 24  # and a character's number: its code where the model has no piece for it
+NO_MATCH = (-2, (1, -1))
 
 
 class PieceModel:
@@ -45,6 +49,7 @@ class PieceModel:
                 continue
             self.ids[sp.id_to_piece(i)] = i
             self.score[sp.id_to_piece(i)] = sp.get_score(i)
+        self.size = sp.get_piece_size()
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.fallback = all(sp.is_byte(i) for i in self.bytes)
         self.unknown, self.end = sp.unk_id(), sp.eos_id()
@@ -53,6 +58,8 @@ class PieceModel:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.ids)
+        letter = {c: bool(_LETTER.match(c)) for p in self.ids for c in p}
+        self.parted = not any(MARK not in (a, b) and letter[a] != letter[b] for p in self.ids for a, b in zip(p, p[1:], strict=False))
         self.numbered = ahocorasick.Automaton()  # piece -> (size, id)
         for p, i in self.ids.items():
             self.numbered.add_word(p, (len(p), i))
@@ -62,7 +69,7 @@ class PieceModel:
         self.odd = re.compile(f"([^{re.escape(''.join(sorted(self.letters)))}])")  # a character that no piece holds
         self._id_fits: dict[int, bool] = {}
         self._fits: dict[tuple[str, str], bool] = {}
-        self._shorter: dict[str, int] = {}
+        self._shorter: dict[int, tuple[int, int]] = {}
         self._units: dict[str, object] = {}
 
     def normalize(self, text: str) -> str:
@@ -83,6 +90,10 @@ class PieceModel:
                 run = ""
         return out + [run] if run else out
 
+    def parts(self, unit: str) -> list[str]:
+        """A unit cut where letters meet other signs, if no piece holds both: ids and text are those of the parts in a row."""
+        return _PARTS.findall(unit) if self.parted and self.splits else [unit]
+
     def fine_units(self, normals: list[str]) -> tuple[pa.Array, np.ndarray]:
         """(units of all normalized texts in a row, offsets of each text's), cut further around each character that no piece holds."""
         rows = [self._marked(n) for n in normals]
@@ -125,53 +136,81 @@ class PieceModel:
             known = self._fits[left, right] = self.merged(left + right) == [left, right]
         return known
 
-    def shorter(self, piece: str) -> int:
-        """Length of the next shorter piece that begins this one (a single character always counts)."""
-        n = self._shorter.get(piece)
-        if n is None:
+    def _name(self, code: int) -> str:
+        return self.names[code] if code < ODD else chr(code - ODD)
+
+    def _fit(self, pair: int) -> bool:
+        """Whether two neighbours fit, given as ``left << 32 | right``."""
+        known = self._id_fits.get(pair)
+        if known is None:
+            if len(self._id_fits) > KEEP_PAIRS:
+                self._id_fits.clear()
+            left, right = self._name(pair >> 32), self._name(pair & 0xFFFFFFFF)
+            known = self._id_fits[pair] = self.merged(left + right) == [left, right]
+        return known
+
+    def _shorter_of(self, code: int) -> tuple[int, int]:
+        """(size, code) of the next shorter piece that begins this one (a single character always counts); size 0 if none."""
+        found = self._shorter.get(code)
+        if found is None:
+            piece = self._name(code)
             n = len(piece) - 1
             while n > 1 and piece[:n] not in self.ids:
                 n -= 1
-            self._shorter[piece] = n
-        return n
+            found = self._shorter[code] = (n, self.ids.get(piece[:n], ODD + ord(piece[0])) if n else -1)
+        return found
 
-    def encode(self, unit: str) -> list[str]:
-        """The unit's pieces (a single character may be none of the model's) by backtracking."""
-        n, fits, fit = len(unit), self._fits.get, self.fit
+    def codes(self, unit: str) -> list[int]:
+        """The ids of the unit's pieces by backtracking; ``ODD`` and its number for a character that is no piece."""
+        n, fits, fit, shorter = len(unit), self._id_fits.get, self._fit, self._shorter_of
         failed = 0  # bit p: nothing encodes the unit from p on
-        out: list[str] = []
+        out: list[int] = []
+        sizes: list[int] = []
         # leftmost-longest matches run on by themselves until a shorter piece is taken
-        matches, end, at, size, fresh = self.automaton.iter_long(unit), -1, 0, 0, True
+        matches, end, at = self.numbered.iter_long(unit), -1, 0
+        size, code, fresh = 0, -1, True
         while at < n:
             if fresh:
                 if end + 1 != at:
-                    matches = self.automaton.iter_long(unit, at)
-                end, size = next(matches, (-2, 1))
+                    matches = self.numbered.iter_long(unit, at)
+                end, (size, code) = next(matches, NO_MATCH)
                 if end - size + 1 != at:  # no piece begins here: the character alone
-                    end, size = -2, 1
+                    end, size, code = -2, 1, ODD + ord(unit[at])
                 fresh = False
             while size:
-                piece = unit[at : at + size]
                 if not (failed and failed >> (at + size) & 1):
-                    good = not out or fits((out[-1], piece))
+                    if not out:
+                        break
+                    pair = out[-1] << 32 | code
+                    good = fits(pair)
                     if good is None:
-                        good = fit(out[-1], piece)
+                        good = fit(pair)
                     if good:
                         break
-                size = self.shorter(piece)
+                size, code = shorter(code)
             if size:
-                out.append(piece)
+                out.append(code)
+                sizes.append(size)
                 at += size
                 fresh = True
             else:
                 failed |= 1 << at
                 if not out:
                     raise ValueError(f"no encoding of {unit!r}")
-                last = out.pop()
-                at -= len(last)
-                size, end = self.shorter(last), -2
+                at -= sizes.pop()
+                size, code = shorter(out.pop())
+                end = -2
         return out
 
+    def encode(self, unit: str) -> list[str]:
+        """The unit's pieces (a single character may be none of the model's) by backtracking."""
+        return [self._name(c) for c in self.codes(unit)]
+
+    def encode_ids(self, unit: str) -> list[int]:
+        """The unit's ids by backtracking."""
+        codes = self.codes(unit)
+        return codes if max(codes, default=0) < ODD else self.piece_ids([self._name(c) for c in codes])
+
     def prefix_counts(self, unit: str) -> list[int]:
         """Token counts of the unit's prefixes of 0, 1, 2, ... characters."""
         ends: list[list[int]] = [[] for _ in unit]
@@ -225,9 +264,7 @@ class PieceModel:
                     pair = last[start] << 32 | piece
                     good = fits(pair)
                     if good is None:
-                        if len(self._id_fits) > KEEP_PAIRS:
-                            self._id_fits.clear()
-                        good = self._id_fits[pair] = self.fit(self.names[last[start]], self.names[piece])
+                        good = self._fit(pair)
                     if not good:
                         continue
                 counts.append(counts[start] + 1)
@@ -242,6 +279,9 @@ class PieceModel:
         return 1 if piece in self.ids or not self.fallback else len(piece.encode())
 
     def piece_ids(self, pieces: list[str]) -> list[int]:
+        found = list(map(self.ids.get, pieces))
+        if None not in found:
+            return found
         out: list[int] = []
         for p in pieces:
             i = self.ids.get(p)
@@ -255,6 +295,10 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids: space marks as spaces, byte pieces joined, without the space put in front."""
+        plain = [self.plain[i] for i in ids]
+        if None not in plain:
+            text = "".join(plain)
+            return text[1:] if text.startswith(" ") else text
         sp, out, run = self.sp, [], bytearray()
         for i in ids:
             if (plain := self.plain[i]) is not None:
@@ -277,18 +321,22 @@ class PieceModel:
         return text[1:] if text.startswith(" ") else text
 
     def kept(self, make):
-        """A function from a unit to ``make(unit)`` that remembers short units."""
+        """A function from units to their ``make(unit)`` that remembers short units."""
         table: dict[str, object] = {}
 
-        def look(unit: str):
-            value = table.get(unit)
-            if value is None:
-                value = make(unit)
-                if len(unit) <= KEEP_CHARS:
-                    if len(table) >= KEEP:
-                        table.clear()
-                    table[unit] = value
-            return value
+        def look(units: list[str]) -> list:
+            found = list(map(table.get, units))
+            if None in found:
+                own: dict[str, object] = {}  # of this call's new units
+                for i, unit in enumerate(units):
+                    if found[i] is None:
+                        if unit not in own:
+                            own[unit] = make(unit)
+                        found[i] = own[unit]
+                if len(table) + len(own) > KEEP:
+                    table.clear()
+                table.update((u, value) for u, value in own.items() if len(u) <= KEEP_CHARS)
+            return found
 
         return look
 

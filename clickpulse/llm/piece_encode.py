@@ -25,9 +25,9 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def run(batches):
         model = piece_model(model_path)
-        look = model.kept(lambda unit: model.piece_ids(model.encode(unit)))
+        look = model.kept(model.encode_ids)
         for batch in cut_rows(batches):
-            ids = [[i for u in model.units(model.normalize(t)) for i in look(u)] + [model.end] for t in texts(batch, "text")]
+            ids = [[i for found in look(model.units(model.normalize(t))) for i in found] + [model.end] for t in texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -60,18 +60,22 @@ def encode_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
         model = piece_model(model_path)
 
         def digest(unit: str) -> tuple[int, bytes, bytes]:
-            ids = model.piece_ids(model.encode(unit))
+            if len(parts := model.parts(unit)) > 1:
+                made = look(parts)
+                return sum([m[0] for m in made]), b"".join([m[1] for m in made]), b"".join([m[2] for m in made])
+            ids = model.encode_ids(unit)
             # a unit's byte pieces are whole characters, so units decode one by one
             text = model.decode(ids)
             if unit.startswith(MARK):
                 text = " " + text
-            return len(ids), "".join(f"{i} " for i in ids).encode(), text.encode()
+            return len(ids), b"".join([numbers[i] for i in ids]), text.encode()
 
+        numbers = [f"{i} ".encode() for i in range(model.size)]
         look, end = model.kept(digest), str(model.end).encode()
         for batch in cut_rows(batches):
             out: tuple[list, list, list] = ([], [], [])
             for text in texts(batch, "text"):
-                found = [look(u) for u in model.units(model.normalize(text))]
+                found = look(model.units(model.normalize(text)))
                 decoded = b"".join([f[2] for f in found])
                 out[0].append(sum([f[0] for f in found]) + 1)
                 out[1].append(hashlib.sha256(b"".join([f[1] for f in found]) + end).hexdigest())

@@ -311,6 +311,20 @@ def test_latin_words_are_merged_by_rank(monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == want
 
 
+@given(st.lists(st.text(alphabet="abé.²!,(1 \n\u4e2d\u2581", max_size=20), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_pieces_of_a_units_parts_are_the_units(texts):
+    from clickpulse.llm.piece_bpe import piece_model
+    from clickpulse.llm.queries import vocabulary
+
+    model = piece_model(vocabulary("piece_bpe_32k.model"))
+    assert model.parts("\u2581(word.\n") == ["\u2581(", "word", ".\n"]
+    for text in texts:
+        units = model.units(model.normalize(text))
+        assert [i for u in units for p in model.parts(u) for i in model.encode_ids(p)] == model.sp.encode(text)
+        assert all("".join(model.parts(u)) == u for u in units)
+
+
 # --- spans -----------------------------------------------------------------------
 
 
