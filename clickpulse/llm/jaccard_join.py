@@ -17,7 +17,9 @@ The order comes from counts of all documents' tokens in a table of fixed size,
 summed over all tasks; any order gives the same links. Before whole sets are
 fetched, a pair's signatures (how often each of ``PARITY`` hash values occurs in
 a set, modulo 2) must differ in no more bits than linked sets can differ in
-tokens, which drops no link.
+tokens, which drops no link. Sets of more than ``PARITY`` tokens, which may
+differ in more tokens than that signature has bits, have a wide one too, of
+four bits and more for each token.
 
 Skew: documents with equal sets form one class. For a few rounds, each large
 list has a pivot of its own and each class is compared with the pivots of its
@@ -49,6 +51,7 @@ from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small,
 BUCKETS = 1 << 22  # counters of the token order: 16 MB
 SLICES = 256
 PARITY = 2048  # bits of a set's signature
+WIDEST = 1 << 22  # bits of a wide one, at most
 BLOCK = 64  # sets of a candidate component in one block
 MATCHES = 4
 VERIFY_COST = 16.0  # of one candidate, against one listed document
@@ -86,29 +89,46 @@ def _signature(own: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-FIRST = "doc_id long, h long, n long, class long, signature array<long>, slice int, counts binary"
+def _wide(own: np.ndarray) -> bytes | None:
+    """The wide signature of a long set: a power of two of bits."""
+    if len(own) <= PARITY:
+        return None
+    bits = min(WIDEST, 1 << (4 * len(own) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(24)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _wide_differ(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many bits two wide signatures differ, the longer one folded to the size of the other."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+FIRST = "doc_id long, h long, n long, class long, signature array<long>, wide binary, slice int, counts binary"
 
 
 def _first_pass(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (doc_id, h, n, class, signature) and of counters (slice, counts)."""
+    """Rows of documents (doc_id, h, n, class, signature, wide) and of counters (slice, counts)."""
     names = [x.split()[0] for x in FIRST.split(", ")]
 
     def run(batches):
         counts, seen = np.zeros(BUCKETS, np.int32), set()
         for batch in cut_rows(batches, 1 << 18):
             rows = batch.num_rows
-            sizes, classes, signatures = np.zeros(rows, np.int64), [None] * rows, [None] * rows
+            sizes, classes, signatures, wide = np.zeros(rows, np.int64), [None] * rows, [None] * rows, [None] * rows
             for row, own in _sets(batch, words):
-                sizes[row], classes[row], signatures[row] = len(own), _class_of(own), _signature(own)
+                sizes[row], classes[row], signatures[row], wide[row] = len(own), _class_of(own), _signature(own), _wide(own)
                 if classes[row] not in seen:
                     seen.add(classes[row])
                     np.add.at(counts, own & np.uint64(BUCKETS - 1), 1)
             none = [None] * rows
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(wide, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
         if counts.any():
             parts = [p.astype("<i4").tobytes() for p in counts.reshape(SLICES, -1)]
             none = pa.array([None] * SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array([None] * SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
 
     return docs.mapInArrow(run, FIRST)
 
@@ -212,11 +232,30 @@ def _may_link(num: int, den: int) -> Column:
     return (den + num) * differ <= (den - num) * (F.col("n") + F.col("m"))
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link. ``members``: class, n, signature, and the doc_id of one of its documents."""
+def _wide_near(pairs: DataFrame, wide: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of long sets, of ``n`` and ``m`` tokens, whose wide signatures (class, wide) leave a link possible."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    own = staged(wide.join(ends, "class", "left_semi").dropDuplicates(["class"]), "wide")
+    of = lambda end, x: own.select(F.col("class").alias(end), F.col("wide").alias(x))
+
+    def check(batches):
+        for batch in cut_rows(batches):
+            sides = zip(batch.column("x"), batch.column("y"), strict=True)
+            differ = np.array([_wide_differ(*[np.frombuffer(x.as_buffer(), np.uint8) for x in side]) for side in sides], np.int64)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array((den + num) * differ <= (den - num) * sizes))
+
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").mapInArrow(check, "a long, b long")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, members: DataFrame, wide: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link. ``members``: class, n, signature, and the doc_id of one of its documents; ``wide``: class and wide signature."""
     of = lambda end, n, sig: members.select(F.col("class").alias(end), F.col("n").alias(n), F.col("signature").alias(sig))
     both = pairs.join(of("a", "n", "s"), "a").join(of("b", "m", "t"), "b")
-    near = staged(both.where(_may_link(num, den)).select("a", "b"), "pairs")
+    near = staged(both.where(_may_link(num, den)).select("a", "b", "n", "m"), "pairs")
+    long = F.least("n", "m") > PARITY
+    if not near.where(long).isEmpty():
+        near = staged(near.where(~long).select("a", "b").unionByName(_wide_near(near.where(long), wide, num, den)), "pairs")
     # classes of one candidate component meet in blocks of BLOCK: a set travels once for each block it has a pair with
     found = components(near).select(F.col("node").alias("class"), "root")
     sizes = found.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
@@ -272,6 +311,7 @@ def _linked_classes(docs: DataFrame, first: DataFrame, words: int, num: int, den
     members = first.where("class is not null and doc_id is not null").select("doc_id", "class", "n", "signature")
     least = members.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     members = staged(members.join(least, ["class", "doc_id"]).dropDuplicates(["class"]), "members")
+    wide = first.where("wide is not null").select("class", "wide")
     excess = _excess(_token_counts(first.where("slice is not null").select("slice", "counts")))
     prefixes = staged(_postings(docs, excess, words, num, den), "prefixes")
     listed = staged(_listed(prefixes), "postings")
@@ -299,7 +339,7 @@ def _linked_classes(docs: DataFrame, first: DataFrame, words: int, num: int, den
         star = large.join(pivots, "token").where(alike & (F.col("root") != F.col("p_root")))
         pairs = star.select(F.least("class", "p").alias("a"), F.greatest("class", "p").alias("b")).distinct()
         with scratch() as own:
-            joined = staged(_verify(pairs, docs, members, words, num, den), "joined")
+            joined = staged(_verify(pairs, docs, members, wide, words, num, den), "joined")
             own.keep(joined)
         links = joined if links is None else staged(links.unionByName(joined), "links")
         release(now, sizes)
@@ -316,7 +356,7 @@ def _linked_classes(docs: DataFrame, first: DataFrame, words: int, num: int, den
         signed_rows = staged(signed_rows, "signed")
         met = met.unionByName(signed_rows.join(other(signed_rows, F.col("s").alias("t")), "token").where(across & _may_link(num, den)).select(*hit))
     counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
-    rest = staged(_verify(counted.where("hits >= need").select("a", "b"), docs, members, words, num, den), "joined")
+    rest = staged(_verify(counted.where("hits >= need").select("a", "b"), docs, members, wide, words, num, den), "joined")
     links = rest if links is None else links.unionByName(rest)
     return components(links).select(F.col("node").alias("class"), "root")
 

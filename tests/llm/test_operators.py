@@ -325,6 +325,21 @@ def test_pieces_of_a_units_parts_are_the_units(texts):
         assert all("".join(model.parts(u)) == u for u in units)
 
 
+def test_wide_signatures_tell_long_sets_apart(spark, tmp_path):
+    from clickpulse.llm import jaccard_join
+
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.integers(0, 1 << 63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)) for n in (6000, 6000, 4000)]
+    near = np.sort(np.concatenate([sets[0][:5400], sets[1][:300]]))
+    wide = [jaccard_join._wide(x) for x in (*sets, near)]
+    differ = lambda i, j: jaccard_join._wide_differ(*[np.frombuffer(wide[k], np.uint8) for k in (i, j)])
+    assert jaccard_join._wide(sets[0][: jaccard_join.PARITY]) is None and len(wide[2]) != len(wide[0])
+    assert differ(0, 3) <= 900 and differ(0, 0) == 0 and differ(2, 0) == differ(0, 2)
+    pairs = spark.createDataFrame([(0, 1, 6000, 6000), (0, 3, 6000, 5700), (0, 2, 6000, 4000)], "a long, b long, n long, m long")
+    rows = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(wide)], "class long, wide binary")
+    assert [(r["a"], r["b"]) for r in jaccard_join._wide_near(pairs, rows, 80, 100).collect()] == [(0, 3)]
+
+
 # --- spans -----------------------------------------------------------------------
 
 
