@@ -50,6 +50,7 @@ from clickpulse.plans.tuning import DEFAULT_BROADCAST_ROWS, broadcast_if_small,
 
 BUCKETS = 1 << 22  # counters of the token order: 16 MB
 SLICES = 256
+SOME = 8  # slices of a task's counters that leave it together
 PARITY = 2048  # bits of a set's signature
 WIDEST = 1 << 22  # bits of a wide one, at most
 BLOCK = 64  # sets of a candidate component in one block
@@ -106,6 +107,16 @@ def _wide_differ(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counters in as few bytes each as hold the largest."""
+    return counts.astype(f"<u{next(w for w in (1, 2, 4) if counts.max() < 1 << 8 * w)}").tobytes()
+
+
+def _wider(raw: pa.Buffer, n: int) -> np.ndarray:
+    """The ``n`` counters of ``_narrow``."""
+    return np.frombuffer(raw, f"<u{raw.size // n}")
+
+
 FIRST = "doc_id long, h long, n long, class long, signature array<long>, wide binary, slice int, counts binary"
 
 
@@ -125,10 +136,10 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
                     np.add.at(counts, own & np.uint64(BUCKETS - 1), 1)
             none = [None] * rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(sizes), pa.array(classes, pa.int64()), pa.array(signatures, pa.list_(pa.int64())), pa.array(wide, pa.binary()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names)
-        if counts.any():
-            parts = [p.astype("<i4").tobytes() for p in counts.reshape(SLICES, -1)]
-            none = pa.array([None] * SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * SLICES, pa.list_(pa.int64())), pa.array([None] * SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(parts)], names)
+        for at, some in enumerate(counts.reshape(-1, SOME, BUCKETS // SLICES) if counts.any() else []):  # a few at a time: all at once are 16 MB to this worker and again to the executor
+            none = pa.array([None] * SOME, pa.int64())
+            parts = pa.array([_narrow(p) for p in some], pa.binary())
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array([None] * SOME, pa.list_(pa.int64())), pa.array([None] * SOME, pa.binary()), pa.array(range(at * SOME, (at + 1) * SOME), pa.int32()), parts], names)
 
     return docs.mapInArrow(run, FIRST)
 
@@ -139,7 +150,7 @@ def _token_counts(parts: DataFrame) -> np.ndarray:
     def add(key, group):
         total = np.zeros(BUCKETS // SLICES, np.int64)
         for x in group.column("counts"):
-            total += np.frombuffer(x.as_buffer(), "<i4")
+            total += _wider(x.as_buffer(), len(total))
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([np.minimum(total, 2**31 - 1).astype("<i4").tobytes()])})
 
     rows = parts.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()

@@ -426,6 +426,33 @@ def test_passage_within_long_sentences_goes(spark):
         assert got[i][: len(a)] == a and got[i][-len(b) :] == b and len(kept) <= 20 and set(kept) <= set(passage)
 
 
+def test_counters_leave_a_task_narrow_and_whole(spark):
+    from clickpulse.llm import jaccard_join as jj
+    from clickpulse.llm.common import ship
+
+    ship(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+    rng = random.Random(9)
+    rows = [(i, " ".join(["one", "same", "start"] + [f"w{rng.randrange(10**6)}" for _ in range(40)])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    first = jj._first_pass(jj._text_rows(docs), 3).where("slice is not null").select("slice", "counts")
+    sizes = [len(r["counts"]) for r in first.collect()]
+    assert len(sizes) == jj.SLICES and sorted(sizes)[0] == jj.BUCKETS // jj.SLICES < sorted(sizes)[-1]  # one run stands 300 times
+    want = np.zeros(jj.BUCKETS, np.int64)
+    for _, own in jj._sets(pa.RecordBatch.from_pydict({"text": [t for _, t in rows]}), 3):
+        np.add.at(want, own & np.uint64(jj.BUCKETS - 1), 1)
+    assert want.max() >= 300 and (jj._token_counts(first) == want).all()
+
+
+def test_small_batches_are_put_together():
+    from clickpulse.llm.common import cut_rows
+
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(10 * i, 10 * i + 10))}) for i in range(9)]  # 80 bytes each
+    got = list(cut_rows(iter(batches), 240))
+    assert [b.num_rows for b in got] == [30, 30, 30] and [x for b in got for x in b.column("x").to_pylist()] == list(range(90))
+    assert [b.num_rows for b in cut_rows(iter(batches[:2]), 40)] == [5, 5, 5, 5] and not list(cut_rows(iter([]), 40))
+
+
 # --- suffix tree -----------------------------------------------------------------
 
 
