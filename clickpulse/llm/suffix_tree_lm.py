@@ -50,8 +50,10 @@ SHARED = 1e-6
 DISCOUNT = 0.75
 LEAST_COUNT = 2
 END = np.uint64(0x0E4D0F7E87C0DE01)
-FLUSH = 3_000_000  # distinct keys held by a counting task
-FLUSH_RUNS = 1_000_000  # distinct runs held by a counting task
+FLUSH = 1_500_000  # keys held by a counting task
+FLUSH_RUNS = 1_000_000  # runs held by a counting task
+PIECE = 1 << 20  # bytes of packed keys that leave a task together
+MOST_BUCKETS = 1 << 17
 FEW = 64  # training tokens for each run of a depth, from which on windows take the texts' place
 WINDOW = 64  # depths for which one cutting of windows serves
 FILTER_BITS = 28
@@ -82,54 +84,79 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _planes(x: np.ndarray) -> bytes:
     """An array's bytes, all first bytes, then all second bytes, and so on: what is 0 throughout compresses away."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
 
 
-def _unplanes(raw: bytes, kind) -> np.ndarray:
+def _unplanes(raw, kind) -> np.ndarray:
     wide = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(wide, -1).T).view(kind).ravel()
 
 
+def _bits(buckets: int) -> int:
+    """How many first bits of a key name its bucket."""
+    return (min(max(buckets, 1), MOST_BUCKETS) - 1).bit_length()
+
+
+def _packed(buckets: int, keys: np.ndarray, **more: np.ndarray):
+    """Rows (bucket, keys, more): a row for each range of sorted keys, in batches of about ``PIECE`` bytes."""
+    bits = _bits(buckets)
+    cuts = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)), len(keys))
+    rows, size = [], 0
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        own = slice(cuts[b], cuts[b + 1])
+        rows.append((b, _planes(np.diff(keys[own], prepend=np.uint64(0))), *[_planes(x[own]) for x in more.values()]))
+        size += sum(map(len, rows[-1][1:]))
+        if size > PIECE or cuts[b + 1] == len(keys):
+            bucket, *packed = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), *[pa.array(x, pa.binary()) for x in packed]], ["bucket", "keys", *more])
+            rows, size = [], 0
+
+
+def _unpacked(table: pa.Table, **kinds) -> list[np.ndarray]:
+    """The keys of packed rows, and their further columns."""
+    keys = np.concatenate([np.cumsum(_unplanes(x.as_buffer(), np.uint64), dtype=np.uint64) for x in table.column("keys")])
+    return [keys, *[np.concatenate([_unplanes(x.as_buffer(), kind) for x in table.column(name)]) for name, kind in kinds.items()]]
+
+
 class _Counter:
-    """Distinct keys with counts; gives them as one row for each bucket."""
+    """Distinct keys with counts; gives them as packed rows."""
 
     def __init__(self, buckets: int):
-        self.buckets, self.held = buckets, (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-
-    def add(self, keys: np.ndarray, times: np.ndarray | None = None):
-        if times is None:
-            keys = np.sort(keys)
-            first = np.flatnonzero(first_of_each(keys)) if len(keys) else np.zeros(0, np.int64)
-            keys, times = keys[first], np.diff(first, append=len(keys))
-        self.held = _summed(np.concatenate([self.held[0], keys]), np.concatenate([self.held[1], times]))
-        if len(self.held[0]) > FLUSH:
-            yield from self.rows()
+        self.buckets, self.new, self.size = buckets, [], 0
+        self.held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def rows(self):
+    def add(self, keys: np.ndarray):
+        self.new.append(keys)
+        self.size += len(keys)
+        if self.size > FLUSH:
+            self._count()
+            if len(self.held[0]) > FLUSH // 2:
+                yield from self._rows()
+
+    def _count(self):
+        keys = np.concatenate([np.zeros(0, np.uint64), *self.new])
+        self.new, self.size = [], 0
+        keys.sort()
+        first = np.flatnonzero(first_of_each(keys)) if len(keys) else np.zeros(0, np.int64)
+        own = keys[first], np.diff(first, append=len(keys))
+        self.held = _summed(*[np.concatenate(x) for x in zip(self.held, own, strict=True)]) if len(self.held[0]) else own
+
+    def _rows(self):
         keys, counts = self.held
         self.held = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        if not len(keys):
-            return
-        bucket = (mix64(keys) % np.uint64(self.buckets)).astype(np.uint32)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-        out: tuple[list, ...] = ([], [], [])
-        for b in range(self.buckets):
-            own = order[cuts[b] : cuts[b + 1]]
-            if len(own):
-                out[0].append(b)
-                out[1].append(_planes(np.diff(keys[own], prepend=np.uint64(0))))
-                out[2].append(_planes(counts[own].astype(np.uint32)))
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["bucket", "keys", "counts"])
+        yield from _packed(self.buckets, keys, counts=counts.astype(np.uint32))
+
+    def rows(self):
+        self._count()
+        yield from self._rows()
 
 
 COUNTED = "bucket int, keys binary, counts binary"
 
 
 def _merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = [np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-    counts = [_unplanes(c, np.uint32).astype(np.int64) for c in table.column("counts").to_pylist()]
-    return _summed(np.concatenate(keys), np.concatenate(counts))
+    keys, counts = _unpacked(table, counts=np.uint32)
+    return _summed(keys, counts.astype(np.int64))
 
 
 def _training(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -182,20 +209,37 @@ class Filter:
         return (self.raw[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _filter(keys: DataFrame, n: int) -> Filter:
-    """The filter of ``n`` keys (column key): 2 ** FILTER_BITS bits at most, in parts of 2 ** 16."""
+def _packed_keys(keys: DataFrame, buckets: int) -> DataFrame:
+    """Packed rows of keys (column key)."""
+
+    def pack(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch.column("key").to_numpy().view(np.uint64))
+            size += len(held[-1])
+            if size > FLUSH:
+                yield from _packed(buckets, np.sort(np.concatenate(held)))
+                held, size = [], 0
+        if held:
+            yield from _packed(buckets, np.sort(np.concatenate(held)))
+
+    return keys.select("key").mapInArrow(pack, "bucket int, keys binary")
+
+
+def _filter(packed: DataFrame, n: int, buckets: int) -> Filter:
+    """The filter of ``n`` keys in packed rows: 2 ** FILTER_BITS bits at most, a part for each bucket."""
     bits = min(FILTER_BITS, max(20, int(16 * n).bit_length()))
+    own = bits - _bits(buckets)
 
     def part(key, table):
-        at = (table.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - bits)) & np.uint64(0xFFFF)
-        marks = np.zeros(1 << 16, np.uint8)
-        marks[at] = 1
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "raw": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
-
-    parts = keys.select(F.shiftrightunsigned("key", 64 - (bits - 16)).alias("part"), "key").groupBy("part").applyInArrow(part, "part long, raw binary")
-    raw = np.zeros(1 << (bits - 3), np.uint8)
-    for r in parts.collect():  # 2 ** (FILTER_BITS - 16) rows at most
-        raw[r["part"] << 13 : (r["part"] + 1) << 13] = np.frombuffer(r["raw"], np.uint8)
+        (keys,) = _unpacked(table)
+        marks = np.zeros(1 << own, np.uint8)
+        marks[(keys >> np.uint64(64 - bits)) & np.uint64((1 << own) - 1)] = 1
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "raw": pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())})
+
+    raw, size = np.zeros(1 << (bits - 3), np.uint8), 1 << (own - 3)
+    for r in packed.select("bucket", "keys").groupBy("bucket").applyInArrow(part, "part int, raw binary").collect():  # FILTER_BITS at most
+        raw[r["part"] * size : (r["part"] + 1) * size] = np.frombuffer(r["raw"], np.uint8)
     return Filter(bits, raw)
 
 
@@ -273,53 +317,63 @@ def repeated(docs: DataFrame, found, buckets: int) -> Filter:
         counter = _Counter(buckets)
         for batch in cut_rows(batches):
             (context, times), (entry, _, _, entry_times) = _candidates(batch, *found.value)
-            yield from counter.add(*_summed(np.concatenate([context, entry]) >> cut, np.concatenate([times, entry_times])))
+            keys = np.concatenate([context, entry]) >> cut << cut
+            if "window" in batch.schema.names:  # no count beyond LEAST_COUNT is asked for
+                keys = np.repeat(keys, np.minimum(np.concatenate([times, entry_times]), LEAST_COUNT))
+            yield from counter.add(keys)
         yield from counter.rows()
 
     def merge(key, table):
         keys, n = _merge(table)
-        return pa.table({"key": pa.array(signed(keys[n >= LEAST_COUNT] << cut), pa.int64())})
+        keys = keys[n >= LEAST_COUNT]
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "size": pa.array([len(keys)], pa.int64()), "keys": pa.array([_planes(np.diff(keys, prepend=np.uint64(0)))], pa.binary())})
 
-    seen = staged(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "key long"), "repeated")
-    out = _filter(seen, seen.count())
+    seen = staged(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "bucket int, size long, keys binary"), "repeated")
+    out = _filter(seen.where("size > 0"), seen.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], buckets)
     release(seen)
     return out
 
 
-def deeper_runs(docs: DataFrame, found, again) -> DataFrame:
+def deeper_runs(docs: DataFrame, found, again, buckets: int) -> DataFrame:
     """Rows (context, up, n): runs one deeper than the filters, and with up = 0 the contexts themselves.
 
     What stands ``LEAST_COUNT`` times at least in all training texts; ``up`` is the key of the run without its first word;
-    ``_entry`` makes the run's own key.
+    ``_entry`` makes the run's own key. They are summed by that key, so that a frequent context's runs go to many buckets.
     """
 
     def count(batches):
         held, size = [], 0
 
-        def rows():
-            columns = _summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])
-            for i in range(0, len(columns[0]), 50_000):
-                arrays = [signed(np.ascontiguousarray(x[i : i + 50_000])) for x in columns[1:]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["context", "up", "n"])
+        def summed():
+            return _summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])
+
+        def rows(columns):
+            yield from _packed(buckets, columns[0], up=columns[1], n=columns[2].astype(np.uint32))
 
         for batch in cut_rows(batches):
             (contexts, times), (entry, context, up, entry_times) = _candidates(batch, *found.value)
             held_too, good = again.value.has(contexts), again.value.has(entry)
             contexts = contexts[held_too]
-            columns = ((contexts, entry[good]), (contexts, context[good]), (np.zeros(len(contexts), np.uint64), up[good]), (times[held_too], entry_times[good]))
-            held.append(_summed_rows([np.concatenate(x) for x in columns]))
+            held.append([np.concatenate([contexts, entry[good]]), np.concatenate([np.zeros(len(contexts), np.uint64), up[good]]), np.concatenate([times[held_too], entry_times[good]])])
             size += len(held[-1][0])
             if size > FLUSH_RUNS:
-                held = [_summed_rows([np.concatenate(x) for x in zip(*held, strict=True)])]
+                held = [summed()]
                 size = len(held[0][0])
                 if size > FLUSH_RUNS // 2:
-                    yield from rows()
+                    yield from rows(held[0])
                     held, size = [], 0
         if held:
-            yield from rows()
+            yield from rows(summed())
+
+    def merge(key, table):
+        keys, up, n = _unpacked(table, up=np.uint64, n=np.uint32)
+        keys, up, n = _summed_rows([keys, up, n.astype(np.int64)])
+        good = n >= LEAST_COUNT
+        keys, up, n = keys[good], up[good], n[good]
+        context = keys ^ ((up << np.uint64(17)) | (up >> np.uint64(47)))  # _entry undone
+        return pa.table({"context": pa.array(signed(context)), "up": pa.array(signed(up)), "n": pa.array(n, pa.int64())})
 
-    each = docs.mapInArrow(count, "context long, up long, n long").groupBy("context", "up")
-    return each.agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
+    return docs.mapInArrow(count, "bucket int, keys binary, up binary, n binary").groupBy("bucket").applyInArrow(merge, "context long, up long, n long")
 
 
 def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, buckets: int) -> tuple[list[DataFrame], list[Filter]]:
@@ -343,12 +397,12 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
             last.destroy()
         known = sc.broadcast((list(filters), met))
         source = docs if few is None else few
-        again = sc.broadcast(repeated(source, known, buckets))
-        found = staged(deeper_runs(source, known, again), "runs")
+        again = sc.broadcast(repeated(source, known, buckets) if few is None else Filter(20, np.full(1 << 17, 255, np.uint8)))  # windows are few: no need to keep any from the shuffle
+        found = staged(deeper_runs(source, known, again, buckets), "runs")
         for shared in (known, again):
             shared.destroy()
         size_of_runs = found.count()
-        runs = found.where("up <> 0").join(below, "up")
+        runs = staged(found.where("up <> 0").join(below, "up"), "below")
         n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
         sums = runs.groupBy("context").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("gain"), F.sum("n").alias("n"), F.sum("below").alias("below"))
         sums = sums.join(found.where("up = 0").select("context", F.col("n").alias("total")), "context")
@@ -357,15 +411,16 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
         states = staged(sums.where(gain > F.col("size") * F.lit(cost)).select("context", "total", rest.alias("rest")), "states")
         size = states.count()
         if not size:
-            release(found, states, *([] if few is None else [few]))
+            release(found, runs, states, *([] if few is None else [few]))
             return tables, filters
         passed = F.col("rest") * F.col("below")
         p = (F.col("n") - F.lit(DISCOUNT)) / F.col("total") + passed
-        entries = staged(found.where("up <> 0").join(states, "context").join(below, "up").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value")), "entries")
         release(found)
+        entries = staged(runs.join(states, "context").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value")), "entries")
+        release(runs)
         tables.append(states.select(F.col("context").alias("key"), F.log10("rest").alias("value"), F.col("total").alias("n")).unionByName(entries.select("key", "value", "n")))
-        filters.append(_filter(states.select(F.col("context").alias("key")), size))
-        met = _filter(entries.select("key"), entries.count())
+        filters.append(_filter(_packed_keys(states.select(F.col("context").alias("key")), buckets), size, buckets))
+        met = _filter(_packed_keys(entries, buckets), entries.count(), buckets)
         below = entries.select(F.col("key").alias("up"), F.col("p").alias("below"))
 
 
@@ -462,7 +517,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     rest = counts.select(F.col("word").alias("key"), F.lit(0.0).alias("value")).limit(0)
     for t in tables:
         rest = rest.unionByName(t.where(F.col("n") < least).select("key", "value"))
-    model = Model(frequent, norm, keys, values, filters, _filter(rest.select("key"), rest.count()))
+    model = Model(frequent, norm, keys, values, filters, _filter(_packed_keys(rest, buckets), rest.count(), buckets))
     shared_model = spark.sparkContext.broadcast(model)
     rows = staged(_scored(docs, shared_model), "scored")
     shared_model.destroy()

@@ -549,6 +549,27 @@ def test_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
     assert all(math.isclose(again[d], want[d], rel_tol=1e-9) for d, _ in rows)
 
 
+def test_counting_task_holds_and_sends_little_at_a_time():
+    from clickpulse.llm import suffix_tree_lm as lm
+
+    rng = np.random.default_rng(4)
+    keys = rng.integers(0, 2**64, 2_000_000, np.uint64)
+    counter, sent = lm._Counter(100), []
+    for part in np.split(np.concatenate([keys, keys[:500_000]]), 50):
+        sent += counter.add(part)
+        assert counter.size + len(counter.held[0]) <= lm.FLUSH * 3 // 2
+    assert sent  # before the end
+    sent += counter.rows()
+    assert len(sent) > 10 and max(b.nbytes for b in sent) < 2 * lm.PIECE
+    table = pa.Table.from_batches(sent)
+    found, n = lm._merge(table)
+    want, m = np.unique(np.concatenate([keys, keys[:500_000]]), return_counts=True)
+    assert (found == want).all() and (n == m).all()
+    for bucket in range(128):  # each bucket is a range of keys
+        own = table.filter(pa.array([b == bucket for b in table.column("bucket").to_pylist()]))
+        assert (lm._unpacked(own)[0] >> np.uint64(57) == bucket).all()
+
+
 # --- neighbours ------------------------------------------------------------------
 
 
