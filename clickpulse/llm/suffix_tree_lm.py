@@ -401,6 +401,7 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
         found = staged(deeper_runs(source, known, again, buckets), "runs")
         for shared in (known, again):
             shared.destroy()
+        known = again = shared = None  # a destroyed broadcast still holds its value here
         size_of_runs = found.count()
         runs = staged(found.where("up <> 0").join(below, "up"), "below")
         n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
