@@ -54,10 +54,10 @@ FLUSH = 1_500_000  # keys held by a counting task
 FLUSH_RUNS = 1_000_000  # runs held by a counting task
 PIECE = 1 << 20  # bytes of packed keys that leave a task together
 MOST_BUCKETS = 1 << 17
-FEW = 64  # training tokens for each run of a depth, from which on windows take the texts' place
+FEW = 64  # training tokens for each token that deeper contexts can concern, from which on windows take the texts' place
 WINDOW = 64  # depths for which one cutting of windows serves
+LOCAL = 1 << 15  # most tokens that stand after a state whose longer ones grow in one task
 FILTER_BITS = 28
-FIRST_BITS = 36
 _LONGER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,7 +76,7 @@ def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(first_of_each(keys))
     return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
@@ -179,20 +179,40 @@ def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "word long, n long")
 
 
+class Places:
+    """Where spread 64-bit keys stand among sorted ones: by a table of first bits, then step by step."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self.keys, self.shift = np.append(keys, np.uint64(2**64 - 1)), np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is the key's own) of each key; a place among the keys, 0 at least."""
+        at = self.first[keys >> self.shift]
+        behind = np.flatnonzero(self.keys[at] < keys)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < keys[behind]]
+        own = (self.keys[at] == keys) & (at < len(self.keys) - 1)
+        at[~own] = 0
+        return at, own
+
+
 class Frequent:
     """Frequent words by hash, and their counts."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int):
         order = np.argsort(words)
         self.words, self.counts, self.total = words[order], counts[order], total
+        self.places = Places(self.words)
 
     def numbers(self, tokens: np.ndarray) -> np.ndarray:
         """Each token's place among the words; -1 if it is not frequent."""
         if not len(self.words):
             return np.full(len(tokens), -1, np.int64)
-        at = np.searchsorted(self.words, tokens)
-        at[at == len(self.words)] = 0
-        return np.where(self.words[at] == tokens, at, -1)
+        at, own = self.places.find(tokens)
+        return np.where(own, at, -1)
 
 
 # --- the tree as a table ------------------------------------------------------
@@ -202,7 +222,7 @@ class Filter:
     """Bits of a set of spread 64-bit keys: ``has`` is true for all of them and for few others."""
 
     def __init__(self, bits: int, raw: np.ndarray):
-        self.bits, self.raw = bits, raw
+        self.bits, self.raw, self.depths = bits, raw, 1  # how many depths it serves
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         at = keys >> np.uint64(64 - self.bits)
@@ -247,6 +267,15 @@ def _entry(context, up):
     return context.bitwiseXOR(F.shiftleft(up, 17).bitwiseOR(F.shiftrightunsigned(up, 47)))
 
 
+def _unmix64(x: np.ndarray) -> np.ndarray:
+    """``mix64`` undone."""
+    x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x *= np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x *= np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 def _deeper(tokens: np.ndarray, at: np.ndarray, filters: list, where: np.ndarray | None = None):
     """(position, context, entry, entry of the context's suffix) of tokens, one array each, for every depth.
 
@@ -268,7 +297,7 @@ def _deeper(tokens: np.ndarray, at: np.ndarray, filters: list, where: np.ndarray
 
 def _summed_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
     """Rows of equal first column as one, with the sum of the last."""
-    order = np.argsort(columns[0], kind="stable")
+    order = np.argsort(columns[0])
     first = np.flatnonzero(first_of_each(columns[0][order]))
     return [*[c[order[first]] for c in columns[:-1]], np.add.reduceat(columns[-1][order], first) if len(first) else columns[-1]]
 
@@ -284,58 +313,55 @@ def _source(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray |
     return tokens, at, None, np.ones(len(tokens), np.int64)
 
 
-def _candidates(batch: pa.RecordBatch, filters: list, entries) -> tuple:
-    """(context, times) of all training tokens one deeper than the filters; (entry, context, suffix's entry, times) where that may be one."""
+def _run(context: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """As ``_entry``."""
+    return context ^ ((up << np.uint64(17)) | (up >> np.uint64(47)))
+
+
+def _paired(tokens: np.ndarray, where: np.ndarray, depth: int, pairs) -> np.ndarray:
+    """Whether the contexts of this depth begin with one of the pairs of words."""
+    return pairs.has(_run(mix64(tokens[where - depth]), tokens[where - depth + 1]))
+
+
+def _candidates(batch: pa.RecordBatch, filters: list, entries, pairs) -> tuple:
+    """(context, times) of all training tokens one deeper than the filters; (entry, context's place, suffix's entry, times) where that may be one.
+
+    The contexts of a word and of two are left out: they stand as often as the word and the pair. Those of more words begin with a pair of ``pairs``.
+    """
     tokens, at, where, times = _source(batch)
     *_, (where, context, entry, up) = _deeper(tokens, at, filters, where)
-    good = entries.has(up) if entries else np.ones(len(up), bool)
-    return (context, times[where]), (entry[good], context[good], up[good], times[where[good]])
+    if not filters:
+        return (context[:0], times[:0]), (entry, up, times[where])
+    good = _paired(tokens, where, len(filters) + 1, pairs)
+    where, context, entry, up = where[good], context[good], entry[good], up[good]
+    good = entries.has(up)
+    counted = slice(0 if len(filters) == 1 else None)
+    return (context[counted], times[where[counted]]), (entry[good], up[good], times[where[good]])
 
 
-def windows(docs: DataFrame, filters, left: int) -> DataFrame:
-    """Rows (window, n): each training token that stands after a state of the last filter's depth, with ``left`` tokens before it.
+def windows(docs: DataFrame, found, left: int, buckets: int) -> DataFrame:
+    """Rows (bucket, window, n): each training token that stands after a state of the last filter's depth, with ``left`` tokens before it.
 
-    Equal windows are one row; ``n`` says how many there are. Their last tokens are all that deeper contexts can concern.
+    Equal windows are one row; ``n`` says how many there are. Their last tokens are all that deeper contexts can concern;
+    those whose next context begins with a pair that stands once are left out. ``bucket`` is the state's.
     """
 
     def cut(batches):
+        filters, _, pairs = found.value
         for batch in cut_rows(batches):
             tokens, at = _tokens(_training(batch))
-            *_, (deep, _, _, _) = _deeper(tokens, at, filters.value)  # with one token more before them at least
+            *_, (where, state, _, _), (deep, _, _, _) = _deeper(tokens, at, filters)  # with one token more before them at least
+            deep = deep[_paired(tokens, deep, len(filters) + 1, pairs)]
             first = np.maximum(np.repeat(at[:-1], np.diff(at))[deep], deep - left)
-            raw = Counter(tokens[a : b + 1].astype("<u8").tobytes() for a, b in zip(first.tolist(), deep.tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(list(raw), pa.binary()), pa.array(list(raw.values()), pa.int64())], ["window", "n"])
-
-    return docs.mapInArrow(cut, "window binary, n long").groupBy("window").agg(F.sum("n").alias("n"))
-
-
-def repeated(docs: DataFrame, found, buckets: int) -> Filter:
-    """Filter of the runs and contexts that stand ``LEAST_COUNT`` times at least, counted by the first bits of their keys."""
-    cut = np.uint64(64 - FIRST_BITS)
-
-    def count(batches):
-        counter = _Counter(buckets)
-        for batch in cut_rows(batches):
-            (context, times), (entry, _, _, entry_times) = _candidates(batch, *found.value)
-            keys = np.concatenate([context, entry]) >> cut << cut
-            if "window" in batch.schema.names:  # no count beyond LEAST_COUNT is asked for
-                keys = np.repeat(keys, np.minimum(np.concatenate([times, entry_times]), LEAST_COUNT))
-            yield from counter.add(keys)
-        yield from counter.rows()
+            bucket = signed(state[np.searchsorted(where, deep)]) % buckets
+            raw = Counter((b, tokens[i : j + 1].astype("<u8").tobytes()) for b, i, j in zip(bucket.tolist(), first.tolist(), deep.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in raw], pa.int32()), pa.array([w for _, w in raw], pa.binary()), pa.array(list(raw.values()), pa.int64())], ["bucket", "window", "n"])
 
-    def merge(key, table):
-        keys, n = _merge(table)
-        keys = keys[n >= LEAST_COUNT]
-        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "size": pa.array([len(keys)], pa.int64()), "keys": pa.array([_planes(np.diff(keys, prepend=np.uint64(0)))], pa.binary())})
-
-    seen = staged(docs.mapInArrow(count, COUNTED).groupBy("bucket").applyInArrow(merge, "bucket int, size long, keys binary"), "repeated")
-    out = _filter(seen.where("size > 0"), seen.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], buckets)
-    release(seen)
-    return out
+    return docs.mapInArrow(cut, "bucket int, window binary, n long").groupBy("bucket", "window").agg(F.sum("n").alias("n"))
 
 
-def deeper_runs(docs: DataFrame, found, again, buckets: int) -> DataFrame:
-    """Rows (context, up, n): runs one deeper than the filters, and with up = 0 the contexts themselves.
+def deeper_runs(docs: DataFrame, found, buckets: int) -> DataFrame:
+    """Rows (context, up, n): runs one deeper than the filters, and with up = 0 the contexts themselves if longer than two words.
 
     What stands ``LEAST_COUNT`` times at least in all training texts; ``up`` is the key of the run without its first word;
     ``_entry`` makes the run's own key. They are summed by that key, so that a frequent context's runs go to many buckets.
@@ -351,10 +377,8 @@ def deeper_runs(docs: DataFrame, found, again, buckets: int) -> DataFrame:
             yield from _packed(buckets, columns[0], up=columns[1], n=columns[2].astype(np.uint32))
 
         for batch in cut_rows(batches):
-            (contexts, times), (entry, context, up, entry_times) = _candidates(batch, *found.value)
-            held_too, good = again.value.has(contexts), again.value.has(entry)
-            contexts = contexts[held_too]
-            held.append([np.concatenate([contexts, entry[good]]), np.concatenate([np.zeros(len(contexts), np.uint64), up[good]]), np.concatenate([times[held_too], entry_times[good]])])
+            (contexts, times), (entry, up, entry_times) = _candidates(batch, *found.value)
+            held.append([np.concatenate([contexts, entry]), np.concatenate([np.zeros(len(contexts), np.uint64), up]), np.concatenate([times, entry_times])])
             size += len(held[-1][0])
             if size > FLUSH_RUNS:
                 held = [summed()]
@@ -376,6 +400,120 @@ def deeper_runs(docs: DataFrame, found, again, buckets: int) -> DataFrame:
     return docs.mapInArrow(count, "bucket int, keys binary, up binary, n binary").groupBy("bucket").applyInArrow(merge, "context long, up long, n long")
 
 
+def word_contexts(counts: DataFrame) -> DataFrame:
+    """Rows (context, total) of the contexts of a single word: a token stands after each word but the end."""
+
+    def keyed(batches):
+        for batch in batches:
+            words = batch.column("word").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(mix64(words))), batch.column("n")], ["context", "total"])
+
+    return counts.where(F.col("n") >= LEAST_COUNT).mapInArrow(keyed, "context long, total long")
+
+
+def pair_contexts(runs: DataFrame, states) -> DataFrame:
+    """Rows (context, total) of the contexts of two words, of the runs after a single one: for those that end with a state of the filter."""
+
+    def keyed(batches):
+        for batch in batches:
+            first, last = _unmix64(batch.column("context").to_numpy().view(np.uint64)), mix64(batch.column("up").to_numpy().view(np.uint64))
+            good = states.value.has(last)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(mix64(last[good] * _LONGER + first[good]))), batch.column("n").filter(pa.array(good))], ["context", "total"])
+
+    return runs.select("context", "up", "n").mapInArrow(keyed, "context long, total long")
+
+
+def _fertile(cost: float):
+    """Whether a longer context of a state can be a state itself: no if the most that its divergence can gain stays within the cost of an entry.
+
+    Each of its entries is one of the state's, met no more often, and the state gives it ``(n - DISCOUNT) / total`` at least.
+    So N tokens gain ``N log(total / N)`` (at most total / e) at most, and ``each`` more by an entry; nor can an entry gain more
+    than ``n`` times the logarithm of its probability here (``most``). What is left are words that it has met once:
+    ``others`` of them at most, and the state leaves them ``mass`` at least.
+    """
+    each = LEAST_COUNT * float(np.log(LEAST_COUNT / (LEAST_COUNT - DISCOUNT)))
+    if cost <= each:
+        return F.lit(True)
+    total = F.col("total")
+    mass, others = F.col("rest") * (1 - F.col("below")), total - F.col("n") + F.col("size") - 1
+    most = F.col("n") * F.log(total) - F.col("logs")
+    return (mass < 1e-9) | (F.least(total / float(np.e) + each, most) - others * F.log(mass) > cost - 1e-6)
+
+
+def _may_grow(total, n, size, rest, left_below, logs, cost: float) -> np.ndarray:
+    """As ``_fertile``."""
+    each = LEAST_COUNT * float(np.log(LEAST_COUNT / (LEAST_COUNT - DISCOUNT)))
+    if cost <= each:
+        return np.ones(len(total), bool)
+    mass, others = rest * left_below, total - n + size - 1
+    gain = np.minimum(total / np.e + each, n * np.log(total) - logs) - others * np.log(np.maximum(mass, 1e-9))
+    return (mass < 1e-9) | (gain > cost - 1e-6)
+
+
+DEEP = "depth int, bucket int, state boolean, key long, value double, n long, fertile boolean, p double"
+
+
+def subtrees(few: DataFrame, entries: DataFrame, depth: int, reach: int, buckets: int, cost: float) -> DataFrame:
+    """Rows (depth, the state's bucket, state or entry, key, value, n, fertile, p) of all states and entries below those of a depth, down to ``reach``.
+
+    ``few``: windows; ``entries``: (bucket, key, p) of that depth. What is below a state concerns its own windows and
+    entries alone, so each bucket of states grows by itself, with the rules of ``grow``.
+    """
+
+    def build(key, windows, known):
+        tokens, at, where, times = _source(windows)
+        context, entry = np.zeros(len(where), np.uint64), tokens[where]
+        place, n = np.diff(at) - 1, times[where]
+        met, chance = known.column("key").to_numpy().view(np.uint64), known.column("p").to_numpy()
+        out = []
+        for k in range(1, reach + 1):
+            good = place >= k
+            where, place, n, context, up = where[good], place[good], n[good], context[good], entry[good]
+            context = mix64(context * _LONGER + tokens[where - k])
+            entry = _run(context, up)
+            if k <= depth:
+                continue
+            order = np.argsort(met)
+            met, chance = met[order], chance[order]
+            spot = np.minimum(np.searchsorted(met, up), max(len(met) - 1, 0))
+            known_up = met[spot] == up if len(met) else np.zeros(len(up), bool)
+            contexts, totals = _summed(context, n)
+            runs, of, below, m = _summed_rows([entry[known_up], context[known_up], chance[spot[known_up]], n[known_up]])
+            often = m >= LEAST_COUNT
+            runs, of, below, m = runs[often], of[often], below[often], m[often]
+            order = np.argsort(of)
+            runs, of, below, m = runs[order], of[order], below[order], m[order]
+            first = np.flatnonzero(first_of_each(of))
+            if not len(first):
+                break
+            add = lambda x: np.add.reduceat(x, first)  # noqa: B023, E731
+            total = totals[np.searchsorted(contexts, of[first])]
+            size, seen, mass = np.diff(first, append=len(of)), add(m), 1 - add(below)
+            left = total - seen
+            rest = 1 - (seen - DISCOUNT * size) / total
+            gain = add(m * np.log(m / below)) - seen * np.log(total)
+            some = (left > 0) & (mass > 0)
+            gain[some] += left[some] * np.log(left[some] / total[some] / mass[some])
+            is_state = gain > size * cost
+            fertile = is_state & _may_grow(total, seen, size, rest, mass, add(m * np.log(m - DISCOUNT)), cost)
+            row = np.repeat(np.arange(len(first)), size)
+            here = is_state[row]
+            passed = rest[row] * below
+            p = (m - DISCOUNT) / total[row] + passed
+            keys = np.concatenate([of[first][is_state], runs[here]])
+            values = np.concatenate([np.log10(rest[is_state]), np.log10(p[here] / passed[here])])
+            out.append((np.full(len(keys), k, np.int32), (signed(np.concatenate([of[first][is_state], of[here]])) % buckets).astype(np.int32), np.arange(len(keys)) < is_state.sum(), keys, values, np.concatenate([total[is_state], m[here]]), np.concatenate([fertile[is_state], fertile[row][here]]), np.concatenate([np.zeros(is_state.sum()), p[here]])))
+            met, chance = runs[fertile[row]], p[fertile[row]]
+            good = np.isin(context, of[first][fertile])
+            where, place, n, context, entry = where[good], place[good], n[good], context[good], entry[good]
+        kinds = (np.int32, np.int32, bool, np.uint64, float, np.int64, bool, float)
+        columns = [np.concatenate([np.zeros(0, kind), *x]) for kind, x in zip(kinds, zip(*out, strict=True) if out else [()] * len(kinds), strict=True)]
+        columns[3] = signed(columns[3])
+        return pa.Table.from_arrays([pa.array(x) for x in columns], ["depth", "bucket", "state", "key", "value", "n", "fertile", "p"])
+
+    return few.groupBy("bucket").cogroup(entries.groupBy("bucket")).applyInArrow(build, DEEP)
+
+
 def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, buckets: int) -> tuple[list[DataFrame], list[Filter]]:
     """The tree: for each depth rows (key, value, n) of its states and entries, and the filter of its states.
 
@@ -384,43 +522,70 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
     sc = docs.sparkSession.sparkContext
     below = counts.select(F.col("word").alias("up"), ((F.col("n") + F.lit(ALPHA)) / F.lit(total + ALPHA * (vocabulary + 1))).alias("below"))
     cost = 0.5 * float(np.log(max(2, total)))
-    tables, filters, met = [], [], None
-    few, reach = None, 0  # once there are few runs: windows of the texts, and up to which depth they tell all
+    tables, filters = [], []
+    fertile, met, pairs = [], None, None  # filters of the states that may have longer ones, of their entries, of pairs of words
+    few, reach = None, 0  # once there are few tokens to look at: windows of the texts, and up to which depth they tell all
     while True:
-        if few is not None and len(filters) >= reach:
+        depth = len(fertile)
+        known = sc.broadcast((list(fertile), met, pairs))
+        if few is not None and (depth >= reach or largest <= LOCAL):
             release(few)
             few = None
-        if few is None and filters and size_of_runs * FEW < total:
-            reach = len(filters) + WINDOW
-            last = sc.broadcast(list(filters))
-            few = staged(windows(docs, last, reach), "windows")
-            last.destroy()
-        known = sc.broadcast((list(filters), met))
-        source = docs if few is None else few
-        again = sc.broadcast(repeated(source, known, buckets) if few is None else Filter(20, np.full(1 << 17, 255, np.uint8)))  # windows are few: no need to keep any from the shuffle
-        found = staged(deeper_runs(source, known, again, buckets), "runs")
-        for shared in (known, again):
-            shared.destroy()
-        known = again = shared = None  # a destroyed broadcast still holds its value here
-        size_of_runs = found.count()
-        runs = staged(found.where("up <> 0").join(below, "up"), "below")
-        n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
-        sums = runs.groupBy("context").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("gain"), F.sum("n").alias("n"), F.sum("below").alias("below"))
-        sums = sums.join(found.where("up = 0").select("context", F.col("n").alias("total")), "context")
-        gain = F.col("gain") - n * F.log(total_n) + F.when((left > 0) & (left_below > 0), left * F.log(left / total_n / left_below)).otherwise(0.0)
-        rest = 1 - (n - F.lit(DISCOUNT) * F.col("size")) / total_n
-        states = staged(sums.where(gain > F.col("size") * F.lit(cost)).select("context", "total", rest.alias("rest")), "states")
-        size = states.count()
-        if not size:
-            release(found, runs, states, *([] if few is None else [few]))
+        if few is None and depth and concerned * FEW < total:
+            reach = depth + WINDOW
+            few = staged(windows(docs, known, reach, buckets), "windows")
+        if few is not None and largest <= LOCAL:
+            release(*([pair_totals] if depth == 1 else []))
+            deep = staged(subtrees(few, entries.select("bucket", "key", "p"), depth, reach, buckets, cost), "subtrees")
+            release(few)
+            few, states = None, deep.where("state")
+            beyond = states.where(F.col("fertile") & (F.col("depth") == reach))
+            size, deepest = states.agg(F.count(F.lit(1)), F.max("depth")).first()
+            if size:
+                tables.append(deep.select("key", "value", "n"))
+                filters.append(_filter(_packed_keys(states, buckets), size, buckets))
+                filters[-1].depths = deepest - depth
+            concerned, largest = beyond.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+            if concerned:
+                fertile += [_filter(_packed_keys(states.where("fertile"), buckets), size, buckets)] * WINDOW
+            entries = deep.where(~F.col("state") & F.col("fertile") & (F.col("depth") == reach))
+        else:
+            found = staged(deeper_runs(docs if few is None else few, known, buckets), "runs")
+            runs = staged(found.where("up <> 0").join(below, "up"), "below")
+            n, total_n, left, left_below = F.col("n"), F.col("total"), F.col("total") - F.col("n"), 1 - F.col("below")
+            sums = runs.groupBy("context").agg(
+                F.count(F.lit(1)).alias("size"), F.sum(F.col("n") * F.log(F.col("n") / F.col("below"))).alias("gain"), F.sum(F.col("n") * F.log(F.col("n") - DISCOUNT)).alias("logs"), F.sum("n").alias("n"), F.sum("below").alias("below")
+            )
+            totals = word_contexts(counts) if not depth else pair_totals if depth == 1 else found.where("up = 0").select("context", F.col("n").alias("total"))
+            sums = sums.join(totals, "context")
+            gain = F.col("gain") - n * F.log(total_n) + F.when((left > 0) & (left_below > 0), left * F.log(left / total_n / left_below)).otherwise(0.0)
+            rest = 1 - (n - F.lit(DISCOUNT) * F.col("size")) / total_n
+            states = sums.where(gain > F.col("size") * F.lit(cost)).withColumn("rest", rest)
+            states = staged(states.select("context", "total", "rest", _fertile(cost).alias("fertile")), "states")
+            own = F.when(F.col("fertile"), F.col("total"))
+            size, some, concerned, largest = states.agg(F.count(F.lit(1)), F.count(own), F.coalesce(F.sum(own), F.lit(0)), F.max(own)).first()
+            if size:
+                passed = F.col("rest") * F.col("below")
+                p = (F.col("n") - F.lit(DISCOUNT)) / F.col("total") + passed
+                bucket = F.when(F.col("fertile"), F.pmod(F.col("context"), F.lit(buckets)).cast("int"))  # null: no deeper states
+                entries = staged(runs.join(states, "context").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value"), bucket.alias("bucket")), "entries")
+                tables.append(states.select(F.col("context").alias("key"), F.log10("rest").alias("value"), F.col("total").alias("n")).unionByName(entries.select("key", "value", "n")))
+                filters.append(_filter(_packed_keys(states.select(F.col("context").alias("key")), buckets), size, buckets))
+                entries = entries.where("bucket is not null")
+            if concerned and pairs is None:
+                pairs = _filter(_packed_keys(runs.select(_entry(F.col("context"), F.col("up")).alias("key")), buckets), runs.count(), buckets)
+            if concerned:
+                fertile.append(_filter(_packed_keys(states.where("fertile").select(F.col("context").alias("key")), buckets), some, buckets))
+            if concerned and not depth:
+                ends = sc.broadcast(fertile[0])
+                pair_totals = staged(pair_contexts(runs, ends), "pairs")
+                ends.destroy()
+            release(found, runs, *([] if size else [states]), *([pair_totals] if depth == 1 else []))
+        known.destroy()
+        known = None  # a destroyed broadcast still holds its value here
+        if not concerned:
+            release(*([] if few is None else [few]))
             return tables, filters
-        passed = F.col("rest") * F.col("below")
-        p = (F.col("n") - F.lit(DISCOUNT)) / F.col("total") + passed
-        release(found)
-        entries = staged(runs.join(states, "context").select(_entry(F.col("context"), F.col("up")).alias("key"), "n", p.alias("p"), F.log10(p / passed).alias("value")), "entries")
-        release(runs)
-        tables.append(states.select(F.col("context").alias("key"), F.log10("rest").alias("value"), F.col("total").alias("n")).unionByName(entries.select("key", "value", "n")))
-        filters.append(_filter(_packed_keys(states.select(F.col("context").alias("key")), buckets), size, buckets))
         met = _filter(_packed_keys(entries, buckets), entries.count(), buckets)
         below = entries.select(F.col("key").alias("up"), F.col("p").alias("below"))
 
@@ -436,15 +601,14 @@ class Model:
     def __init__(self, frequent: Frequent, norm: float, keys: np.ndarray, values: np.ndarray, filters: list[Filter], others: Filter):
         order = np.argsort(keys)
         self.frequent, self.keys, self.values, self.filters, self.others = frequent, keys[order], values[order], filters, others
+        self.places = Places(self.keys)
         self.logs, self.unseen = np.log10((frequent.counts + ALPHA) / norm), np.log10(ALPHA / norm)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values of keys, 0 for others, and which keys the joined part may have."""
         if not len(self.keys):
             return np.zeros(len(keys)), self.others.has(keys)
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        here = self.keys[at] == keys
+        at, here = self.places.find(keys)
         return np.where(here, self.values[at], 0.0), ~here & self.others.has(keys)
 
 
@@ -461,14 +625,18 @@ def _scored(docs: DataFrame, model) -> DataFrame:
             root = np.where(seen, known.logs[np.where(seen, numbers, 0)], known.unseen) if len(known.logs) else np.full(len(tokens), known.unseen)
             p, row = root.copy(), np.repeat(np.arange(batch.num_rows), np.diff(at))
             keys, rows = [tokens[~seen]], [row[~seen]]
-            for _, (where, context, entry, _) in zip(known.filters, _deeper(tokens, at, known.filters), strict=False):
+            filters = [f for f in known.filters for _ in range(f.depths)]
+            for _, (where, context, entry, _) in zip(filters, _deeper(tokens, at, filters), strict=False):
+                if not len(where):
+                    break
                 for key in (context, entry):
                     value, open_ = known.find(key)
                     p[where] += value
                     keys.append(key[open_])
                     rows.append(row[where[open_]])
             key, of = np.concatenate(keys), np.concatenate(rows)
-            order = np.lexsort((key, of))
+            order = np.argsort(key)
+            order = order[np.argsort(of[order].astype(np.uint16 if batch.num_rows < 1 << 16 else np.int64), kind="stable")]
             key, of = key[order], of[order]
             first = np.flatnonzero(first_of_each(key) | first_of_each(of))
             offsets = pa.array(np.searchsorted(of[first], np.arange(batch.num_rows + 1)), pa.int32())

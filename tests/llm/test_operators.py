@@ -549,6 +549,42 @@ def test_tree_keeps_rare_and_long_contexts(spark, monkeypatch, share):
     assert all(math.isclose(again[d], want[d], rel_tol=1e-9) for d, _ in rows)
 
 
+@pytest.mark.parametrize("local", [1 << 15, 0])
+def test_long_repeats_take_few_passes(spark, monkeypatch, local):
+    """Deep states grow in one job, not in two passes for each length."""
+    from clickpulse.llm import suffix_tree_lm as lm
+
+    rng = random.Random(8)
+    rows, weights = [], {}
+    for i in range(100):  # each word depends on the five before it
+        words = rng.choices("ab", k=5)
+        while len(words) < 150:
+            words += rng.choices("ab", weights.setdefault(tuple(words[-5:]), [rng.random() ** 3 for _ in "ab"]))
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"a b c{i % 9} d a") for i in range(40)] + [(2000, None), (2001, "")]
+    want = plain_tree_scores([(d, t or "") for d, t in rows])
+    names, write = [], lm.staged
+    monkeypatch.setattr(lm, "LOCAL", local)
+    monkeypatch.setattr(lm, "staged", lambda df, name: names.append(name) or write(df, name))
+    monkeypatch.setattr(lm, "FEW", 0)
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert want["depth"] >= 5 and all(math.isclose(got[d], want[d], rel_tol=1e-9) for d, _ in rows)
+    assert "repeated" not in names  # each depth reads the texts once
+    assert names.count("runs") == (1 if local else want["depth"] + 1) and ("subtrees" in names) == bool(local)
+
+
+def test_look_up_by_first_bits():
+    from clickpulse.llm import suffix_tree_lm as lm
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        keys = np.unique(np.append(rng.integers(0, 2**64, n, np.uint64), np.array([0, 2**64 - 1], np.uint64)[: n // 2]))
+        asked = np.concatenate([keys, rng.integers(0, 2**64, 500, np.uint64), np.array([0, 5, 2**64 - 1], np.uint64)])
+        at, own = lm.Places(keys).find(asked)
+        assert (own == np.isin(asked, keys)).all() and (keys[at[own]] == asked[own]).all()
+    assert (lm._unmix64(lm.mix64(keys)) == keys).all()
+
+
 def test_counting_task_holds_and_sends_little_at_a_time():
     from clickpulse.llm import suffix_tree_lm as lm
 
