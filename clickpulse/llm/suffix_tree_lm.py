@@ -14,10 +14,13 @@ As sums: a text's score is that of its single tokens, plus the logarithm of the
 left mass of every state that a token stands after, plus a gain for every entry
 met. So states and entries are one table of (key, value), with 64-bit hashes as
 keys, and scoring is a join by key. It is built depth by depth with grouped
-sums and joins; its size follows the input. Deep contexts concern few tokens:
-once there are less runs than a ``FEW``-th of the tokens, those tokens are cut
-out with the ``WINDOW`` tokens before them, equal ones as one row, and further
-depths read these rows instead of the texts. Only what has a share of ``SHARED``
+sums and joins; its size follows the input. States whose
+counts rule out longer ones end there (``_fertile``, exact). Once the others
+concern less than a ``FEW``-th of the tokens, those tokens are cut out with the
+``WINDOW`` tokens before them, equal ones as one row. The states below each of
+those states grow from these rows in one job, a bucket of states in a task;
+while one state concerns more than ``LOCAL`` tokens, depth by depth.
+Only what has a share of ``SHARED``
 of the training tokens is broadcast (``1 / SHARED`` words, states of a length
 and entries of a length at most); the rest is joined. Filters of a fixed size
 that may say yes wrongly, never no, keep what can't be found from the shuffles.
@@ -592,7 +595,8 @@ def grow(docs: DataFrame, counts: DataFrame, total: int, vocabulary: int, bucket
 
 # --- scoring -----------------------------------------------------------------
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>, times array<int>"
+LOT_BITS = 2  # first bits of a key that name its lot: what is joined is dealt lot by lot, as all of it would fill the disk
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double" + "".join(f", rare{lot} array<long>, times{lot} array<int>" for lot in range(1 << LOT_BITS))
 
 
 class Model:
@@ -639,7 +643,13 @@ def _scored(docs: DataFrame, model) -> DataFrame:
             order = order[np.argsort(of[order].astype(np.uint16 if batch.num_rows < 1 << 16 else np.int64), kind="stable")]
             key, of = key[order], of[order]
             first = np.flatnonzero(first_of_each(key) | first_of_each(of))
-            offsets = pa.array(np.searchsorted(of[first], np.arange(batch.num_rows + 1)), pa.int32())
+            times, key, of = np.diff(first, append=len(key)), key[first], of[first]
+            lists = {}
+            for lot in range(1 << LOT_BITS):
+                own = key >> np.uint64(64 - LOT_BITS) == lot
+                offsets = pa.array(np.searchsorted(of[own], np.arange(batch.num_rows + 1)), pa.int32())
+                lists[f"rare{lot}"] = pa.ListArray.from_arrays(offsets, pa.array(signed(key[own]), pa.int64()))
+                lists[f"times{lot}"] = pa.ListArray.from_arrays(offsets, pa.array(times[own], pa.int32()))
             docs_in, n_rows = batch.column("doc_id").to_pylist(), batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
@@ -650,10 +660,9 @@ def _scored(docs: DataFrame, model) -> DataFrame:
                     pa.array(np.add.reduceat(seen, at[:-1], dtype=np.int64) if n_rows else np.zeros(0, np.int64)),
                     pa.array(_row_sums(root, at)),
                     pa.array(_row_sums(p, at)),
-                    pa.ListArray.from_arrays(offsets, pa.array(signed(key[first]), pa.int64())),
-                    pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(key)), pa.int32())),
+                    *lists.values(),
                 ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", *lists],
             )
             serial += n_rows
 
@@ -691,10 +700,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     rows = staged(_scored(docs, shared_model), "scored")
     shared_model.destroy()
 
-    asked = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("m"))
-    met = asked.join(others.unionByName(rest.withColumn("word", F.lit(0))), "key")
-    extra = met.groupBy("row").agg(F.sum(F.col("m") * F.col("value")).alias("more"), F.sum(F.col("m") * F.col("value") * F.col("word")).alias("base_more"), F.sum(F.col("m") * F.col("word")).alias("also"))
-    return rows.drop("rare", "times").join(extra, "row", "left").select(
+    held = others.unionByName(rest.withColumn("word", F.lit(0)))
+    extra = None
+    for lot in range(1 << LOT_BITS):
+        asked = rows.select("row", F.explode(F.arrays_zip(F.col(f"rare{lot}").alias("rare"), F.col(f"times{lot}").alias("times"))).alias("x")).select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("m"))
+        met = asked.join(held.where(F.shiftrightunsigned("key", 64 - LOT_BITS) == lot), "key")
+        own = met.groupBy("row").agg(F.sum(F.col("m") * F.col("value")).alias("more"), F.sum(F.col("m") * F.col("value") * F.col("word")).alias("base_more"), F.sum(F.col("m") * F.col("word")).alias("also"))
+        own = staged(own, "lot")
+        extra = own if extra is None else extra.unionByName(own)
+    extra = extra.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("more", "base_more", "also")])
+    return rows.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score").join(extra, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
